@@ -62,15 +62,17 @@ def absent_rows(batch: DataFrame, target: DataFrame, key: str, order: Sequence[s
 
 def insert_if_absent(batch: DataFrame, path: str, schema: T.StructType, key: str = "event_id",
                      order: Sequence[str] = ("fetched_at", "raw_payload")) -> None:
-    """Append rows with a new key; a stored row never changes. Repeating a batch adds nothing."""
+    """Append rows with a new key; a stored row never changes. Repeating a batch adds nothing.
+    Rows without a key cannot be stored."""
     spark = batch.sparkSession
+    batch = batch.filter(F.col(key).isNotNull())
     create_table(spark, path, schema)
     target = spark.read.schema(schema).parquet(path)
     absent_rows(batch, target, key, order).select(*schema.names).write.mode("append").parquet(path)
 
 
 def load_statistics(batch: DataFrame, target: DataFrame, key: str = "event_id") -> DataFrame:
-    """One row: received, inserted, duplicates, errors (NULL keys), success rate.
+    """One row: received, inserted, duplicates, errors (NULL keys), inserted percent.
 
     Counts per key first, so a key repeated many times costs one row in the join.
     """
@@ -86,7 +88,7 @@ def load_statistics(batch: DataFrame, target: DataFrame, key: str = "event_id")
         "inserted",
         (F.col("received") - F.col("inserted") - F.col("errors")).alias("duplicates"),
         "errors",
-        percent(F.col("received") - F.col("errors"), F.col("received"), 1).alias("success_rate_pct"),
+        F.coalesce(percent(F.col("inserted"), F.col("received"), 1), F.lit(0.0)).alias("success_rate_pct"),
     )
 
 

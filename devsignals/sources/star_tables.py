@@ -137,11 +137,12 @@ PAGE_SIZE = 30
 def event_pages(raw: DataFrame) -> DataFrame:
     """One text row per API answer of at most PAGE_SIZE events of one repository.
 
-    The page number comes from the event number, so no group grows with the data.
+    Pages are cut from the row position within a task, so no group can be larger.
     """
-    page = F.call_function("div", F.col("event_id").cast("bigint"), F.lit(3 * PAGE_SIZE))
+    page = F.call_function("div", F.monotonically_increasing_id(), F.lit(PAGE_SIZE))
     return (
-        raw.groupBy("repo_name", page.alias("page"))
+        raw.withColumn("page", page)
+        .groupBy("repo_name", "page")
         .agg(F.concat_ws(",", F.collect_list("raw_payload")).alias("body"))
         .select(F.concat(F.lit('{"repo_name":"'), "repo_name", F.lit('","events":['), "body", F.lit("]}")).alias("value"))
     )
