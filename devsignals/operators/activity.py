@@ -29,8 +29,8 @@ def stg_events(raw: DataFrame) -> DataFrame:
     )
 
 
-def _with_document(events: DataFrame) -> DataFrame:
-    return events.withColumn("doc", F.from_json("raw_payload", schemas.EVENT_DOCUMENT))
+def _with_document(events: DataFrame, schema: str = schemas.EVENT_DOCUMENT) -> DataFrame:
+    return events.withColumn("doc", F.from_json("raw_payload", schema))
 
 
 def _commit_count() -> Column:
@@ -73,7 +73,7 @@ def activity_rows(stg: DataFrame) -> DataFrame:
     """
     both = stg.filter(F.col("event_type").isin(params.PUSH, params.PULL_REQUEST))
     is_push = F.col("event_type") == params.PUSH
-    return _with_document(both).select(
+    return _with_document(both, schemas.ACTIVITY_DOCUMENT).select(
         "repo_name",
         F.to_date("fetched_at").alias("activity_date"),
         F.when(is_push, F.col("doc.actor.login"))

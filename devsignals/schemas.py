@@ -34,6 +34,13 @@ EVENT_DOCUMENT = (
     "created_at string"
 )
 
+# what the activity counts need of it
+ACTIVITY_DOCUMENT = (
+    "actor struct<login: string>,"
+    "payload struct<"
+    "  commits: string, action: string, pull_request: struct<user: struct<login: string>>>"
+)
+
 STORY_ITEM = (
     "id bigint, title string, `by` string, url string, score int, time bigint,"
     "descendants int, type string"
