@@ -17,8 +17,10 @@ def upsert(stream: DataFrame, log: str, checkpoint: str) -> StreamingQuery:
     """Append each micro-batch to the change log under its own number, so that a
     repeated one replaces itself. Rows that cannot be stored go to `<log>-rejected`."""
     def store(batch: DataFrame, number: int) -> None:
+        batch = batch.persist()
         sinks.append_changes(landing.valid_stories(batch), log, number)
         sinks.append_changes(landing.rejected_stories(batch), f"{log}-rejected", number)
+        batch.unpersist()
 
     return (
         stream.writeStream.foreachBatch(store)
