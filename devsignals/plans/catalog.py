@@ -33,7 +33,7 @@ class Layout:
 
 
 LAYOUTS = {
-    "activity_base": Layout(sort_by=("activity_date",)),
+    "activity_base": Layout(),
     "dim_repository": Layout(sort_by=("repo_name",)),
     "dim_contributor": Layout(sort_by=("username",)),
     "fct_github_daily_activity": Layout("activity_date", ("repo_name",)),

@@ -9,6 +9,14 @@ from devsignals import schemas
 from devsignals.sources import sinks
 
 
+def with_event_time(stream: DataFrame) -> DataFrame:
+    """Watermarks need a time with zone. Stored times mean UTC, so the session must be in UTC."""
+    zone = stream.sparkSession.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC"):
+        raise ValueError(f"streams by event time need spark.sql.session.timeZone=UTC, not {zone}")
+    return stream.withColumn("fetched_at", F.col("fetched_at").cast("timestamp"))
+
+
 def read_event_stream(spark: SparkSession, landing: str) -> DataFrame:
     return spark.readStream.schema(schemas.EVENTS_RAW).parquet(landing)
 
@@ -32,13 +40,13 @@ def store_first(stream: DataFrame, target: str, checkpoint: str) -> StreamingQue
 
 def first_within(stream: DataFrame, delay: str) -> DataFrame:
     """First event of each id with bounded state: repeats are caught for `delay` only."""
-    return stream.withWatermark("fetched_at", delay).dropDuplicatesWithinWatermark(["event_id"])
+    return with_event_time(stream).withWatermark("fetched_at", delay).dropDuplicatesWithinWatermark(["event_id"])
 
 
 def daily_counts(stream: DataFrame, delay: str = "1 day") -> DataFrame:
     """Events per repository and day; a day is given out once the watermark has passed it."""
     return (
-        stream.withWatermark("fetched_at", delay)
+        with_event_time(stream).withWatermark("fetched_at", delay)
         .groupBy(F.window("fetched_at", "1 day"), "repo_name")
         .agg(F.count(F.lit(1)).alias("event_count"))
         .select(F.to_date("window.start").alias("activity_date"), "repo_name", "event_count")

@@ -40,6 +40,25 @@ PATTERNS = {
 _pattern_rows = ", ".join(
     "('%s', '%s')" % (repo, (BOUNDARY[0] + p + BOUNDARY[1]).replace("'", "''")) for repo, p in PATTERNS.items())
 
+VALID = "coalesce(story_id, 0) <> 0 AND coalesce(title, '') <> ''"
+
+
+def upserted(first: str, second: str) -> str:
+    """Identity columns from the first poll that has the story, all others from the last."""
+    return f"""
+        SELECT coalesce(a.story_id, b.story_id) AS story_id,
+               CASE WHEN a.story_id IS NULL THEN b.title ELSE a.title END AS title,
+               CASE WHEN a.story_id IS NULL THEN b.author ELSE a.author END AS author,
+               CASE WHEN a.story_id IS NULL THEN b.url ELSE a.url END AS url,
+               CASE WHEN b.story_id IS NULL THEN a.score ELSE b.score END AS score,
+               coalesce(a.time, b.time) AS time,
+               CASE WHEN b.story_id IS NULL THEN a.descendants ELSE b.descendants END AS descendants,
+               coalesce(a.type, b.type) AS type,
+               CASE WHEN b.story_id IS NULL THEN a.fetched_at ELSE b.fetched_at END AS fetched_at,
+               CAST(CASE WHEN b.story_id IS NULL THEN a.score ELSE b.score END AS VARCHAR) AS raw_score
+        FROM {first} a FULL JOIN {second} b ON a.story_id = b.story_id"""
+
+
 DATASETS = {
     # --- raw events as columns ---
     "source_events": """
@@ -199,18 +218,10 @@ DATASETS = {
         SELECT story_id, 'Edited: ' || title AS title, author, url, score + 10 AS score, time,
                CAST(NULL AS INTEGER) AS descendants, type, fetched_at + INTERVAL 1 DAY AS fetched_at
         FROM raw_stories WHERE time >= epoch(TIMESTAMP '2024-01-10')""",
-    "stored_stories": """
-        SELECT coalesce(a.story_id, b.story_id) AS story_id,
-               CASE WHEN a.story_id IS NULL THEN b.title ELSE a.title END AS title,
-               CASE WHEN a.story_id IS NULL THEN b.author ELSE a.author END AS author,
-               CASE WHEN a.story_id IS NULL THEN b.url ELSE a.url END AS url,
-               CASE WHEN b.story_id IS NULL THEN a.score ELSE b.score END AS score,
-               coalesce(a.time, b.time) AS time,
-               CASE WHEN b.story_id IS NULL THEN a.descendants ELSE b.descendants END AS descendants,
-               coalesce(a.type, b.type) AS type,
-               CASE WHEN b.story_id IS NULL THEN a.fetched_at ELSE b.fetched_at END AS fetched_at,
-               CAST(CASE WHEN b.story_id IS NULL THEN a.score ELSE b.score END AS VARCHAR) AS raw_score
-        FROM first_stories a FULL JOIN second_stories b ON a.story_id = b.story_id""",
+    "valid_first_stories": f"SELECT * FROM first_stories WHERE {VALID}",
+    "valid_second_stories": f"SELECT * FROM second_stories WHERE {VALID}",
+    "stored_stories": upserted("first_stories", "second_stories"),
+    "stored_valid_stories": upserted("valid_first_stories", "valid_second_stories"),
     "story_items": """
         SELECT CASE WHEN story_id % 29 = 1 THEN NULL WHEN story_id % 29 = 2 THEN 0 ELSE story_id END AS id,
                CASE WHEN story_id % 31 = 3 THEN '' WHEN story_id % 31 <> 4 THEN title END AS given_title,

@@ -132,8 +132,10 @@ def _reports() -> dict[str, str]:
         (SELECT username, repo_name, {summed('push_count', 'total_pushes')}, {summed('commits_in_pushes', 'total_commits')},
                 {summed('pr_event_count', 'total_pr_events')}, {summed('total_activity_count', 'total_activity')},
                 count(DISTINCT activity_date) AS days_active FROM {uf} GROUP BY username, repo_name) a
-        JOIN (SELECT username, repo_name, contribution_type FROM {uf} GROUP BY ALL
-              QUALIFY row_number() OVER (PARTITION BY username, repo_name ORDER BY count(*) DESC, contribution_type) = 1) b
+        JOIN (SELECT * FROM (
+                SELECT username, repo_name, contribution_type, row_number() OVER
+                    (PARTITION BY username, repo_name ORDER BY count(*) DESC, contribution_type) AS place
+                FROM {uf} GROUP BY username, repo_name, contribution_type) WHERE place = 1) b
         USING (username, repo_name)"""
     q["weekly_activity"] = f"""SELECT username, repo_name, CAST(date_trunc('week', activity_date) AS DATE) AS week_start,
         {summed('total_activity_count', 'weekly_activity')} FROM {uf} GROUP BY ALL"""
@@ -275,14 +277,17 @@ def _ingestion() -> dict[str, str]:
         UNION ALL SELECT 3, count(*), 0 FROM second_events"""
     q["ingest_load_stats"] = f"""SELECT load, received, inserted, received - inserted AS duplicates, CAST(0 AS BIGINT) AS errors,
         coalesce({percent('inserted', 'received', 1)}, 0.0) AS success_rate_pct FROM ({loads})"""
-    for name in ("ingest_upsert_stories", "ingest_upsert_compacted", "stream_stories_upsert"):
+    for name in ("ingest_upsert_stories", "ingest_upsert_compacted"):
         q[name] = f"SELECT {story} FROM stored_stories"
+    q["stream_stories_upsert"] = f"SELECT {story} FROM stored_valid_stories"
     q["ingest_upsert_stats"] = """SELECT 1 AS load, count(DISTINCT story_id) AS inserted, CAST(0 AS BIGINT) AS updated FROM first_stories
         UNION ALL SELECT 2, count(DISTINCT story_id) FILTER (story_id NOT IN (SELECT story_id FROM first_stories)),
         count(DISTINCT story_id) FILTER (story_id IN (SELECT story_id FROM first_stories)) FROM second_stories"""
-    q["stream_daily_counts"] = """SELECT CAST(fetched_at AS DATE) AS activity_date, repo_name, count(*) AS event_count
-        FROM stg_github_events GROUP BY ALL
-        HAVING CAST(fetched_at AS DATE) + INTERVAL 1 DAY <= (SELECT max(fetched_at) FROM stg_github_events) - INTERVAL 1 DAY"""
+    # a day is given out once the watermark, one day behind the newest event, has passed its end
+    q["stream_daily_counts"] = """SELECT activity_date, repo_name, count(*) AS event_count
+        FROM (SELECT CAST(fetched_at AS DATE) AS activity_date, repo_name, max(fetched_at) OVER () AS newest
+              FROM stg_github_events)
+        WHERE activity_date + INTERVAL 1 DAY <= newest - INTERVAL 1 DAY GROUP BY activity_date, repo_name"""
     q["incremental_fact_refresh"] = "SELECT * FROM fct_github_daily_activity"
     snapshot = """SELECT repo_name, {r} AS total_pushes, {c} AS total_commits, {p} AS total_pr_events
         FROM fct_github_daily_activity WHERE activity_date < DATE '{d}' GROUP BY repo_name"""

@@ -31,21 +31,26 @@ def rows_of(columns, records):
     return sorted((tuple(_plain(r[i]) for i in order) for r in records), key=repr)
 
 
+SPARK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN",
+               "date": "DATE", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP"}
+
+
 def from_spark(df):
-    return sorted(df.columns), rows_of(df.columns, [tuple(r) for r in df.collect()])
+    header = sorted((name, SPARK_TYPES[kind]) for name, kind in df.dtypes)
+    return header, rows_of(df.columns, [tuple(r) for r in df.collect()])
 
 
 def from_sql(con, sql):
-    result = con.execute(sql)
-    columns = [c[0] for c in result.description]
-    return sorted(columns), rows_of(columns, result.fetchall())
+    result = con.sql(sql)
+    header = sorted((name, str(kind)) for name, kind in zip(result.columns, result.types))
+    return header, rows_of(result.columns, result.fetchall())
 
 
 def difference(left, right):
     """None when equal, else a short text."""
     (lc, lr), (rc, rr) = left, right
     if lc != rc:
-        return f"columns differ: only one side has {sorted(set(lc) ^ set(rc))}"
+        return f"columns differ: on one side only {sorted(set(lc) ^ set(rc))}"
     if len(lr) != len(rr):
         return f"{len(lr)} rows against {len(rr)}"
     for a, b in zip(lr, rr):
