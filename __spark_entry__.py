@@ -52,10 +52,6 @@ def _on(table: str, report: Callable[..., DataFrame], *args) -> Callable[[SparkS
     return _on_catalog(lambda c: report(c[table], *args))
 
 
-def _tables(c: Catalog) -> checks.CheckedTables:
-    return checks.CheckedTables(c)
-
-
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     repo_dim, user_dim, repo_fct, user_fct = CODE_GOLD
     story_dim, story_fct, mention_fct = STORY_GOLD
@@ -159,12 +155,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["raw_json_preview"] = _on(events, raw_report.raw_json_preview)
     q["event_document_fields"] = _on(events, raw_report.event_document_fields)
     q["daily_unique_contributors"] = _on(events, raw_report.daily_unique_contributors)
-    q["misnamed_repositories"] = _on(events, raw_report.misnamed_repositories)
+    q["repository_name_check"] = _on(events, raw_report.repository_name_check)
 
     # data quality
-    for kind, function in (("not_null", quality.not_null), ("unique", quality.unique),
-                           ("accepted_values", quality.accepted_values), ("relationships", quality.relationships)):
-        q[f"dq_{kind}"] = _on_catalog(lambda c, f=function, k=kind: f(_tables(c), checks.of_kind(k)))
+    for kind in ("not_null", "unique", "accepted_values", "relationships"):
+        q[f"dq_{kind}"] = _on_catalog(lambda c, k=kind: checks.report(c, checks.of_kind(k)))
     q["dq_report"] = _on_catalog(checks.report)
     pushes, requests = "int_push_events", "int_pull_requests"
     q["dq_no_future_timestamps"] = _on_catalog(

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from types import MappingProxyType
 
 from pyspark.sql import Column, functions as F
 
 from devsignals import params
 
+Patterns = Sequence[tuple[str, str]]
+NO_NEEDLES: Mapping[str, str] = MappingProxyType({})
+
 
 def surrogate_key(business_key: Column, salt: str) -> Column:
     """md5 of key, bar and salt; NULL for a NULL key (so `concat`, not `concat_ws`)."""
@@ -32,15 +37,29 @@ def mention_regex(pattern: str) -> str:
     return "(?d)" + params.MENTION_PREFIX + pattern + params.MENTION_SUFFIX
 
 
-def mentions_any(title: Column, patterns: Sequence[tuple[str, str]]) -> Column:
-    """True when at least one pattern occurs; one pass over the text for all patterns."""
-    return F.lower(title).rlike(mention_regex("(?:" + "|".join(p for _, p in patterns) + ")"))
+def mentions_any(title: Column, patterns: Patterns, needles: Mapping[str, str] = NO_NEEDLES) -> Column:
+    """True when at least one pattern occurs; one pass of one expression for all patterns.
+
+    When every pattern has a needle, a text without any needle is ruled out by plain
+    search, which is several times cheaper.
+    """
+    lowered = F.lower(title)
+    found = lowered.rlike(mention_regex("(?:" + "|".join(p for _, p in patterns) + ")"))
+    if all(name in needles for name, _ in patterns):
+        plain = [lowered.contains(needles[name]) for name, _ in patterns]
+        found = reduce(lambda a, b: a | b, plain) & found
+    return found
 
 
-def mentioned_names(title: Column, patterns: Sequence[tuple[str, str]]) -> Column:
+def mentioned_names(title: Column, patterns: Patterns, needles: Mapping[str, str] = NO_NEEDLES) -> Column:
     """Array with, per pattern, the name it stands for or NULL when it does not occur."""
     lowered = F.lower(title)
-    return F.array(*[F.when(lowered.rlike(mention_regex(p)), F.lit(name)) for name, p in patterns])
+
+    def occurs(name: str, pattern: str) -> Column:
+        exact = lowered.rlike(mention_regex(pattern))
+        return lowered.contains(needles[name]) & exact if name in needles else exact
+
+    return F.array(*[F.when(occurs(name, pattern), F.lit(name)) for name, pattern in patterns])
 
 
 def contribution_type(commits: Column, pr_events: Column) -> Column:

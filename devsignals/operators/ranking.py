@@ -42,3 +42,13 @@ def top_per_group(df: DataFrame, group: str, order: Sequence[Column], k: int, na
     to k rows before the shuffle, so a large group is no load."""
     number = F.row_number().over(Window.partitionBy(group).orderBy(*order))
     return df.withColumn(name, number).filter(F.col(name) <= k)
+
+
+def first_rows(df: DataFrame, order: Sequence[Column], k: int, key: str, narrow: Sequence[str]) -> DataFrame:
+    """The first k rows by columns among `narrow`, without reading wide columns of all rows.
+
+    The keys of the first k rows are found from the narrow columns alone; the full rows
+    are then fetched by key, which reaches the scan. k is the size of a report.
+    """
+    keys = [r[key] for r in df.select(*narrow).orderBy(*order).limit(k).select(key).collect()]
+    return df.filter(F.col(key).isin(keys)).orderBy(*order).limit(k)

@@ -3,15 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, functions as F
 
 from devsignals import params
 from devsignals.functions import numeric, text, times
 
-Patterns = Sequence[tuple[str, str]]
-
 
 def stg_stories(raw: DataFrame) -> DataFrame:
     return raw.select(
@@ -46,12 +44,13 @@ def silver_stories(stg: DataFrame) -> DataFrame:
     )
 
 
-def mentions(stories: DataFrame, patterns: Patterns = params.MENTION_PATTERNS) -> DataFrame:
+def mentions(stories: DataFrame, patterns: text.Patterns = params.MENTION_PATTERNS,
+             needles: Mapping[str, str] = params.MENTION_NEEDLES) -> DataFrame:
     """One row per story and repository its title names. No join: one expression that
     knows all patterns drops the stories without any before they are told apart."""
     if not patterns:
         raise ValueError("at least one mention pattern is needed")
-    found = stories.filter(text.mentions_any(F.col("title"), patterns))
+    found = stories.filter(text.mentions_any(F.col("title"), patterns, needles))
     return found.select(
         "story_id",
         "title",
@@ -62,7 +61,7 @@ def mentions(stories: DataFrame, patterns: Patterns = params.MENTION_PATTERNS) -
         "published_at",
         "activity_date",
         "fetched_at",
-        F.explode(text.mentioned_names(F.col("title"), patterns)).alias("mentioned_repo"),
+        F.explode(text.mentioned_names(F.col("title"), patterns, needles)).alias("mentioned_repo"),
     ).filter(F.col("mentioned_repo").isNotNull())
 
 

@@ -21,6 +21,12 @@ MENTION_PATTERNS = (
     ("microsoft/vscode", r"(?:vscode|vs\s*code|visual\s+studio\s+code)"),
     ("vercel/next.js", r"(?:next[\.\s]?js)"),
 )
+# text that every match of the expression holds; spares most titles the expression
+MENTION_NEEDLES = {
+    "facebook/react": "react",
+    "microsoft/vscode": "code",
+    "vercel/next.js": "js",
+}
 MENTION_PREFIX = r"""(?:^|[\s\-\.,;:!?\(/"'])"""
 MENTION_SUFFIX = r"""(?:$|[\s\-\.,;:!?\)/"'])"""
 

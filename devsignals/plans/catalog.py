@@ -4,7 +4,7 @@ tables that are written once and then read by every report."""
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -58,6 +58,7 @@ class Catalog:
     as_of: dt.datetime = params.AS_OF
     repositories: Sequence[tuple[str, str, int]] = params.TRACKED_REPOSITORIES
     patterns: Sequence[tuple[str, str]] = params.MENTION_PATTERNS
+    needles: Mapping[str, str] = field(default_factory=lambda: params.MENTION_NEEDLES)
     root: str | None = None
     _frames: dict[str, DataFrame] = field(default_factory=dict)
 
@@ -101,7 +102,7 @@ BUILDERS: dict[str, Callable[[Catalog], DataFrame]] = {
     "dim_contributor": lambda c: activity.contributor_dimension(c["fct_contributor_daily_activity"], c.as_of),
     "stg_hn_stories": lambda c: stories.stg_stories(c.raw_stories),
     "int_hn_stories": lambda c: stories.silver_stories(c["stg_hn_stories"]),
-    "int_hn_repo_mentions": lambda c: stories.mentions(c.silver_of_gold(), c.patterns),
+    "int_hn_repo_mentions": lambda c: stories.mentions(c.silver_of_gold(), c.patterns, c.needles),
     "dim_hn_story": lambda c: stories.story_dimension(c["int_hn_stories"], c.as_of),
     "fct_hn_daily_activity": lambda c: stories.story_facts(c.silver_of_gold(), c.as_of),
     "fct_hn_repo_mentions": lambda c: stories.mention_facts(c["int_hn_repo_mentions"], c.as_of),

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from devsignals import params
 from devsignals.functions import numeric
+from devsignals.operators.ranking import first_rows
 from devsignals.plans.repositories import in_range, total
 
 
@@ -25,11 +26,9 @@ def hn_daily_activity(facts: DataFrame, start: dt.date, end: dt.date) -> DataFra
 
 
 def hn_trending_stories(stories: DataFrame, limit: int = 10) -> DataFrame:
-    return (
-        stories.select("story_id", "title", "author", "url", "score", "comment_count", "published_at")
-        .orderBy(F.desc_nulls_first("score"), F.desc_nulls_first("comment_count"), "story_id")
-        .limit(limit)
-    )
+    order = [F.desc_nulls_first("score"), F.desc_nulls_first("comment_count"), F.asc("story_id")]
+    rows = first_rows(stories, order, limit, "story_id", ("story_id", "score", "comment_count"))
+    return rows.select("story_id", "title", "author", "url", "score", "comment_count", "published_at")
 
 
 def hn_top_authors(stories: DataFrame, limit: int = 10) -> DataFrame:
@@ -59,20 +58,21 @@ def hn_mention_summary(facts: DataFrame, start: dt.date | None = None, end: dt.d
     )
 
 
-def _latest(stories: DataFrame, limit: int) -> DataFrame:
-    return (
-        stories.select("story_id", "title", "author", "score", "comment_count", "published_at", "url")
-        .orderBy(F.desc_nulls_first("published_at"), "story_id")
-        .limit(limit)
-    )
+_LISTED = ("story_id", "title", "author", "score", "comment_count", "published_at", "url")
+
+
+def _latest() -> list[Column]:
+    return [F.desc_nulls_first("published_at"), F.asc("story_id")]
 
 
 def hn_recent_stories(stories: DataFrame, limit: int = 10) -> DataFrame:
-    return _latest(stories, limit)
+    rows = first_rows(stories, _latest(), limit, "story_id", ("story_id", "published_at"))
+    return rows.select(*_LISTED)
 
 
 def hn_repo_stories(found: DataFrame, repo: str, limit: int = 5) -> DataFrame:
-    return _latest(found.filter(F.col("mentioned_repo") == repo), limit)
+    """`found` are the mentions, which have been looked for in the titles anyway."""
+    return found.filter(F.col("mentioned_repo") == repo).select(*_LISTED).orderBy(*_latest()).limit(limit)
 
 
 def hn_mentions_over_time(facts: DataFrame, repo: str, start: dt.date, end: dt.date) -> DataFrame:

@@ -128,9 +128,8 @@ def daily_unique_contributors(events: DataFrame) -> DataFrame:
     )
 
 
-def misnamed_repositories(events: DataFrame) -> DataFrame:
-    """Repository names that are not of the form owner/name, with their events."""
-    return (
-        events.groupBy("repo_name").agg(F.count(F.lit(1)).alias("event_count"))
-        .filter(~text.is_repository_name(F.col("repo_name")) | ~F.col("repo_name").like("%/%"))
-    )
+def repository_name_check(events: DataFrame) -> DataFrame:
+    """Repositories with their events and whether the name has the form owner/name."""
+    name = F.col("repo_name")
+    return events.groupBy("repo_name").agg(F.count(F.lit(1)).alias("event_count")).withColumn(
+        "well_formed", F.coalesce(name.like("%/%") & text.is_repository_name(name), F.lit(False)))

@@ -228,8 +228,8 @@ def _reports() -> dict[str, str]:
     q["daily_unique_contributors"] = f"""SELECT CAST(created AS DATE) AS activity_date, repo_name, count(*) AS total_push_events,
         {big('sum(coalesce(commits, 0))')} AS total_commits, count(DISTINCT login) AS unique_contributors
         FROM typed_events WHERE event_type = 'PushEvent' GROUP BY ALL"""
-    q["misnamed_repositories"] = f"""SELECT repo_name, count(*) AS event_count FROM {ev}
-        WHERE NOT regexp_full_match(repo_name, '[a-zA-Z0-9_.-]+/[a-zA-Z0-9_.-]+') GROUP BY repo_name"""
+    q["repository_name_check"] = f"""SELECT repo_name, count(*) AS event_count,
+        coalesce(regexp_full_match(repo_name, '[a-zA-Z0-9_.-]+/[a-zA-Z0-9_.-]+'), false) AS well_formed FROM {ev} GROUP BY repo_name"""
     return q
 
 

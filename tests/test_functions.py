@@ -55,6 +55,17 @@ def test_mentions(spark, title, found):
     assert sorted(r.mentioned_repo for r in stories.mentions(df).collect()) == sorted(found)
 
 
+def test_needles_change_nothing(spark, data):
+    titles = spark.read.parquet(f"{data}/documents.parquet").select(F.concat(F.lit("React or VS  Code, next js? "), "text").alias("t"))
+    titles = titles.unionByName(spark.read.parquet(f"{data}/pages.parquet").select(F.col("html").alias("t")))
+    flags = text.mentions_any(F.col("t"), params.MENTION_PATTERNS) == text.mentions_any(
+        F.col("t"), params.MENTION_PATTERNS, params.MENTION_NEEDLES)
+    assert titles.filter(~F.coalesce(flags, F.lit(True))).count() == 0
+    plain = F.array_compact(text.mentioned_names(F.col("t"), params.MENTION_PATTERNS))
+    quick = F.array_compact(text.mentioned_names(F.col("t"), params.MENTION_PATTERNS, params.MENTION_NEEDLES))
+    assert titles.filter(plain != quick).count() == 0
+
+
 def test_mentions_need_a_pattern(spark):
     with pytest.raises(ValueError):
         stories.mentions(spark.range(1), ())
