@@ -9,12 +9,10 @@ from devsignals.operators import quality
 from devsignals.operators.quality import ERROR, WARN, Check
 from devsignals.plans.catalog import GOLD, Catalog
 
-RAW = {"github_events_raw": "stg_github_events", "hn_stories_raw": "stg_hn_stories"}
-
 # table: (columns that must be present, of severity error), (of severity warn)
 NOT_NULL = {
     "github_events_raw": ("event_id repo_name event_type fetched_at raw_payload", ""),
-    "hn_stories_raw": ("story_id title published_at raw_json fetched_at", ""),
+    "hn_stories_raw": ("story_id title time raw_json fetched_at", ""),
     "int_push_events": ("event_id repo_name commit_count fetched_at", "actor_username push_id commit_ref"),
     "int_pull_requests": ("event_id repo_name pr_action pull_request_id fetched_at", ""),
     "int_hn_stories": ("story_id title score comment_count activity_date published_at fetched_at", "author"),
@@ -105,11 +103,11 @@ class CheckedTables(dict):
     """The tables of a catalog under the names the checks use."""
 
     def __init__(self, catalog: Catalog):
-        super().__init__()
+        super().__init__(github_events_raw=catalog.raw_events, hn_stories_raw=catalog.raw_stories)
         self._catalog = catalog
 
     def __missing__(self, name: str) -> DataFrame:
-        return self._catalog[RAW.get(name, name)]
+        return self._catalog[name]
 
 
 def report(catalog: Catalog, checks: list[Check] | None = None) -> DataFrame:

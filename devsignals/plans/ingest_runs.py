@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -48,10 +49,15 @@ def ranked_story_cap(raw_stories: DataFrame, cap: int = params.TOP_STORY_CAP) ->
 
 # --- insert if absent -------------------------------------------------------
 
+def _landed(polls: Iterable[DataFrame]) -> list[DataFrame]:
+    """Each poll as the files it would arrive in; a load reads them more than once."""
+    return [written(poll, "poll") for poll in polls]
+
+
 def insert_runs(raw_events: DataFrame) -> DataFrame:
     """First poll, second poll, second poll once more: what is stored in the end."""
     spark = raw_events.sparkSession
-    first, second = star_tables.event_polls(raw_events)
+    first, second = _landed(star_tables.event_polls(raw_events))
     path = fresh_path(spark, "events")
     for poll in (first, second, second):
         sinks.insert_if_absent(poll, path, schemas.EVENTS_RAW)
@@ -61,7 +67,7 @@ def insert_runs(raw_events: DataFrame) -> DataFrame:
 def insert_statistics(raw_events: DataFrame) -> DataFrame:
     """Received, inserted and duplicate rows of the three loads."""
     spark = raw_events.sparkSession
-    first, second = star_tables.event_polls(raw_events)
+    first, second = _landed(star_tables.event_polls(raw_events))
     path = fresh_path(spark, "events")
     sinks.create_table(spark, path, schemas.EVENTS_RAW)
     rows = []

@@ -26,6 +26,17 @@ def build_session(app: str = "devsignals", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+def settings_for(input_bytes: int, shuffled_part: float = 0.1, partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Sizes for a given amount of input: enough shuffle partitions that each fits into
+    a task's memory (adaptive execution merges those that stay small), larger splits."""
+    partitions = max(200, -(-int(input_bytes * shuffled_part) // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(2 * partition_bytes),
+    }
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see, as the cluster names it in `spark.checkpoint.dir`.
 

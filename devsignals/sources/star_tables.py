@@ -18,9 +18,16 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Deal a small input out over all cores. Inputs with enough splits, as all large
+    ones have, are left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def raw_events(spark: SparkSession, folder: str) -> DataFrame:
     first, second, third = params.REPOSITORY_NAMES
-    base = read(spark, folder, "events").select(
+    base = spread(read(spark, folder, "events"), "event_id").select(
         "event_id",
         "user_id",
         F.col("event_type").alias("kind"),
@@ -86,7 +93,7 @@ def _with_raw_json(stories: DataFrame) -> DataFrame:
 
 
 def raw_stories(spark: SparkSession, folder: str) -> DataFrame:
-    documents = read(spark, folder, "documents")
+    documents = spread(read(spark, folder, "documents"), "doc_id")
     pages = read(spark, folder, "pages").select("page_id", "url")
     stories = documents.join(pages, documents.doc_id == pages.page_id, "left").selectExpr(
         "doc_id as story_id",

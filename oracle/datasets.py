@@ -171,7 +171,8 @@ DATASETS = {
                CASE WHEN doc_id % 50 <> 0 THEN source END AS author, pages.url AS url,
                CAST(n_chars % 500 AS INTEGER) AS score, 1704067200 + (doc_id * 2592) % 2592000 AS time,
                CASE WHEN doc_id % 11 <> 0 THEN CAST(n_chars % 37 AS INTEGER) END AS descendants,
-               CASE WHEN doc_id % 20 = 19 THEN 'job' ELSE 'story' END AS type, TIMESTAMP '2024-02-01' AS fetched_at
+               CASE WHEN doc_id % 20 = 19 THEN 'job' ELSE 'story' END AS type, TIMESTAMP '2024-02-01' AS fetched_at,
+               CAST(json_object('id', doc_id) AS VARCHAR) AS raw_json
         FROM documents LEFT JOIN pages ON doc_id = page_id""",
     "stg_hn_stories": """
         SELECT story_id, title, author, url, score, coalesce(descendants, 0) AS comment_count, type AS story_type,

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from devsignals.plans.checks import RAW, declared
+from devsignals.plans.checks import declared
 from oracle.datasets import AS_OF, ratio
 
-# the serialized story document is not part of the SQL side
-_COLUMNS = {("hn_stories_raw", "raw_json"): "raw_score"}
+_TABLES = {"github_events_raw": "stg_github_events", "hn_stories_raw": "raw_stories"}
 
 
 def _failing(check) -> str:
-    table = RAW.get(check.table, check.table)
-    columns = [_COLUMNS.get((check.table, c), c) for c in check.columns]
+    table = _TABLES.get(check.table, check.table)
+    columns = check.columns
     first = columns[0]
     if check.kind == "not_null":
         return f"SELECT count(*) AS n FROM {table} WHERE {first} IS NULL"

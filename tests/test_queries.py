@@ -20,9 +20,15 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
 
 
+FORBIDDEN = ("CartesianProduct", "NestedLoopJoin", "EvalPython", "MapInPandas", "FlatMapGroups", "ExistingRDD")
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(name, spark, data, duck):
-    found = difference(from_spark(QUERIES[name](spark, data)), from_sql(duck, SQL[name]))
+    df = QUERIES[name](spark, data)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert [word for word in FORBIDDEN if word in plan] == []
+    found = difference(from_spark(df), from_sql(duck, SQL[name]))
     assert found is None, found
 
 
