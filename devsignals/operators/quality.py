@@ -139,8 +139,10 @@ def no_negative_commit_count(pushes: DataFrame) -> DataFrame:
 
 
 def push_model_integrity(pushes: DataFrame, events: DataFrame) -> DataFrame:
-    """Events listed as pushes that the bronze table knows under another type."""
-    other = events.filter(F.col("event_type") != params.PUSH).select("event_id", "event_type")
+    """Events listed as pushes that the bronze table knows under another type: each listed
+    row once per such type. Bronze is reduced to distinct pairs of id and type first, so
+    copies of an event are not paired with each other."""
+    other = events.filter(F.col("event_type") != params.PUSH).select("event_id", "event_type").distinct()
     return pushes.select("event_id", "repo_name").join(other, "event_id")
 
 

@@ -56,7 +56,7 @@ def upserted(first: str, second: str) -> str:
                coalesce(a.type, b.type) AS type,
                CASE WHEN b.story_id IS NULL THEN a.fetched_at ELSE b.fetched_at END AS fetched_at,
                CAST(CASE WHEN b.story_id IS NULL THEN a.score ELSE b.score END AS VARCHAR) AS raw_score
-        FROM {first} a FULL JOIN {second} b ON a.story_id = b.story_id"""
+        FROM (SELECT DISTINCT * FROM {first}) a FULL JOIN (SELECT DISTINCT * FROM {second}) b ON a.story_id = b.story_id"""
 
 
 DATASETS = {
@@ -212,8 +212,9 @@ DATASETS = {
         SELECT event_id, repo_name, event_type, fetched_at + INTERVAL 1 DAY AS fetched_at, raw_payload
         FROM stg_github_events WHERE fetched_at >= TIMESTAMP '2024-01-10'""",
     "stored_events": """
-        SELECT * FROM first_events
-        UNION ALL SELECT * FROM second_events WHERE event_id NOT IN (SELECT event_id FROM first_events)""",
+        SELECT event_id, repo_name, event_type, fetched_at, raw_payload
+        FROM (SELECT *, 1 AS poll FROM first_events UNION ALL SELECT *, 2 FROM second_events)
+        QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY poll, fetched_at, raw_payload) = 1""",
     "first_stories": "SELECT * FROM raw_stories WHERE time < epoch(TIMESTAMP '2024-01-20')",
     "second_stories": """
         SELECT story_id, 'Edited: ' || title AS title, author, url, score + 10 AS score, time,

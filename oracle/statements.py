@@ -248,7 +248,8 @@ def _checks() -> dict[str, str]:
     q["dq_no_negative_commit_count"] = negative.format(d=0)
     q["dq_no_negative_commit_count_found"] = negative.format(d=3)
     q["dq_push_model_integrity"] = """SELECT p.event_id, p.repo_name, e.event_type FROM int_push_events p
-        JOIN stg_github_events e ON p.event_id = e.event_id WHERE e.event_type <> 'PushEvent'"""
+        JOIN (SELECT DISTINCT event_id, event_type FROM stg_github_events) e ON p.event_id = e.event_id
+        WHERE e.event_type <> 'PushEvent'"""
     q["dq_push_model_integrity_found"] = """SELECT event_id, repo_name, event_type FROM stg_github_events
         WHERE event_type <> 'PushEvent'"""
 

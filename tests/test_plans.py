@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from devsignals import params, schemas
-from devsignals.operators import activity, stories
+from devsignals.operators import activity, quality, stories
 from devsignals.plans import contributors, raw_report, repositories
 from devsignals.session import fresh_path, settings_for
 from devsignals.sources import landing, sinks, star_tables
@@ -113,6 +113,12 @@ def test_copies_of_one_event_are_cut_before_the_shuffle(spark):
     assert plan_of(sinks.first_per_key(copies, "event_id", ["fetched_at"])).count("WindowGroupLimit") == 2
 
 
+def test_copies_are_not_paired_with_each_other(spark):
+    copies = spark.range(20000).select(F.lit("1").alias("event_id"), F.lit("a/b").alias("repo_name"),
+                                       F.lit("IssuesEvent").alias("event_type"))
+    assert quality.push_model_integrity(copies, copies).count() == 20000
+
+
 def test_event_pages_stay_small(spark, data):
     pages = star_tables.event_pages(star_tables.raw_events(spark, data)).collect()
     sizes = [len(json.loads(p.value)["events"]) for p in pages]
