@@ -124,7 +124,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["hn_mention_summary_all"] = _on(mention_fct, community.hn_mention_summary)
     q["hn_mention_summary_range"] = _on(mention_fct, community.hn_mention_summary, START, dt.date(2024, 1, 15))
     q["hn_recent_stories"] = _on(story_dim, community.hn_recent_stories)
-    q["hn_repo_stories"] = _on("int_hn_repo_mentions", community.hn_repo_stories, REPO)
+    q["hn_repo_stories"] = _on_catalog(lambda c: community.hn_repo_stories(c.mentions_of(REPO), REPO))
     q["hn_mentions_over_time"] = _on(mention_fct, community.hn_mentions_over_time, REPO, START, END)
     q["hn_repo_period_totals"] = _on(mention_fct, community.hn_repo_period_totals, REPO, START, END)
 
@@ -188,10 +188,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["ingest_upsert_compacted"] = _on_catalog(lambda c: ingest_runs.upsert_after_compaction(raw_s(c)))
     q["ingest_upsert_stats"] = _on_catalog(lambda c: ingest_runs.upsert_statistics(raw_s(c)))
     q["stream_events_first_wins"] = _on_catalog(lambda c: ingest_runs.stream_first_wins(raw_e(c)))
+    q["stream_events_within_watermark"] = _on_catalog(lambda c: ingest_runs.stream_within_watermark(raw_e(c)))
     q["stream_stories_upsert"] = _on_catalog(lambda c: ingest_runs.stream_upsert(raw_s(c)))
     q["stream_daily_counts"] = _on_catalog(lambda c: ingest_runs.stream_daily_counts(raw_e(c)))
     q["incremental_fact_refresh"] = _on_catalog(lambda c: ingest_runs.refresh_run(c, REFRESH_SINCE))
     q["repository_history"] = _on_catalog(lambda c: ingest_runs.repository_history(c, MID_MONTH, AS_OF))
+    q["published_repository_facts"] = _on_catalog(ingest_runs.published_facts)
     q["csv_export"] = _on_catalog(ingest_runs.csv_export)
     q["sql_over_views"] = _on_catalog(ingest_runs.sql_over_views)
     return q

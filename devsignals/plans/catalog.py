@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -50,6 +51,15 @@ VIEWS = ("stg_github_events", "int_push_events", "int_pull_requests", "stg_hn_st
          "int_hn_repo_mentions")
 
 
+# groups of tables that need no table of another group, only activity_base or dim_hn_story
+INDEPENDENT = (
+    ("fct_github_daily_activity", "dim_repository"),
+    ("fct_contributor_daily_activity", "dim_contributor"),
+    ("fct_hn_daily_activity",),
+    ("fct_hn_repo_mentions",),
+)
+
+
 @dataclass
 class Catalog:
     spark: SparkSession
@@ -83,7 +93,20 @@ class Catalog:
         read the table instead of joining and parsing once more."""
         return self["dim_hn_story"].drop("hn_story_key", "created_at")
 
+    def mentions_of(self, repo: str) -> DataFrame:
+        """Mentions of one repository: only its own pattern is looked for."""
+        own = [pattern for pattern in self.patterns if pattern[0] == repo]
+        return stories.mentions(self.silver_of_gold(), own, self.needles) if own else self["int_hn_repo_mentions"]
+
     def build(self, names: Sequence[str] = GOLD) -> dict[str, DataFrame]:
+        """Write the named gold tables; writes that do not need each other run together."""
+        wanted = set(names)
+        first = [base for base, users in (("activity_base", CODE_GOLD), ("dim_hn_story", STORY_GOLD)) if wanted & set(users)]
+        chains = [[name for name in chain if name in wanted] for chain in INDEPENDENT]
+        self.path("")
+        with ThreadPoolExecutor(len(INDEPENDENT)) as pool:
+            list(pool.map(self.__getitem__, first))
+            list(pool.map(lambda chain: [self[name] for name in chain], chains))
         return {name: self[name] for name in names}
 
     def register_views(self, names: Sequence[str] = VIEWS + GOLD) -> None:

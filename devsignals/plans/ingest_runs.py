@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, functions as F
 
 from devsignals import params, schemas
 from devsignals.operators import activity, history
 from devsignals.plans import publish
-from devsignals.plans.catalog import LAYOUTS, Catalog, repository_metadata
+from devsignals.plans.catalog import CODE_GOLD, LAYOUTS, Catalog, repository_metadata
+from devsignals.plans.checks import gold_checks
 from devsignals.session import fresh_path, written
 from devsignals.sources import landing, sinks, star_tables
 from devsignals.streaming import events as event_streams
@@ -130,6 +132,17 @@ def stream_first_wins(raw_events: DataFrame) -> DataFrame:
     return landing.read_events_table(spark, f"{root}/table").drop("raw_payload")
 
 
+def stream_within_watermark(raw_events: DataFrame, delay: str = "30 days") -> DataFrame:
+    """The same landing through the form with bounded state; which events are kept."""
+    spark = raw_events.sparkSession
+    root = fresh_path(spark, "bounded-stream")
+    for poll in star_tables.event_polls(raw_events):
+        poll.write.mode("append").parquet(f"{root}/landing")
+        kept = event_streams.first_within(event_streams.read_event_stream(spark, f"{root}/landing"), delay)
+        event_streams.append_to(kept, f"{root}/table", f"{root}/checkpoint").awaitTermination()
+    return spark.read.schema(kept.schema).parquet(f"{root}/table").select("event_id", "repo_name", "event_type")
+
+
 def stream_upsert(raw_stories: DataFrame) -> DataFrame:
     spark = raw_stories.sparkSession
     root = fresh_path(spark, "story-stream")
@@ -164,6 +177,16 @@ def refresh_run(catalog: Catalog, since: dt.date) -> DataFrame:
     return spark.read.schema(facts.schema).parquet(path).select(*facts.columns)
 
 
+def published_facts(catalog: Catalog) -> DataFrame:
+    """Repository facts as readers see them after build, checks and publication of the
+    tables on code activity."""
+    root = fresh_path(catalog.spark, "published")
+    own_checks = [c for c in gold_checks() if c.table in CODE_GOLD]
+    publish.build_and_publish(replace(catalog, root=None, _frames={}), root, catalog.as_of, own_checks, CODE_GOLD)
+    facts = publish.published_table(catalog.spark, root, "fct_github_daily_activity")
+    return facts.select(*catalog["fct_github_daily_activity"].columns)
+
+
 HISTORY_ATTRIBUTES = ("language", "stars", "total_pushes", "total_commits", "total_pr_events")
 
 

@@ -271,6 +271,7 @@ def _ingestion() -> dict[str, str]:
     q["ranked_story_cap"] = "SELECT story_id, score FROM raw_stories ORDER BY score DESC NULLS LAST, story_id LIMIT 50"
     q["ingest_insert_if_absent"] = "SELECT * FROM stored_events"
     q["stream_events_first_wins"] = "SELECT * EXCLUDE (raw_payload) FROM stored_events"
+    q["stream_events_within_watermark"] = "SELECT DISTINCT event_id, repo_name, event_type FROM stored_events"
     loads = f"""
         SELECT 1 AS load, count(*) AS received, count(DISTINCT event_id) AS inserted FROM first_events
         UNION ALL SELECT 2, count(*), count(DISTINCT event_id) FILTER (event_id NOT IN (SELECT event_id FROM first_events))
@@ -289,6 +290,7 @@ def _ingestion() -> dict[str, str]:
         FROM (SELECT CAST(fetched_at AS DATE) AS activity_date, repo_name, max(fetched_at) OVER () AS newest
               FROM stg_github_events)
         WHERE activity_date + INTERVAL 1 DAY <= newest - INTERVAL 1 DAY GROUP BY activity_date, repo_name"""
+    q["published_repository_facts"] = "SELECT * FROM fct_github_daily_activity"
     q["incremental_fact_refresh"] = "SELECT * FROM fct_github_daily_activity"
     snapshot = """SELECT repo_name, {r} AS total_pushes, {c} AS total_commits, {p} AS total_pr_events
         FROM fct_github_daily_activity WHERE activity_date < DATE '{d}' GROUP BY repo_name"""
