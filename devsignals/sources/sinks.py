@@ -27,7 +27,11 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None, sort_
     keys = ([partition_by] if partition_by else []) + [c for c in sort_by if c != partition_by]
     if keys:
         df = df.sortWithinPartitions(*keys)
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if dynamic else "static")
+    writer = (
+        df.write.mode("overwrite")
+        .option("compression", "zstd")
+        .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
+    )
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)

@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from devsignals import schemas
 from devsignals.sources import sinks
+from devsignals.streaming import triggered
 
 
 def with_event_time(stream: DataFrame) -> DataFrame:
@@ -21,21 +22,16 @@ def read_event_stream(spark: SparkSession, landing: str) -> DataFrame:
     return spark.readStream.schema(schemas.EVENTS_RAW).parquet(landing)
 
 
-def store_first(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
+def store_first(stream: DataFrame, target: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Keep the first event of each id, exactly: each micro-batch is an insert-if-absent.
 
     A micro-batch repeated after a failure finds its rows stored and adds nothing.
-    Processes what has landed, then stops.
     """
     def store(batch: DataFrame, _: int) -> None:
         sinks.insert_if_absent(batch, target, schemas.EVENTS_RAW)
 
-    return (
-        stream.writeStream.foreachBatch(store)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    writer = stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+    return triggered(writer, every).start()
 
 
 def first_within(stream: DataFrame, delay: str) -> DataFrame:
@@ -53,9 +49,6 @@ def daily_counts(stream: DataFrame, delay: str = "1 day") -> DataFrame:
     )
 
 
-def append_to(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    return (
-        stream.writeStream.format("parquet").outputMode("append")
-        .option("checkpointLocation", checkpoint).option("path", path)
-        .trigger(availableNow=True).start()
-    )
+def append_to(stream: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    writer = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+    return triggered(writer.option("path", path), every).start()

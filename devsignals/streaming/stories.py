@@ -7,13 +7,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from devsignals import schemas
 from devsignals.sources import landing, sinks
+from devsignals.streaming import triggered
 
 
 def read_story_stream(spark: SparkSession, folder: str) -> DataFrame:
     return spark.readStream.schema(schemas.STORIES_RAW).parquet(folder)
 
 
-def upsert(stream: DataFrame, log: str, checkpoint: str) -> StreamingQuery:
+def upsert(stream: DataFrame, log: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Append each micro-batch to the change log under its own number, so that a
     repeated one replaces itself. Rows that cannot be stored go to `<log>-rejected`."""
     def store(batch: DataFrame, number: int) -> None:
@@ -22,9 +23,5 @@ def upsert(stream: DataFrame, log: str, checkpoint: str) -> StreamingQuery:
         sinks.append_changes(landing.rejected_stories(batch), f"{log}-rejected", number)
         batch.unpersist()
 
-    return (
-        stream.writeStream.foreachBatch(store)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    writer = stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+    return triggered(writer, every).start()

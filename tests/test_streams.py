@@ -39,6 +39,21 @@ def test_stream_resumes_where_it_stopped(spark):
     assert sorted((r.event_id, r.fetched_at.hour) for r in rows) == [("1", 1), ("2", 0)]
 
 
+def test_stream_at_an_interval(spark):
+    root = fresh_path(spark, "s")
+    land_events(spark, root, ("1", 0))
+    query = event_streams.store_first(
+        event_streams.read_event_stream(spark, f"{root}/landing"), f"{root}/table", f"{root}/cp", every="1 second")
+    try:
+        query.processAllAvailable()
+        land_events(spark, root, ("1", 5), ("2", 5))
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    rows = spark.read.schema(schemas.EVENTS_RAW).parquet(f"{root}/table").collect()
+    assert sorted((r.event_id, r.fetched_at.hour) for r in rows) == [("1", 0), ("2", 5)]
+
+
 def test_lost_progress_is_repaired_by_repeating(spark):
     """A new checkpoint reads everything again; the table stays as it is."""
     root = fresh_path(spark, "s")
