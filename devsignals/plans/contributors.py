@@ -202,20 +202,21 @@ def contribution_share(facts: DataFrame, k: int = 5) -> DataFrame:
     """Commits of the k leading users of each repository and of all others together.
 
     The others are the repository's total less its leaders, so no ranking over all
-    users of a repository is needed.
+    users of a repository is needed: each leader counts once for itself and once,
+    negatively, for the others.
     """
     per_user = _commits_per_user(facts)
-    leaders = _leading_users(per_user, k)
-    whole = per_user.groupBy("repo_name").agg(F.sum("commits").alias("all_commits"), F.count(F.lit(1)).alias("users"))
-    led = leaders.groupBy("repo_name").agg(F.sum("commits").alias("led"))
-    others = whole.filter(F.col("users") > k).join(led, "repo_name").select(
-        "repo_name", F.lit("Others").alias("contributor_group"), (F.col("all_commits") - F.col("led")).alias("commits")
-    )
+    itself = F.struct(F.col("username").alias("contributor_group"), F.col("commits"), F.lit(1).alias("users"))
+    not_other = F.struct(F.lit("Others").alias("contributor_group"), (-F.col("commits")).alias("commits"),
+                         F.lit(-1).alias("users"))
+    leaders = _leading_users(per_user, k).select("repo_name", F.inline(F.array(itself, not_other)))
+    everyone = per_user.groupBy("repo_name").agg(F.sum("commits").alias("commits"), F.count(F.lit(1)).alias("users"))
     return (
-        leaders.select("repo_name", F.col("username").alias("contributor_group"), "commits")
-        .unionByName(others)
+        leaders.unionByName(everyone.withColumn("contributor_group", F.lit("Others")))
         .groupBy("repo_name", "contributor_group")
-        .agg(F.sum("commits").alias("commits"))
+        .agg(F.sum("commits").alias("commits"), F.sum("users").alias("users"))
+        .filter(F.col("users") > 0)
+        .drop("users")
         .orderBy("repo_name", F.desc_nulls_first("commits"), "contributor_group")
     )
 

@@ -157,3 +157,31 @@ def test_cluster_needs_a_shared_folder(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     with pytest.raises(RuntimeError):
         shared_folder(NoFolder())
+
+
+def test_random_batches_against_a_plain_loop(spark):
+    """Both writers against the row-by-row meaning of insert-if-absent and upsert."""
+    import random
+
+    rng = random.Random(7)
+    events_path, stories_path = fresh_path(spark, "t"), fresh_path(spark, "t")
+    kept, state, clock = {}, {}, 0
+    for number in range(4):
+        batch, items = [], []
+        for _ in range(60):
+            clock += 1
+            # one key takes a third of all rows
+            key = 0 if rng.random() < 0.34 else rng.randrange(1, 40)
+            batch.append((str(key), clock, f"p{clock}"))
+            kept.setdefault(str(key), f"p{clock}")
+            comments = rng.choice([None, 1, 2])
+            items.append((key + 1, f"t{clock}", clock, comments, clock))
+            title = state[key + 1][0] if key + 1 in state else f"t{clock}"
+            state[key + 1] = (title, clock, comments)
+        rng.shuffle(batch)
+        rng.shuffle(items)
+        sinks.insert_if_absent(events(spark, *batch), events_path, schemas.EVENTS_RAW)
+        sinks.append_changes(stories(spark, *items), stories_path, number)
+    assert stored(spark, events_path) == sorted(kept.items())
+    rows = sinks.current_state(sinks.read_changes(spark, stories_path, schemas.STORIES_RAW)).collect()
+    assert {r.story_id: (r.title, r.score, r.descendants) for r in rows} == state
