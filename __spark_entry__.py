@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -52,7 +53,7 @@ def _on(table: str, report: Callable[..., DataFrame], *args) -> Callable[[SparkS
     return _on_catalog(lambda c: report(c[table], *args))
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     repo_dim, user_dim, repo_fct, user_fct = CODE_GOLD
     story_dim, story_fct, mention_fct = STORY_GOLD
     events, items = "stg_github_events", "stg_hn_stories"
@@ -199,7 +200,33 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return q
 
 
-def oracle_sql() -> dict[str, str]:
+def _has_llm() -> bool:
+    return bool(importlib.util.find_spec("devsignals.llm") and importlib.util.find_spec("corpus_pipeline"))
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    q = core_queries()
+    if _has_llm():
+        import corpus_pipeline
+        from devsignals.llm import queries as llm
+
+        q |= llm.queries() | {"pipeline": corpus_pipeline.run}
+    return q
+
+
+def core_sql() -> dict[str, str]:
     from oracle import statements
 
     return statements()
+
+
+def oracle_sql() -> dict[str, str]:
+    sql = core_sql()
+    if _has_llm():
+        import corpus_pipeline
+        from devsignals.llm import queries as llm
+
+        sql |= llm.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return sql

@@ -5,8 +5,8 @@ import pytest
 import __spark_entry__ as entry
 from compare import connect, difference, from_spark, from_sql
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = entry.core_queries()
+SQL = entry.core_sql()
 
 
 @pytest.fixture(scope="module")
