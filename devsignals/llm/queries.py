@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from devsignals.llm import (decontamination, fixity, language_id, licenses, line_rules, quality_crf,
-                            sentence_pieces, simhash, site_lines)
+from devsignals.llm import (decontamination, fixity, language_id, licenses, line_rules, pitman_yor,
+                            quality_crf, sentence_pieces, simhash, site_lines)
 from devsignals.llm.common import table
 
 
@@ -27,6 +27,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_warc_fixity": lambda s, d: fixity.query(table(s, d, "pages")),
         "op7_simhash": lambda s, d: simhash.query(table(s, d, "documents")),
         "op8_decontamination": lambda s, d: decontamination.query(table(s, d, "documents"), table(s, d, "benchmark")),
+        "op9_pitman_yor": lambda s, d: pitman_yor.query(table(s, d, "documents")),
         "op10_license_scan": lambda s, d: licenses.query(table(s, d, "documents")),
     }
 
