@@ -36,7 +36,7 @@ WINDOW = 5
 THRESHOLD = 0.8
 MIN_ITEM_WORDS = 3
 BITS = 1 << 24
-MAX_WORDS_KEPT = 1 << 20
+MAX_WORDS_KEPT = 1 << 18
 # Units of measure.
 UNITS = frozenset((
     "mm cm km kg mg lb lbs oz ft yd mi mph kmh hz khz mhz ghz kb mb gb tb ml litre litres liter liters metre metres meter meters "

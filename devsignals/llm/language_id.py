@@ -114,14 +114,15 @@ def train(docs: DataFrame, is_training: Column, text: str = "text", lang: str =
                  np.log(grams / grams.sum(axis=1, keepdims=True)) if languages else grams)
 
 
-def predict(docs: DataFrame, model: Model, text: str = "text", orders=ORDERS, buckets: int = BUCKETS) -> DataFrame:
-    """Adds `lang_pred` and `score` (probability of the language) to the rows."""
+def predict(docs: DataFrame, model: Model, text: str = "text", orders=ORDERS, buckets: int = BUCKETS,
+            names=("lang_pred", "score")) -> DataFrame:
+    """Adds the language and its probability to the rows, as columns of these names."""
     padded = np.pad(model.log_prob, ((0, 0), (0, 1)))
     shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.log_prior, padded))
 
     def score(batches):
         languages, log_prior, log_prob = shared.value
-        letters, names = letter_table(), np.array(languages + [UNDETERMINED], dtype=object)
+        letters, choices = letter_table(), np.array(languages + [UNDETERMINED], dtype=object)
         for batch in batches:
             for part, texts in text_slices(batch, text):
                 found, known = ngram_buckets(texts, letters, orders, buckets)
@@ -135,12 +136,12 @@ def predict(docs: DataFrame, model: Model, text: str = "text", orders=ORDERS, bu
                 else:
                     best, share, known = np.zeros(len(texts), int), np.zeros(len(texts)), np.zeros(len(texts), bool)
                 out = [part.column(i) for i in range(part.num_columns)]
-                out += [pa.array(names[np.where(known, best, len(languages))], pa.string()),
+                out += [pa.array(choices[np.where(known, best, len(languages))], pa.string()),
                         pa.array(np.where(known, share, 0.0), pa.float64())]
-                yield pa.RecordBatch.from_arrays(out, names=part.schema.names + ["lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays(out, names=part.schema.names + list(names))
 
-    rows = docs.drop("lang_pred", "score")
-    return rows.mapInArrow(score, extended(rows.schema, lang_pred="string", score="double"))
+    rows = docs.drop(*names)
+    return rows.mapInArrow(score, extended(rows.schema, **dict(zip(names, ("string", "double")))))
 
 
 def identify(docs: DataFrame, id_column: str = "doc_id", held_out_parts: int = 5) -> DataFrame:
@@ -156,7 +157,6 @@ def query(docs: DataFrame) -> DataFrame:
 
 def keep_identified(docs: DataFrame, min_score: float = 0.5) -> DataFrame:
     """Documents whose language is known with at least `min_score`; the columns stay as they were."""
-    names = docs.columns
-    inner = docs.select(F.struct(*names).alias("row"), "doc_id", "text", "lang")
-    known = (F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score)
-    return identify(inner).where(known).select("row.*")
+    model = train(docs, fold("doc_id", 5) != 0)
+    known = (F.col("__language") != UNDETERMINED) & (F.col("__score") >= min_score)
+    return predict(docs, model, names=("__language", "__score")).where(known).select(docs.columns)

@@ -34,7 +34,7 @@ from devsignals.llm.common import extended, offsets_of, text_slices
 MARK = "▁"
 NEW_WORD = re.compile(MARK + "+[^" + MARK + "]*|[^" + MARK + "]+")
 NONE = np.iinfo(np.int64).max
-MAX_CACHED_WORDS = 1 << 19
+MAX_CACHED_WORDS = 1 << 18
 
 
 @dataclass
