@@ -76,7 +76,7 @@ class Tokens:
         self.bare: list[str] = []
 
     def of(self, words: list[bytes]) -> np.ndarray:
-        new = [w for w in dict.fromkeys(words) if w not in self.number]
+        new = list(set(words).difference(self.number))
         if new:
             found = [token_of(w.decode("utf-8", "replace")) for w in new]
             self.number.update(zip(new, range(len(self.bare), len(self.bare) + len(new))))
@@ -85,8 +85,7 @@ class Tokens:
                 [(digest(t, 1), digest(b, 2)) for t, b in found], dtype=np.uint64).reshape(-1, 2)])
             self.slot = np.concatenate([self.slot, np.array([t[:1] == "<" and t != b for t, b in found])])
             self.bare += [b for _, b in found]
-        number = self.number
-        return np.fromiter((number[w] for w in words), np.int64, len(words))
+        return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
 
 
 def windows_of(tokens: Tokens, ids: np.ndarray, width: int) -> np.ndarray:

@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
-from itertools import groupby
+from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -223,14 +223,14 @@ class Merger:
             self.forget()
         split = [NEW_WORD.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
         places = self.places
-        new = list(dict.fromkeys(w for words in split for w in words if w not in places))
+        new = list(set(chain.from_iterable(split)).difference(places))
         if new:
             flat, starts = self.merge(new)
             places.update(zip(new, range(len(places), len(places) + len(new))))
             self.starts = np.concatenate([self.starts, self.starts[-1] + starts[1:]])
             self.flat = np.concatenate([self.flat, flat])
         counts = np.fromiter(map(len, split), np.int64, len(split))
-        which = np.fromiter((places[w] for words in split for w in words), np.int64, int(counts.sum()))
+        which = np.fromiter(map(places.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
         begin, length = self.starts[which], np.diff(self.starts)[which]
         ends = offsets_of(length)
         ids = self.flat[np.repeat(begin - ends[:-1], length) + np.arange(ends[-1])]
