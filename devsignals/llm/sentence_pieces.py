@@ -35,6 +35,7 @@ MARK = "▁"
 NEW_WORD = re.compile(MARK + "+[^" + MARK + "]*|[^" + MARK + "]+")
 NONE = np.iinfo(np.int64).max
 MAX_CACHED_WORDS = 1 << 18
+DECODED_IDS = 1 << 19        # ids decoded at a time (one row at least)
 
 
 @dataclass
@@ -237,21 +238,24 @@ class Merger:
         return ids, ends[offsets_of(counts)]
 
 
-def encode(docs: DataFrame, model_path: str, text: str = "text") -> DataFrame:
-    """Adds `ids` (array of int) to the rows."""
+def encode(docs: DataFrame, model_path: str, text: str = "text", and_decode: bool = False) -> DataFrame:
+    """Adds `ids` (array of int) to the rows; with `and_decode` also `decoded`, the text of the ids, in the same pass."""
     shared = docs.sparkSession.sparkContext.broadcast(read_vocabulary(model_path))
+    added = {"ids": "array<int>"} | ({"decoded": "string"} if and_decode else {})
 
     def run(batches):
-        merger = Merger(shared.value)
+        merger, pieces = Merger(shared.value), piece_table(shared.value)
         for batch in batches:
             for part, raw in text_slices(batch, text):
                 ids, starts = merger.encode([x.decode("utf-8", "replace") for x in raw])
-                column = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids, pa.int32()))
-                yield pa.RecordBatch.from_arrays([part.column(i) for i in range(part.num_columns)] + [column],
-                                                 names=part.schema.names + ["ids"])
+                out = [part.column(i) for i in range(part.num_columns)]
+                out.append(pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids, pa.int32())))
+                if and_decode:
+                    out.append(pa.array(decode_flat(shared.value, ids, starts, pieces), pa.string()))
+                yield pa.RecordBatch.from_arrays(out, names=part.schema.names + list(added))
 
-    rows = docs.drop("ids")
-    return rows.mapInArrow(run, extended(rows.schema, ids="array<int>"))
+    rows = docs.drop(*added)
+    return rows.mapInArrow(run, extended(rows.schema, **added))
 
 
 def decode_flat(v: Vocabulary, ids: np.ndarray, starts: np.ndarray, table: list[bytes]) -> list[str]:
@@ -309,19 +313,26 @@ def decode(rows: DataFrame, model_path: str) -> DataFrame:
         v = shared.value
         pieces = piece_table(v)
         for batch in batches:
-            column = batch.column(batch.schema.get_field_index("ids"))
-            lengths = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
-            texts = decode_flat(v, column.flatten().to_numpy(zero_copy_only=False), offsets_of(lengths), pieces)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(i) for i in range(batch.num_columns)] + [pa.array(texts, pa.string())],
-                names=batch.schema.names + ["decoded"])
+            lengths = pc.fill_null(pc.list_value_length(batch.column(batch.schema.get_field_index("ids"))), 0)
+            ends = np.cumsum(lengths.to_numpy(zero_copy_only=False).astype(np.int64))
+            start = 0
+            while start < batch.num_rows:
+                most = (ends[start - 1] if start else 0) + DECODED_IDS
+                stop = max(start + 1, int(np.searchsorted(ends, most, side="right")))
+                part = batch.slice(start, stop - start)
+                ids = part.column(part.schema.get_field_index("ids")).flatten().to_numpy(zero_copy_only=False)
+                texts = decode_flat(v, ids, offsets_of(np.diff(ends[start:stop], prepend=ends[start - 1] if start else 0)), pieces)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(i) for i in range(part.num_columns)] + [pa.array(texts, pa.string())],
+                    names=part.schema.names + ["decoded"])
+                start = stop
 
     rows = rows.drop("decoded")
     return rows.mapInArrow(run, extended(rows.schema, decoded="string"))
 
 
 def query(docs: DataFrame, model_path: str) -> DataFrame:
-    coded = decode(encode(docs.select("doc_id", "text"), model_path).drop("text"), model_path)
+    coded = encode(docs.select("doc_id", "text"), model_path, and_decode=True)
     return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
@@ -330,5 +341,5 @@ def query(docs: DataFrame, model_path: str) -> DataFrame:
 
 def with_tokens(docs: DataFrame, model_path: str) -> DataFrame:
     """The rows with their ids, the number of them, and the text that decoding gives back."""
-    coded = decode(encode(docs.drop("n_tokens"), model_path), model_path)
+    coded = encode(docs.drop("n_tokens"), model_path, and_decode=True)
     return coded.withColumn("n_tokens", F.size("ids").cast("long"))
