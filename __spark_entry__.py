@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from devsignals import params  # noqa: E402
-from devsignals.operators import activity, quality  # noqa: E402
+from devsignals.functions import text, times  # noqa: E402
+from devsignals.operators import activity, quality, reshape  # noqa: E402
 from devsignals.operators import stories as story_ops  # noqa: E402
 from devsignals.plans import checks, community, contributors, health, ingest_runs, raw_report, repositories  # noqa: E402
 from devsignals.plans.catalog import CODE_GOLD, STORY_GOLD, VIEWS, Catalog  # noqa: E402
@@ -86,6 +87,16 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["daily_trend_90d"] = _on(repo_fct, repositories.daily_trend, AS_OF.date(), 90)
     q["last_7_days"] = _on(repo_fct, repositories.recent_days, AS_OF.date(), 7)
 
+    q["default_window_report"] = _on(repo_fct, repositories.daily_activity_all_repos, *times.date_window(AS_OF.date()))
+    q["formatted_totals"] = _on(repo_dim, lambda df: df.select(
+        "repo_name", *[text.thousands(F.col(c)).alias(c) for c in ("total_commits", "total_pr_events")]))
+    q["nonzero_measures"] = _on(user_fct, lambda df: reshape.drop_empty_measures(
+        df.groupBy("username").agg(F.sum("push_count").alias("push_count"), F.sum("pr_event_count").alias("pr_event_count"),
+                                   F.sum(F.col("push_count") * 0).alias("empty_measure")),
+        ("push_count", "pr_event_count", "empty_measure")))
+    q["mentions_custom_patterns"] = _on("int_hn_stories", lambda df: story_ops.mentions(
+        df, (("facebook/react", "(?:react|the|and)", None),)).select("story_id", "mentioned_repo"))
+
     # contributors
     q["contributor_leaderboard_all"] = _on_catalog(
         lambda c: contributors.contributor_leaderboard(c[user_dim], c[user_fct]))
@@ -195,6 +206,8 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["incremental_fact_refresh"] = _on_catalog(lambda c: ingest_runs.refresh_run(c, REFRESH_SINCE))
     q["repository_history"] = _on_catalog(lambda c: ingest_runs.repository_history(c, MID_MONTH, AS_OF))
     q["published_repository_facts"] = _on_catalog(ingest_runs.published_facts)
+    q["namespace_tables"] = _on_catalog(ingest_runs.namespaces)
+    q["published_report"] = _on_catalog(ingest_runs.report_of_published)
     q["csv_export"] = _on_catalog(ingest_runs.csv_export)
     q["sql_over_views"] = _on_catalog(ingest_runs.sql_over_views)
     return q

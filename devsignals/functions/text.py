@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from functools import reduce
-from types import MappingProxyType
 
 from pyspark.sql import Column, functions as F
 
 from devsignals import params
 
-Patterns = Sequence[tuple[str, str]]
-NO_NEEDLES: Mapping[str, str] = MappingProxyType({})
+# name, expression, needle of the expression or None
+Patterns = Sequence[tuple[str, str, str | None]]
 
 
 def surrogate_key(business_key: Column, salt: str) -> Column:
@@ -37,29 +36,29 @@ def mention_regex(pattern: str) -> str:
     return "(?d)" + params.MENTION_PREFIX + pattern + params.MENTION_SUFFIX
 
 
-def mentions_any(title: Column, patterns: Patterns, needles: Mapping[str, str] = NO_NEEDLES) -> Column:
+def mentions_any(title: Column, patterns: Patterns) -> Column:
     """True when at least one pattern occurs; one pass of one expression for all patterns.
 
     When every pattern has a needle, a text without any needle is ruled out by plain
     search, which is several times cheaper.
     """
     lowered = F.lower(title)
-    found = lowered.rlike(mention_regex("(?:" + "|".join(p for _, p in patterns) + ")"))
-    if all(name in needles for name, _ in patterns):
-        plain = [lowered.contains(needles[name]) for name, _ in patterns]
-        found = reduce(lambda a, b: a | b, plain) & found
+    found = lowered.rlike(mention_regex("(?:" + "|".join(p for _, p, _ in patterns) + ")"))
+    needles = [needle for _, _, needle in patterns]
+    if all(needles):
+        found = reduce(lambda a, b: a | b, map(lowered.contains, needles)) & found
     return found
 
 
-def mentioned_names(title: Column, patterns: Patterns, needles: Mapping[str, str] = NO_NEEDLES) -> Column:
+def mentioned_names(title: Column, patterns: Patterns) -> Column:
     """Array with, per pattern, the name it stands for or NULL when it does not occur."""
     lowered = F.lower(title)
 
-    def occurs(name: str, pattern: str) -> Column:
+    def occurs(pattern: str, needle: str | None) -> Column:
         exact = lowered.rlike(mention_regex(pattern))
-        return lowered.contains(needles[name]) & exact if name in needles else exact
+        return lowered.contains(needle) & exact if needle else exact
 
-    return F.array(*[F.when(occurs(name, pattern), F.lit(name)) for name, pattern in patterns])
+    return F.array(*[F.when(occurs(pattern, needle), F.lit(name)) for name, pattern, needle in patterns])
 
 
 def contribution_type(commits: Column, pr_events: Column) -> Column:

@@ -23,7 +23,9 @@ def from_epoch_seconds(seconds: Column) -> Column:
 
 
 def to_epoch_seconds(value: dt.datetime | dt.date) -> int:
-    return (dt.datetime(value.year, value.month, value.day) - dt.datetime(1970, 1, 1)).days * 86400
+    """Seconds since 1970 of a time without zone (UTC), or of the begin of a day."""
+    moment_ = value if isinstance(value, dt.datetime) else dt.datetime(value.year, value.month, value.day)
+    return (moment_ - dt.datetime(1970, 1, 1)) // dt.timedelta(seconds=1)
 
 
 def micros_between(start: Column, end: Column) -> Column:

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
-
 from pyspark.sql import DataFrame, functions as F
 
 from devsignals import params
@@ -44,13 +42,12 @@ def silver_stories(stg: DataFrame) -> DataFrame:
     )
 
 
-def mentions(stories: DataFrame, patterns: text.Patterns = params.MENTION_PATTERNS,
-             needles: Mapping[str, str] = params.MENTION_NEEDLES) -> DataFrame:
+def mentions(stories: DataFrame, patterns: text.Patterns = params.MENTION_PATTERNS) -> DataFrame:
     """One row per story and repository its title names. No join: one expression that
     knows all patterns drops the stories without any before they are told apart."""
     if not patterns:
         raise ValueError("at least one mention pattern is needed")
-    found = stories.filter(text.mentions_any(F.col("title"), patterns, needles))
+    found = stories.filter(text.mentions_any(F.col("title"), patterns))
     return found.select(
         "story_id",
         "title",
@@ -61,7 +58,7 @@ def mentions(stories: DataFrame, patterns: text.Patterns = params.MENTION_PATTER
         "published_at",
         "activity_date",
         "fetched_at",
-        F.explode(text.mentioned_names(F.col("title"), patterns, needles)).alias("mentioned_repo"),
+        F.explode(text.mentioned_names(F.col("title"), patterns)).alias("mentioned_repo"),
     ).filter(F.col("mentioned_repo").isNotNull())
 
 

@@ -15,18 +15,13 @@ TRACKED_REPOSITORIES = (
     ("vercel/next.js", "JavaScript", 125000),
 )
 
-# repository, expression looked for in the lower-cased title
+# repository, expression looked for in the lower-cased title, text that every match of the
+# expression holds (or None): it spares most titles the expression
 MENTION_PATTERNS = (
-    ("facebook/react", r"(?:react(?:\.?js)?)"),
-    ("microsoft/vscode", r"(?:vscode|vs\s*code|visual\s+studio\s+code)"),
-    ("vercel/next.js", r"(?:next[\.\s]?js)"),
+    ("facebook/react", r"(?:react(?:\.?js)?)", "react"),
+    ("microsoft/vscode", r"(?:vscode|vs\s*code|visual\s+studio\s+code)", "code"),
+    ("vercel/next.js", r"(?:next[\.\s]?js)", "js"),
 )
-# text that every match of the expression holds; spares most titles the expression
-MENTION_NEEDLES = {
-    "facebook/react": "react",
-    "microsoft/vscode": "code",
-    "vercel/next.js": "js",
-}
 MENTION_PREFIX = r"""(?:^|[\s\-\.,;:!?\(/"'])"""
 MENTION_SUFFIX = r"""(?:$|[\s\-\.,;:!?\)/"'])"""
 

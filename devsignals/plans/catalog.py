@@ -4,13 +4,14 @@ tables that are written once and then read by every report."""
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from devsignals import params
+from devsignals.functions import text
 from devsignals.operators import activity, stories
 from devsignals.session import fresh_path
 from devsignals.sources import sinks
@@ -63,16 +64,23 @@ INDEPENDENT = (
 @dataclass
 class Catalog:
     spark: SparkSession
-    raw_events: DataFrame
-    raw_stories: DataFrame
+    raw_events: DataFrame | None
+    raw_stories: DataFrame | None
     as_of: dt.datetime = params.AS_OF
     repositories: Sequence[tuple[str, str, int]] = params.TRACKED_REPOSITORIES
-    patterns: Sequence[tuple[str, str]] = params.MENTION_PATTERNS
-    needles: Mapping[str, str] = field(default_factory=lambda: params.MENTION_NEEDLES)
+    patterns: text.Patterns = params.MENTION_PATTERNS
     root: str | None = None
+    read_only: bool = False
     _frames: dict[str, DataFrame] = field(default_factory=dict)
 
+    @classmethod
+    def open(cls, spark: SparkSession, root: str, as_of: dt.datetime = params.AS_OF, **options) -> Catalog:
+        """The gold tables that a build has left in `root`, for reading: nothing is built or written."""
+        return cls(spark, None, None, as_of, root=root.rstrip("/"), read_only=True, **options)
+
     def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._frames and self.read_only and name in LAYOUTS:
+            self._frames[name] = self.spark.read.parquet(self.path(name))
         if name not in self._frames:
             df = BUILDERS[name](self)
             self._frames[name] = self._stored(name, df) if name in LAYOUTS else df
@@ -96,10 +104,12 @@ class Catalog:
     def mentions_of(self, repo: str) -> DataFrame:
         """Mentions of one repository: only its own pattern is looked for."""
         own = [pattern for pattern in self.patterns if pattern[0] == repo]
-        return stories.mentions(self.silver_of_gold(), own, self.needles) if own else self["int_hn_repo_mentions"]
+        return stories.mentions(self.silver_of_gold(), own) if own else self["int_hn_repo_mentions"]
 
     def build(self, names: Sequence[str] = GOLD) -> dict[str, DataFrame]:
         """Write the named gold tables; writes that do not need each other run together."""
+        if self.read_only:
+            raise ValueError("this catalog was opened for reading")
         wanted = set(names)
         first = [base for base, users in (("activity_base", CODE_GOLD), ("dim_hn_story", STORY_GOLD)) if wanted & set(users)]
         chains = [[name for name in chain if name in wanted] for chain in INDEPENDENT]
@@ -125,7 +135,7 @@ BUILDERS: dict[str, Callable[[Catalog], DataFrame]] = {
     "dim_contributor": lambda c: activity.contributor_dimension(c["fct_contributor_daily_activity"], c.as_of),
     "stg_hn_stories": lambda c: stories.stg_stories(c.raw_stories),
     "int_hn_stories": lambda c: stories.silver_stories(c["stg_hn_stories"]),
-    "int_hn_repo_mentions": lambda c: stories.mentions(c.silver_of_gold(), c.patterns, c.needles),
+    "int_hn_repo_mentions": lambda c: stories.mentions(c.silver_of_gold(), c.patterns),
     "dim_hn_story": lambda c: stories.story_dimension(c["int_hn_stories"], c.as_of),
     "fct_hn_daily_activity": lambda c: stories.story_facts(c.silver_of_gold(), c.as_of),
     "fct_hn_repo_mentions": lambda c: stories.mention_facts(c["int_hn_repo_mentions"], c.as_of),

@@ -94,7 +94,7 @@ def upsert_runs(raw_stories: DataFrame) -> DataFrame:
     first, second = star_tables.story_polls(raw_stories)
     path = fresh_path(spark, "stories")
     for seq, poll in enumerate((first, second, second)):
-        sinks.append_changes(poll, path, seq)
+        sinks.store_stories(poll, path, seq)
     return _reported(sinks.current_state(sinks.read_changes(spark, path, schemas.STORIES_RAW)))
 
 
@@ -103,9 +103,9 @@ def upsert_after_compaction(raw_stories: DataFrame) -> DataFrame:
     spark = raw_stories.sparkSession
     first, second = star_tables.story_polls(raw_stories)
     old, new = fresh_path(spark, "stories"), fresh_path(spark, "stories-compacted")
-    sinks.append_changes(first, old, 0)
+    sinks.store_stories(first, old, 0)
     sinks.compact(spark, old, new, schemas.STORIES_RAW)
-    sinks.append_changes(second, new, 1)
+    sinks.store_stories(second, new, 1)
     return _reported(sinks.current_state(sinks.read_changes(spark, new, schemas.STORIES_RAW)))
 
 
@@ -205,6 +205,27 @@ def repository_history(catalog: Catalog, first_seen: dt.datetime, next_seen: dt.
 
 # --- export and SQL ---------------------------------------------------------
 
+def namespaces(catalog: Catalog) -> DataFrame:
+    """Two builds side by side: one with the metadata of all repositories, one with that of the first; each root keeps its own tables."""
+    spark, name, frames = catalog.spark, "dim_repository", []
+    for label, repositories in (("full", catalog.repositories), ("one", catalog.repositories[:1])):
+        root = fresh_path(spark, f"namespace-{label}")
+        replace(catalog, root=root, _frames={}, repositories=repositories).build((name,))
+        frames.append(Catalog.open(spark, root, catalog.as_of)[name].select(F.lit(label).alias("namespace"), "repo_name", "stars"))
+    return frames[0].unionByName(frames[1])
+
+
+def report_of_published(catalog: Catalog) -> DataFrame:
+    """A report on the published version, opened for reading while a later version is published."""
+    root = fresh_path(catalog.spark, "published-report")
+    own_checks = [c for c in gold_checks() if c.table in CODE_GOLD]
+    for day in (0, 1):
+        publish.build_and_publish(replace(catalog, root=None, _frames={}), root, catalog.as_of + dt.timedelta(days=day), own_checks, CODE_GOLD)
+        if not day:
+            reader = publish.open_published(catalog.spark, root, catalog.as_of)
+    return reader["dim_repository"].select("repo_name", "total_commits", "total_pr_events")
+
+
 def csv_export(catalog: Catalog) -> DataFrame:
     """A dimension written as CSV and read again."""
     df = catalog["dim_repository"].drop("created_at")

@@ -4,6 +4,7 @@ checks passed, and all tables of a version together."""
 from __future__ import annotations
 
 import datetime as dt
+import time
 import uuid
 from collections.abc import Sequence
 
@@ -17,6 +18,7 @@ from devsignals.sources import sinks
 _VERSIONS = T.StructType([
     T.StructField("version", T.StringType()),
     T.StructField("published_at", T.TimestampNTZType()),
+    T.StructField("seq", T.LongType()),
 ])
 
 
@@ -33,14 +35,20 @@ def build_and_publish(catalog: Catalog, root: str, published_at: dt.datetime,
     catalog.build(names)
     quality.enforce(declared_checks.report(catalog, list(checks) if checks else declared_checks.gold_checks()))
     row = spark.range(1).select(
-        F.lit(version).alias("version"), F.lit(published_at.isoformat(sep=" ")).cast("timestamp_ntz").alias("published_at"))
+        F.lit(version).alias("version"), F.lit(published_at.isoformat(sep=" ")).cast("timestamp_ntz").alias("published_at"),
+        F.lit(time.time_ns()).alias("seq"))
     row.write.mode("append").parquet(f"{root}/published")
     return version
 
 
 def published_version(spark: SparkSession, root: str) -> str:
     versions = spark.read.schema(_VERSIONS).parquet(f"{root}/published")
-    return versions.agg(F.max_by("version", "published_at").alias("version")).first()["version"]
+    return versions.agg(F.max_by("version", F.struct("published_at", "seq")).alias("version")).first()["version"]
+
+
+def open_published(spark: SparkSession, root: str, as_of: dt.datetime) -> Catalog:
+    """The tables of the version published last. A later publication has its own folder, so an open catalog goes on working."""
+    return Catalog.open(spark, f"{root}/versions/{published_version(spark, root)}", as_of)
 
 
 def published_table(spark: SparkSession, root: str, name: str) -> DataFrame:

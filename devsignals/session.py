@@ -8,15 +8,23 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def build_session(app: str = "devsignals", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings the engine is tuned for; `conf` overrides them."""
+def build_session(app: str = "devsignals", master: str | None = None, input_bytes: int | None = None,
+                  **conf: str) -> SparkSession:
+    """A session with the settings the engine is tuned for; `conf` overrides them.
+
+    `input_bytes`, the size of what a run reads, sets the number of shuffle partitions and the split size.
+    """
     settings = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.showConsoleProgress": "false",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     }
+    if input_bytes is not None:
+        settings.update(settings_for(input_bytes))
     settings.update({k.replace("__", "."): v for k, v in conf.items()})
     builder = SparkSession.builder.appName(app)
     if master:

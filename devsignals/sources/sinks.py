@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from devsignals.functions.numeric import percent
+from devsignals.sources import landing
 
 STORY_IDENTITY = ("title", "author", "url", "time", "type")
 STORY_MUTABLE = ("score", "descendants", "raw_json", "fetched_at")
@@ -104,6 +105,13 @@ def append_changes(batch: DataFrame, path: str, seq: int) -> None:
     batch.write.mode("overwrite").parquet(f"{path}/seq={seq}")
 
 
+def store_stories(batch: DataFrame, log: str, seq: int) -> None:
+    """One batch of stories, of a poll or a stream: good rows to the change log, the others with their reason
+    to `<log>-rejected`."""
+    append_changes(landing.valid_stories(batch), log, seq)
+    append_changes(landing.rejected_stories(batch), f"{log}-rejected", seq)
+
+
 def read_changes(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(T.StructType(schema.fields + [T.StructField("seq", T.LongType())])).parquet(path)
 

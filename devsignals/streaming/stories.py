@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from devsignals import schemas
-from devsignals.sources import landing, sinks
+from devsignals.sources import sinks
 from devsignals.streaming import triggered
 
 
@@ -19,8 +19,7 @@ def upsert(stream: DataFrame, log: str, checkpoint: str, every: str | None = Non
     repeated one replaces itself. Rows that cannot be stored go to `<log>-rejected`."""
     def store(batch: DataFrame, number: int) -> None:
         batch = batch.persist()
-        sinks.append_changes(landing.valid_stories(batch), log, number)
-        sinks.append_changes(landing.rejected_stories(batch), f"{log}-rejected", number)
+        sinks.store_stories(batch, log, number)
         batch.unpersist()
 
     writer = stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)

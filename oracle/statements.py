@@ -71,6 +71,12 @@ def _reports() -> dict[str, str]:
     daily = f"""SELECT activity_date, {summed('commit_count')}, {summed('pr_event_count')}, {summed('push_count')},
         {summed('total_activity_count')} FROM {rf} WHERE {RANGE} GROUP BY activity_date"""
     q["daily_activity_all_repos"] = daily
+    q["default_window_report"] = daily.replace(RANGE, "activity_date BETWEEN DATE '2024-02-01' - 30 AND DATE '2024-02-01'")
+    q["formatted_totals"] = f"""SELECT repo_name, format('{{:,}}', total_commits) AS total_commits,
+        format('{{:,}}', total_pr_events) AS total_pr_events FROM {rd}"""
+    q["nonzero_measures"] = f"""SELECT username, {summed('push_count')}, {summed('pr_event_count')} FROM {uf} GROUP BY username"""
+    q["mentions_custom_patterns"] = """SELECT story_id, 'facebook/react' AS mentioned_repo FROM int_hn_stories
+        WHERE regexp_matches(lower(title), '(?:^|[\\s\\-\\.,;:!?\\(/"''])(?:react|the|and)(?:$|[\\s\\-\\.,;:!?\\)/"''])')"""
     q["repo_comparison"] = f"SELECT repo_name, total_commits, total_pushes, total_pr_events, stars FROM {rd}"
     q["event_distribution"] = f"SELECT activity_date, push_count, pr_event_count FROM ({daily})"
     q["repository_list"] = f"SELECT repo_name FROM {rd}"
@@ -280,7 +286,7 @@ def _ingestion() -> dict[str, str]:
     q["ingest_load_stats"] = f"""SELECT load, received, inserted, received - inserted AS duplicates, CAST(0 AS BIGINT) AS errors,
         coalesce({percent('inserted', 'received', 1)}, 0.0) AS success_rate_pct FROM ({loads})"""
     for name in ("ingest_upsert_stories", "ingest_upsert_compacted"):
-        q[name] = f"SELECT {story} FROM stored_stories"
+        q[name] = f"SELECT {story} FROM stored_valid_stories"
     q["stream_stories_upsert"] = f"SELECT {story} FROM stored_valid_stories"
     q["ingest_upsert_stats"] = """SELECT 1 AS load, count(DISTINCT story_id) AS inserted, CAST(0 AS BIGINT) AS updated FROM first_stories
         UNION ALL SELECT 2, count(DISTINCT story_id) FILTER (story_id NOT IN (SELECT story_id FROM first_stories)),
@@ -290,6 +296,9 @@ def _ingestion() -> dict[str, str]:
         FROM (SELECT CAST(fetched_at AS DATE) AS activity_date, repo_name, max(fetched_at) OVER () AS newest
               FROM stg_github_events)
         WHERE activity_date + INTERVAL 1 DAY <= newest - INTERVAL 1 DAY GROUP BY activity_date, repo_name"""
+    q["namespace_tables"] = """SELECT 'full' AS namespace, repo_name, stars FROM dim_repository
+        UNION ALL SELECT 'one', repo_name, CASE WHEN repo_name = 'facebook/react' THEN stars ELSE 0 END FROM dim_repository"""
+    q["published_report"] = "SELECT repo_name, total_commits, total_pr_events FROM dim_repository"
     q["published_repository_facts"] = "SELECT * FROM fct_github_daily_activity"
     q["incremental_fact_refresh"] = "SELECT * FROM fct_github_daily_activity"
     snapshot = """SELECT repo_name, {r} AS total_pushes, {c} AS total_commits, {p} AS total_pr_events

@@ -39,7 +39,7 @@ def test_url_domain(spark, url, domain):
     assert one(spark, text.has_text(url)) is (domain is not None)
 
 
-REACT, CODE, NEXT = (name for name, _ in params.MENTION_PATTERNS)
+REACT, CODE, NEXT = (name for name, _, _ in params.MENTION_PATTERNS)
 
 
 @pytest.mark.parametrize("title, found", [
@@ -58,11 +58,11 @@ def test_mentions(spark, title, found):
 def test_needles_change_nothing(spark, data):
     titles = spark.read.parquet(f"{data}/documents.parquet").select(F.concat(F.lit("React or VS  Code, next js? "), "text").alias("t"))
     titles = titles.unionByName(spark.read.parquet(f"{data}/pages.parquet").select(F.col("html").alias("t")))
-    flags = text.mentions_any(F.col("t"), params.MENTION_PATTERNS) == text.mentions_any(
-        F.col("t"), params.MENTION_PATTERNS, params.MENTION_NEEDLES)
+    bare = [(name, pattern, None) for name, pattern, _ in params.MENTION_PATTERNS]
+    flags = text.mentions_any(F.col("t"), bare) == text.mentions_any(F.col("t"), params.MENTION_PATTERNS)
     assert titles.filter(~F.coalesce(flags, F.lit(True))).count() == 0
-    plain = F.array_compact(text.mentioned_names(F.col("t"), params.MENTION_PATTERNS))
-    quick = F.array_compact(text.mentioned_names(F.col("t"), params.MENTION_PATTERNS, params.MENTION_NEEDLES))
+    plain = F.array_compact(text.mentioned_names(F.col("t"), bare))
+    quick = F.array_compact(text.mentioned_names(F.col("t"), params.MENTION_PATTERNS))
     assert titles.filter(plain != quick).count() == 0
 
 

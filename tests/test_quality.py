@@ -95,7 +95,7 @@ def test_publish_shows_a_version_only_after_its_checks(spark, data):
 
 
 def test_other_parameters(spark, data):
-    c = small_catalog(spark, data, patterns=(("x/y", "(?:react)"),), needles={}, repositories=(("facebook/react", "Lang", 1),))
+    c = small_catalog(spark, data, patterns=(("x/y", "(?:react)", None),), repositories=(("facebook/react", "Lang", 1),))
     assert {r.mentioned_repo for r in c["int_hn_repo_mentions"].select("mentioned_repo").distinct().collect()} == {"x/y"}
     rows = {r.repo_name: (r.language, r.stars) for r in c["dim_repository"].collect()}
     assert rows["facebook/react"] == ("Lang", 1) and rows["vercel/next.js"] == (params.UNKNOWN_LANGUAGE, 0)
