@@ -191,6 +191,8 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     # ingestion, streams, refresh
     raw_e, raw_s = (lambda c: c.raw_events), (lambda c: c.raw_stories)
     q["landed_event_pages"] = _on_catalog(lambda c: ingest_runs.landed_event_pages(raw_e(c), AS_OF))
+    q["landed_mixed_answers"] = _on_catalog(lambda c: ingest_runs.mixed_answers(raw_e(c), AS_OF, False))
+    q["ingest_event_rejects"] = _on_catalog(lambda c: ingest_runs.mixed_answers(raw_e(c), AS_OF, True))
     q["ingest_story_defaults"] = _on_catalog(lambda c: ingest_runs.valid_story_items(raw_s(c), AS_OF))
     q["ingest_rejects"] = _on_catalog(lambda c: ingest_runs.rejected_story_items(raw_s(c), AS_OF))
     q["ranked_story_cap"] = _on_catalog(lambda c: ingest_runs.ranked_story_cap(raw_s(c)))
@@ -206,6 +208,7 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["incremental_fact_refresh"] = _on_catalog(lambda c: ingest_runs.refresh_run(c, REFRESH_SINCE))
     q["repository_history"] = _on_catalog(lambda c: ingest_runs.repository_history(c, MID_MONTH, AS_OF))
     q["published_repository_facts"] = _on_catalog(ingest_runs.published_facts)
+    q["publish_refused"] = _on_catalog(ingest_runs.publish_refused)
     q["namespace_tables"] = _on_catalog(ingest_runs.namespaces)
     q["published_report"] = _on_catalog(ingest_runs.report_of_published)
     q["csv_export"] = _on_catalog(ingest_runs.csv_export)

@@ -160,3 +160,13 @@ def source_freshness(sources: Tables, as_of: dt.datetime, warn_hours: int = para
         .when(F.col("age_hours") > warn_hours, WARN)
         .otherwise("pass"),
     )
+
+
+def enforce_rules(pushes: DataFrame, requests: DataFrame, events: DataFrame, as_of: dt.datetime) -> None:
+    """Raise when a business rule finds rows. Reads one count per rule."""
+    rules = {"no_future_timestamps": no_future_timestamps(pushes, requests, as_of),
+             "no_negative_commit_count": no_negative_commit_count(pushes),
+             "push_model_integrity": push_model_integrity(pushes, events)}
+    broken = {name: n for name, rows in rules.items() if (n := rows.count())}
+    if broken:
+        raise QualityError("; ".join(f"{name} finds {n}" for name, n in broken.items()))

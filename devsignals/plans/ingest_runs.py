@@ -12,7 +12,9 @@ from devsignals import params, schemas
 from devsignals.operators import activity, history
 from devsignals.plans import publish
 from devsignals.plans.catalog import CODE_GOLD, LAYOUTS, Catalog, repository_metadata
+from devsignals.operators.quality import QualityError
 from devsignals.plans.checks import gold_checks
+from devsignals.plans.checks import report as declared_report
 from devsignals.session import fresh_path, written
 from devsignals.sources import landing, sinks, star_tables
 from devsignals.streaming import events as event_streams
@@ -29,6 +31,16 @@ def landed_event_pages(raw_events: DataFrame, as_of: dt.datetime) -> DataFrame:
     return landing.read_event_pages(spark, path, as_of)
 
 
+def mixed_answers(raw_events: DataFrame, as_of: dt.datetime, rejects: bool) -> DataFrame:
+    """Pages and bare arrays, some of them broken: the events read, or what could not be stored."""
+    spark = raw_events.sparkSession
+    path = fresh_path(spark, "mixed-answers")
+    star_tables.mixed_answers(raw_events).write.text(path)
+    if rejects:
+        return landing.read_event_rejects(spark, path, as_of)
+    return landing.read_event_pages(spark, path, as_of).drop("raw_payload")
+
+
 def landed_story_items(raw_stories: DataFrame, as_of: dt.datetime) -> DataFrame:
     spark = raw_stories.sparkSession
     path = fresh_path(spark, "story-items")
@@ -187,6 +199,21 @@ def published_facts(catalog: Catalog) -> DataFrame:
     return facts.select(*catalog["fct_github_daily_activity"].columns)
 
 
+def publish_refused(catalog: Catalog) -> DataFrame:
+    """The data as they are, through the full gate: the failing checks, and how many versions readers then see."""
+    root = fresh_path(catalog.spark, "refused")
+    build = replace(catalog, root=None, _frames={})
+    publish.build_and_publish(build, root, catalog.as_of, [c for c in gold_checks() if c.table in CODE_GOLD], CODE_GOLD)
+    before = publish.published_version(catalog.spark, root)
+    try:
+        publish.build_and_publish(replace(catalog, root=None, _frames={}), root, catalog.as_of + dt.timedelta(days=1))
+    except QualityError:
+        pass
+    unchanged = publish.published_version(catalog.spark, root) == before
+    failing = declared_report(catalog).filter((F.col("severity") == "error") & ~F.col("passed"))
+    return failing.withColumn("version_unchanged", F.lit(unchanged))
+
+
 HISTORY_ATTRIBUTES = ("language", "stars", "total_pushes", "total_commits", "total_pr_events")
 
 

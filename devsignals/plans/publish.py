@@ -26,6 +26,9 @@ def build_and_publish(catalog: Catalog, root: str, published_at: dt.datetime,
                       checks: Sequence[quality.Check] | None = None, names: Sequence[str] = GOLD) -> str:
     """Write a new version of all tables, check it, and only then announce it.
 
+    Without `checks` the gate is the full suite: all declared checks of bronze, silver and gold tables, and the three
+    business rules.
+
     The announcement is one appended row, so it is there as a whole or not at all; a
     version that failed stays unannounced, and readers keep the last good one.
     """
@@ -33,7 +36,9 @@ def build_and_publish(catalog: Catalog, root: str, published_at: dt.datetime,
     version = uuid.uuid4().hex
     catalog.root = f"{root}/versions/{version}"
     catalog.build(names)
-    quality.enforce(declared_checks.report(catalog, list(checks) if checks else declared_checks.gold_checks()))
+    quality.enforce(declared_checks.report(catalog, list(checks) if checks else None))
+    if not checks:
+        quality.enforce_rules(catalog["int_push_events"], catalog["int_pull_requests"], catalog["stg_github_events"], published_at)
     row = spark.range(1).select(
         F.lit(version).alias("version"), F.lit(published_at.isoformat(sep=" ")).cast("timestamp_ntz").alias("published_at"),
         F.lit(time.time_ns()).alias("seq"))

@@ -18,22 +18,47 @@ def read_stories_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.STORIES_RAW).parquet(path)
 
 
-def read_event_pages(spark: SparkSession, path: str, fetched_at: dt.datetime) -> DataFrame:
-    """Files of API answers, one answer per line, to raw event rows.
-
-    Each event stays as text; only its id and type are taken out.
-    """
-    answers = spark.read.text(path).select(F.from_json("value", schemas.EVENT_PAGE).alias("answer"))
-    events = answers.select("answer.repo_name", F.explode("answer.events").alias("raw_payload"))
-    return events.withColumn("head", F.from_json("raw_payload", "id string, type string")).select(
+def event_answers(lines: DataFrame, repo_name: str | None = None) -> DataFrame:
+    """Text lines of API answers: value, repo_name, events. An answer is a page that names its repository, or a bare
+    array of events; the latter's repository is `repo_name`, else what each event says. Events are null
+    where an answer cannot be read."""
+    bare = F.startswith(F.ltrim(F.col("value")), F.lit("["))
+    page = F.from_json("value", schemas.EVENT_PAGE)
+    return lines.select(
+        "value",
+        F.when(bare, F.lit(repo_name)).otherwise(page["repo_name"]).alias("repo_name"),
+        F.when(bare, F.from_json("value", "array<string>")).otherwise(page["events"]).alias("events"),
+    )
+
+
+def event_rows(answers: DataFrame, fetched_at: dt.datetime) -> DataFrame:
+    """Raw event rows of readable answers; each event stays as text, only its head is taken out."""
+    events = answers.select("repo_name", F.explode("events").alias("raw_payload"))
+    head = F.from_json("raw_payload", "id string, type string, repo struct<name: string>")
+    return events.withColumn("head", head).select(
         F.col("head.id").alias("event_id"),
-        "repo_name",
+        F.coalesce("repo_name", "head.repo.name").alias("repo_name"),
         F.col("head.type").alias("event_type"),
         times.moment(fetched_at).alias("fetched_at"),
         "raw_payload",
     )
 
 
+def read_event_pages(spark: SparkSession, path: str, fetched_at: dt.datetime, repo_name: str | None = None) -> DataFrame:
+    """Files of API answers, one answer per line, to raw event rows. What cannot be stored is in `read_event_rejects`."""
+    rows = event_rows(event_answers(spark.read.text(path), repo_name), fetched_at)
+    return rows.filter(F.col("event_id").isNotNull())
+
+
+def read_event_rejects(spark: SparkSession, path: str, fetched_at: dt.datetime, repo_name: str | None = None) -> DataFrame:
+    """reject_reason and body of the answers that cannot be read and of events without an id."""
+    answers = event_answers(spark.read.text(path), repo_name)
+    unread = answers.filter(F.col("events").isNull()).select(F.lit("unreadable answer").alias("reject_reason"), F.col("value").alias("body"))
+    without_id = event_rows(answers, fetched_at).filter(F.col("event_id").isNull()).select(
+        F.lit("missing id").alias("reject_reason"), F.col("raw_payload").alias("body"))
+    return unread.unionByName(without_id)
+
+
 def read_story_items(spark: SparkSession, path: str, fetched_at: dt.datetime) -> DataFrame:
     """Files with one story item per line to raw story rows, valid or not."""
     return story_rows(spark.read.text(path), fetched_at)

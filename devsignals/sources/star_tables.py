@@ -148,6 +148,17 @@ def event_pages(raw: DataFrame) -> DataFrame:
     )
 
 
+def mixed_answers(raw: DataFrame) -> DataFrame:
+    """One answer per event, as a page or as a bare array; every 20th is cut off, and every 20th has an event without id."""
+    n, body = F.col("event_id").cast("long"), F.col("raw_payload")
+    page = F.concat(F.lit('{"repo_name":"'), "repo_name", F.lit('","events":['))
+    return raw.select(
+        F.when(n % 20 == 0, F.concat(page, F.substring(body, 1, 20)))
+        .when(n % 20 == 1, F.lit('[{"type":"PushEvent"}]'))
+        .when(n % 2 == 0, F.concat(page, body, F.lit("]}")))
+        .otherwise(F.concat(F.lit("["), body, F.lit("]"))).alias("value"))
+
+
 def story_items(raw: DataFrame) -> DataFrame:
     """One text row per story item, with the defects a poll may meet.
 

@@ -40,6 +40,7 @@ def statements() -> dict[str, str]:
         for kind in ("not_null", "unique", "accepted_values", "relationships")
     }
     q["dq_report"] = _report(declared())
+    q["publish_refused"] = f"SELECT *, true AS version_unchanged FROM ({_report(declared())}) WHERE severity = 'error' AND NOT passed"
     age = ratio(f"epoch_us({AS_OF}) - epoch_us(loaded_at)", "3600000000", 1)
     q["dq_source_freshness"] = f"""SELECT *, CASE WHEN age_hours IS NULL OR age_hours > 12 THEN 'error'
         WHEN age_hours > 6 THEN 'warn' ELSE 'pass' END AS status FROM (

@@ -270,6 +270,12 @@ def _ingestion() -> dict[str, str]:
     q: dict[str, str] = {}
     story = "story_id, title, author, url, score, time, descendants, type, fetched_at, raw_score"
     q["landed_event_pages"] = f"SELECT event_id, repo_name, event_type, {AS_OF} AS fetched_at, raw_payload FROM stg_github_events"
+    n = "CAST(event_id AS BIGINT)"
+    q["landed_mixed_answers"] = f"""SELECT event_id, repo_name, event_type, {AS_OF} AS fetched_at FROM stg_github_events
+        WHERE {n} % 20 NOT IN (0, 1)"""
+    q["ingest_event_rejects"] = f"""SELECT 'unreadable answer' AS reject_reason,
+        '{{"repo_name":"' || repo_name || '","events":[' || substr(raw_payload, 1, 20) AS body FROM stg_github_events WHERE {n} % 20 = 0
+        UNION ALL SELECT 'missing id', '{{"type":"PushEvent"}}' FROM stg_github_events WHERE {n} % 20 = 1"""
     q["ingest_story_defaults"] = "SELECT * FROM landed_items WHERE story_id <> 0 AND title <> ''"
     q["ingest_rejects"] = """SELECT story_id, title, CASE WHEN story_id IS NULL OR story_id = 0 THEN 'missing id'
         ELSE 'missing title' END AS reject_reason FROM landed_items

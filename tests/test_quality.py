@@ -74,7 +74,7 @@ def small_catalog(spark, data, **changes):
 
 def test_publish_shows_a_version_only_after_its_checks(spark, data):
     root = fresh_path(spark, "published")
-    first = publish.build_and_publish(small_catalog(spark, data), root, dt.datetime(2024, 2, 1))
+    first = publish.build_and_publish(small_catalog(spark, data), root, dt.datetime(2024, 2, 1), checks.gold_checks())
     assert publish.published_version(spark, root) == first
     before = publish.published_table(spark, root, "fct_github_daily_activity").count()
 
@@ -82,12 +82,12 @@ def test_publish_shows_a_version_only_after_its_checks(spark, data):
     broken = small_catalog(spark, data)
     broken.raw_events = events.withColumn("repo_name", F.lit("not/listed"))
     with pytest.raises(quality.QualityError, match="repo_name: accepted_values"):
-        publish.build_and_publish(broken, root, dt.datetime(2024, 2, 2))
+        publish.build_and_publish(broken, root, dt.datetime(2024, 2, 2), checks.gold_checks())
     assert publish.published_version(spark, root) == first
     assert publish.published_table(spark, root, "fct_github_daily_activity").count() == before
 
     later = small_catalog(spark, data, as_of=dt.datetime(2024, 2, 3))
-    second = publish.build_and_publish(later, root, dt.datetime(2024, 2, 3))
+    second = publish.build_and_publish(later, root, dt.datetime(2024, 2, 3), checks.gold_checks())
     assert publish.published_version(spark, root) == second
     stamp = publish.published_table(spark, root, "dim_repository").agg(F.max("created_at")).first()[0]
     assert stamp == dt.datetime(2024, 2, 3)
@@ -99,3 +99,30 @@ def test_other_parameters(spark, data):
     assert {r.mentioned_repo for r in c["int_hn_repo_mentions"].select("mentioned_repo").distinct().collect()} == {"x/y"}
     rows = {r.repo_name: (r.language, r.stars) for r in c["dim_repository"].collect()}
     assert rows["facebook/react"] == ("Lang", 1) and rows["vercel/next.js"] == (params.UNKNOWN_LANGUAGE, 0)
+
+
+def test_full_gate_lets_clean_events_through(spark, data):
+    root = fresh_path(spark, "full-gate")
+    events = star_tables.raw_events(spark, data)
+    action = F.get_json_object("raw_payload", "$.payload.action")
+    clean = small_catalog(spark, data)
+    clean.raw_events = events.filter((F.col("event_type") != params.PULL_REQUEST) | action.isNotNull())
+    version = publish.build_and_publish(clean, root, dt.datetime(2024, 2, 1))
+    with pytest.raises(quality.QualityError, match="pr_action"):
+        publish.build_and_publish(small_catalog(spark, data), root, dt.datetime(2024, 2, 2))
+    assert publish.published_version(spark, root) == version
+
+
+def test_open_catalog_reads_and_outlives_a_rebuild(spark, data):
+    root = fresh_path(spark, "opened")
+    build = lambda: publish.build_and_publish(
+        small_catalog(spark, data), root, dt.datetime(2024, 2, 1), checks.gold_checks())
+    build()
+    opened = [publish.open_published(spark, root, dt.datetime(2024, 2, 1)) for _ in range(2)]
+    files = sorted(opened[0]["dim_hn_story"].inputFiles())
+    assert files == sorted(opened[1]["dim_hn_story"].inputFiles())
+    second = build()                  # at the same time: the later publication counts
+    assert publish.published_version(spark, root) == second
+    assert sorted(opened[0]["dim_hn_story"].inputFiles()) == files and opened[0]["dim_hn_story"].count() > 0
+    with pytest.raises(ValueError):
+        opened[0].build()
