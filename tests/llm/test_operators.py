@@ -379,17 +379,55 @@ def test_pitman_yor_counts_and_base(spark, documents, texts):
 
 
 def test_pitman_yor_is_a_distribution(spark):
-    """The probabilities of all words seen, and of what is left for new spellings, add up to one."""
+    """In every context the words seen and the unknown symbol add up to one, and scores are sums of these."""
     rng = random.Random(3)
-    docs = spark.createDataFrame([(i, " ".join(rng.choices(["aa", "ab", "ba", "c", "dd"], weights=[9, 5, 3, 2, 1], k=30)), False)
-                                  for i in range(40)], "doc_id long, text string, held_out boolean")
-    new = ["x", "ab", "aa", "zz", "abab"]
-    scored = rows(pitman_yor.score(docs.union(spark.createDataFrame([(100 + k, w, True) for k, w in enumerate(new)], docs.schema))))
-    end = rows(pitman_yor.score(docs.union(spark.createDataFrame([(100, "", True)], docs.schema))))[100].score
-    p = {w: 10 ** (scored[100 + k].score - end) for k, w in enumerate(new)}
-    assert p["aa"] > p["ab"] > p["abab"] > 0 and p["aa"] + p["ab"] < 1
-    own = 10 ** scored[0].score
-    assert 0 < own < 1
+    texts = [rng.choices(["aa", "ab", "ba", "c", "dd"], weights=[9, 5, 3, 2, 1], k=30) for _ in range(40)]
+    texts += [["aa", "zz", "ab", "new"], [], ["c"]]
+    docs = spark.createDataFrame([(i, " ".join(ws), i >= 40) for i, ws in enumerate(texts)], "doc_id long, text string, held_out boolean")
+    chunks = pitman_yor.make_chunks(docs, chunk_tokens=100)
+    numbers = pitman_yor.context_words(chunks)
+    assert set(numbers) == {b"aa", b"ab", b"ba", b"c", b"dd", pitman_yor.END} and sorted(numbers.values()) == list(range(1, 7))
+    words = pitman_yor.count_words(chunks, numbers)
+    pairs = collections.Counter((numbers[(["\n"] + ws)[k].encode()], w.encode()) for ws in texts[:40] for k, w in enumerate(ws + ["\n"]))
+    assert pairs == {(u, bytes(r.word)): n for r in words.collect()
+                     for u, n in zip(bytes(r.contexts), np.frombuffer(r.n, "<i8").tolist())}
+    states = pitman_yor.learn(words)
+    kept = states[1 + pitman_yor.BURN_IN:]
+    values = {bytes(r.word): r for r in pitman_yor.word_values(words, states).collect()}
+
+    def p(word, u):
+        r = values.get(word)
+        if r and u in bytes(r.own):
+            return float(np.frombuffer(r.p, "<f4")[bytes(r.own).index(u)])
+        parents = np.frombuffer(r.parents, "<f8") if r else [s.unknown() for s in kept]
+        return float(np.mean([s.back()[u] * x for s, x in zip(kept, parents)]))
+
+    for u in range(7):
+        assert sum(p(w, u) for w in values) + p(b"zz", u) == pytest.approx(1, abs=1e-6)
+    found = rows(pitman_yor.score(docs))
+    for i, ws in enumerate(texts):
+        chain = ["\n"] + ws + ["\n"]
+        assert found[i].score == pytest.approx(sum(math.log10(p(w.encode(), numbers.get(u.encode(), 0)))
+                                                   for u, w in zip(chain, chain[1:])), abs=1e-3)
+
+
+def test_pitman_yor_better_than_base_on_held_out(spark, documents):
+    n, base, own = pitman_yor.query(documents).where("held_out").agg(
+        F.sum("n_tokens"), F.sum("base_score"), F.sum("score")).first()
+    assert own / n > base / n
+
+
+def test_pitman_yor_frequent_words_in_many_chunks(spark):
+    """A word that is half of all tokens, over many chunks and both ways of adding up."""
+    docs = spark.createDataFrame([(i, f"the w{i} " * 20, False) for i in range(300)], "doc_id long, text string, held_out boolean")
+    chunks = pitman_yor.make_chunks(docs.repartition(7), chunk_tokens=50)
+    for listed in (0, 3):
+        old, pitman_yor.LISTED = pitman_yor.LISTED, listed
+        try:
+            words = {bytes(r.word): np.frombuffer(r.n, "<i8").tolist() for r in pitman_yor.count_words(chunks, {b"the": 1}).collect()}
+        finally:
+            pitman_yor.LISTED = old
+        assert words[b"the"] == [6000] and words[b"w7"] == [20] and words[b"\n"] == [300] and len(words) == 302
 
 
 def test_seats():
@@ -406,9 +444,9 @@ def test_pitman_yor_odd(odd):
     assert len(found) == odd.count()
     assert all(r.n_tokens == 1 for r in found if r.doc_id in (0, 1, 2, 3))
     assert pitman_yor.query(odd.limit(0)).collect() == []
-    # doc 5 as text is in the held-out fold or not; without training rows every word is new
+    # without training rows every word is the unknown symbol, of probability one
     alone = pitman_yor.score(odd.select("doc_id", "text", F.lit(True).alias("held_out"))).collect()
-    assert all(r.train_tokens == 0 and r.n_known == 0 and r.base_score == 0 and r.score < 0 for r in alone)
+    assert all(r.train_tokens == 0 and r.n_known == 0 and r.base_score == 0 and abs(r.score) < 1e-9 for r in alone)
 
 
 # licences
