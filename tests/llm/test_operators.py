@@ -430,6 +430,17 @@ def test_pitman_yor_frequent_words_in_many_chunks(spark):
         assert words[b"the"] == [6000] and words[b"w7"] == [20] and words[b"\n"] == [300] and len(words) == 302
 
 
+def test_pitman_yor_context_words_are_the_most_frequent(spark, texts):
+    """Exact, whatever part of each chunk's words gives the first bounds; held-out documents do not count."""
+    rows_ = [(i, t or "", i % 3 == 0) for i, t in texts.items()]
+    docs = spark.createDataFrame(rows_, "doc_id long, text string, held_out boolean")
+    chunks = pitman_yor.make_chunks(docs.repartition(5), chunk_tokens=2000)
+    counts = collections.Counter(w for _, t, held in rows_ if not held for w in t.encode().lower().split() + [pitman_yor.END])
+    for listed, most in ((1, 1), (2, 5), (40, 30), (4096, 200), (7, 10**6)):
+        best = sorted(counts, key=lambda w: (-counts[w], w))[:most]
+        assert pitman_yor.context_words(chunks, listed, most) == {w: k for k, w in enumerate(best, 1)}
+
+
 def test_seats():
     rng = np.random.default_rng(1)
     customers = np.full(4000, 30)
