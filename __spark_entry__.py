@@ -136,7 +136,7 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["hn_mention_summary_all"] = _on(mention_fct, community.hn_mention_summary)
     q["hn_mention_summary_range"] = _on(mention_fct, community.hn_mention_summary, START, dt.date(2024, 1, 15))
     q["hn_recent_stories"] = _on(story_dim, community.hn_recent_stories)
-    q["hn_repo_stories"] = _on_catalog(lambda c: community.hn_repo_stories(c.mentions_of(REPO), REPO))
+    q["hn_repo_stories"] = _on("int_hn_repo_mentions", community.hn_repo_stories, REPO)
     q["hn_mentions_over_time"] = _on(mention_fct, community.hn_mentions_over_time, REPO, START, END)
     q["hn_repo_period_totals"] = _on(mention_fct, community.hn_repo_period_totals, REPO, START, END)
 
@@ -206,7 +206,11 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["stream_stories_upsert"] = _on_catalog(lambda c: ingest_runs.stream_upsert(raw_s(c)))
     q["stream_daily_counts"] = _on_catalog(lambda c: ingest_runs.stream_daily_counts(raw_e(c)))
     q["incremental_fact_refresh"] = _on_catalog(lambda c: ingest_runs.refresh_run(c, REFRESH_SINCE))
+    q["incremental_contributor_refresh"] = _on_catalog(
+        lambda c: ingest_runs.refresh_run(c, REFRESH_SINCE, "fct_contributor_daily_activity"))
+    q["incremental_dimension_refresh"] = _on_catalog(lambda c: ingest_runs.refresh_run(c, REFRESH_SINCE, "dim_contributor"))
     q["repository_history"] = _on_catalog(lambda c: ingest_runs.repository_history(c, MID_MONTH, AS_OF))
+    q["repository_history_stored"] = _on_catalog(lambda c: ingest_runs.repository_history(c, MID_MONTH, AS_OF, stored=True))
     q["published_repository_facts"] = _on_catalog(ingest_runs.published_facts)
     q["publish_refused"] = _on_catalog(ingest_runs.publish_refused)
     q["namespace_tables"] = _on_catalog(ingest_runs.namespaces)

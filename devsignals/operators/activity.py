@@ -38,28 +38,52 @@ def _commit_count() -> Column:
     return F.coalesce(F.json_array_length("doc.payload.commits"), F.lit(0))
 
 
-def push_events(stg: DataFrame) -> DataFrame:
-    return _with_document(stg.filter(F.col("event_type") == params.PUSH)).select(
-        "event_id",
-        "repo_name",
-        "fetched_at",
+def _push_columns() -> list[Column]:
+    return [
+        F.col("event_id"),
+        F.col("repo_name"),
+        F.col("fetched_at"),
         F.col("doc.actor.login").alias("actor_username"),
         F.col("doc.payload.push_id").alias("push_id"),
         F.col("doc.payload.ref").alias("commit_ref"),
         _commit_count().alias("commit_count"),
-    )
+    ]
 
 
-def pull_requests(stg: DataFrame) -> DataFrame:
+def _request_columns() -> list[Column]:
     request = "doc.payload.pull_request"
-    return _with_document(stg.filter(F.col("event_type") == params.PULL_REQUEST)).select(
-        "event_id",
-        "repo_name",
-        "fetched_at",
+    return [
+        F.col("event_id"),
+        F.col("repo_name"),
+        F.col("fetched_at"),
         F.col("doc.payload.action").alias("pr_action"),
         F.col(f"{request}.id").alias("pull_request_id"),
         F.col(f"{request}.title").alias("pr_title"),
         F.col(f"{request}.user.login").alias("pr_author"),
+    ]
+
+
+def push_events(stg: DataFrame) -> DataFrame:
+    return _with_document(stg.filter(F.col("event_type") == params.PUSH)).select(*_push_columns())
+
+
+def pull_requests(stg: DataFrame) -> DataFrame:
+    return _with_document(stg.filter(F.col("event_type") == params.PULL_REQUEST)).select(*_request_columns())
+
+
+FROM_EVENTS = ("github_events_raw", "int_push_events", "int_pull_requests")
+
+
+def with_silver(stg: DataFrame) -> DataFrame:
+    """Bronze and both silver datasets side by side, from one scan and one parse: a struct per dataset
+    and a flag that says whether the row belongs to it."""
+    kind = F.col("event_type")
+    document = F.from_json(F.when(kind.isin(params.PUSH, params.PULL_REQUEST), F.col("raw_payload")), schemas.EVENT_DOCUMENT)
+    bronze, pushes, requests = FROM_EVENTS
+    return stg.withColumn("doc", document).select(
+        F.struct(*stg.columns).alias(bronze), F.lit(True).alias(f"is_{bronze}"),
+        F.struct(*_push_columns()).alias(pushes), (kind == params.PUSH).alias(f"is_{pushes}"),
+        F.struct(*_request_columns()).alias(requests), (kind == params.PULL_REQUEST).alias(f"is_{requests}"),
     )
 
 

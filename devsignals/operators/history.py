@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from devsignals.functions import times
 
@@ -20,6 +20,21 @@ def start_history(snapshot: DataFrame, key: str, attributes: Sequence[str], vali
     )
 
 
+def read_history(spark: SparkSession, path: str, number: int, schema: T.StructType) -> DataFrame:
+    """A stored history as of its snapshot `number`."""
+    return spark.read.schema(schema).parquet(f"{path}/snapshot={number}")
+
+
+def store_snapshot(path: str, number: int, snapshot: DataFrame, key: str, attributes: Sequence[str], seen_at: dt.datetime) -> None:
+    """Write the history after snapshot `number` (0 is the first) beside the one before it, which stays as it is
+    for its readers. Storing a number again replaces it by the same rows."""
+    history = start_history(snapshot, key, attributes, seen_at)
+    if number:
+        before = read_history(snapshot.sparkSession, path, number - 1, history.schema)
+        history = apply_snapshot(before, snapshot, key, attributes, seen_at)
+    history.write.mode("overwrite").parquet(f"{path}/snapshot={number}")
+
+
 def apply_snapshot(history: DataFrame, snapshot: DataFrame, key: str, attributes: Sequence[str],
                    seen_at: dt.datetime) -> DataFrame:
     """Close current rows whose attributes changed and add the new state; keys that are

@@ -35,82 +35,98 @@ class QualityError(Exception):
     """A check of severity `error` found rows."""
 
 
-def _result(frame: DataFrame, check: Check, failing: Column) -> DataFrame:
-    return frame.select(
-        F.lit(check.table).alias("table_name"),
-        F.lit(check.kind).alias("check_type"),
-        F.lit(check.label).alias("column_name"),
-        F.lit(check.severity).alias("severity"),
-        failing.cast("bigint").alias("failing_rows"),
-        (failing == 0).alias("passed"),
-    )
+@dataclass(frozen=True)
+class Source:
+    """A frame with the rows of one or several tables: per table a struct column of its name, and `is_<name>`, whether
+    the row is one of it. Every row is one of the first table, and the others share the columns of its keys."""
+    tables: tuple[str, ...]
+    frame: DataFrame
+
+
+def _alone(name: str, table: DataFrame) -> Source:
+    return Source((name,), table.select(F.struct("*").alias(name), F.lit(True).alias(f"is_{name}")))
 
 
 def _stack(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def column_checks(tables: Tables, checks: Sequence[Check]) -> DataFrame:
-    """Checks of single columns, not_null and accepted_values: one pass per table,
-    whatever the number of its checks. Accepted values count the distinct values
-    outside the list; NULL is not a value."""
-    def failing(check: Check) -> Column:
-        column = F.col(check.columns[0])
-        if check.kind == "not_null":
-            return F.count_if(column.isNull())
-        return F.countDistinct(F.when(~column.isin(*check.values), column))
+Numbered = Sequence[tuple[int, Check]]
 
-    frames = []
-    for name in dict.fromkeys(c.table for c in checks):
-        own = [c for c in checks if c.table == name]
-        counts = tables[name].agg(*[failing(c).alias(f"n{i}") for i, c in enumerate(own)])
-        rows = F.array(*[
-            F.struct(F.lit(c.kind).alias("check_type"), F.lit(c.label).alias("column_name"),
-                     F.lit(c.severity).alias("severity"), F.col(f"n{i}").cast("bigint").alias("failing_rows"))
-            for i, c in enumerate(own)
-        ])
-        frames.append(counts.select(F.inline(rows)).select(
-            F.lit(name).alias("table_name"), "*", (F.col("failing_rows") == 0).alias("passed")))
-    return _stack(frames)
 
+def column_faults(source: Source, checks: Numbered) -> DataFrame:
+    """check, n: faults of single columns, not_null and accepted_values, in one pass over the source. Accepted
+    values count the distinct values outside the list; NULL is not a value."""
+    def fault(number: int, check: Check) -> Column:
+        column, value = F.col(f"{check.table}.{check.columns[0]}"), F.lit(None)
+        broken = column.isNull()
+        if check.kind == "accepted_values":
+            broken, value = ~column.isin(*check.values), column
+        return F.when(F.col(f"is_{check.table}") & broken,
+                      F.struct(F.lit(number).alias("check"), value.cast("string").alias("value")))
 
-def unique(tables: Tables, checks: Sequence[Check]) -> DataFrame:
-    """Keys (of one or several columns) that occur more than once; NULL keys do not count."""
+    faults = F.filter(F.array(*[fault(*c) for c in checks]), lambda x: x.isNotNull())
+    counted = source.frame.select(F.inline(faults)).groupBy("check", "value").agg(F.count(F.lit(1)).alias("copies"))
+    return counted.select("check", F.when(F.col("value").isNull(), F.col("copies")).otherwise(1).alias("n"))
+
+
+def repeated_keys(source: Source, checks: Numbered) -> DataFrame:
+    """check, n: keys (of one or several columns) that occur more than once; NULL keys do not count. One grouping
+    per key, for all tables of the source that have it."""
     frames = []
-    for check in checks:
-        complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in check.columns])
-        repeated = (
-            tables[check.table].filter(complete).groupBy(*check.columns)
-            .agg(F.count(F.lit(1)).alias("copies")).filter(F.col("copies") > 1)
-        )
-        frames.append(_result(repeated.agg(F.count(F.lit(1)).alias("n")), check, F.col("n")))
+    for columns in dict.fromkeys(c.columns for _, c in checks):
+        own = [(number, c) for number, c in checks if c.columns == columns]
+        keys = [F.col(f"{source.tables[0]}.{c}").alias(c) for c in columns]
+        rows = source.frame.select(*keys, *[F.col(f"is_{c.table}").alias(f"in_{number}") for number, c in own])
+        complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+        counts = rows.filter(complete).groupBy(*columns).agg(*[F.count_if(f"in_{number}").alias(f"copies_{number}") for number, _ in own])
+        repeated = F.array(*[F.struct(F.lit(number).alias("check"), (F.col(f"copies_{number}") > 1).cast("bigint").alias("n"))
+                             for number, _ in own])
+        frames.append(counts.select(F.inline(repeated)).filter("n > 0"))
     return _stack(frames)
 
 
-def relationships(tables: Tables, checks: Sequence[Check]) -> DataFrame:
-    """Rows whose key the parent table lacks. Counted per key before the join, so a key
+def orphans(tables: Tables, checks: Numbered) -> DataFrame:
+    """check, n: rows whose key the parent table lacks. Counted per key before the join, so a key
     that fills much of the table takes one row."""
     frames = []
-    for check in checks:
+    for number, check in checks:
         child, parent_key = check.columns[0], check.values[0]
-        keys = tables[check.table].filter(F.col(child).isNotNull()).groupBy(child).agg(
-            F.count(F.lit(1)).alias("copies"))
+        keys = tables[check.table].filter(F.col(child).isNotNull()).groupBy(child).agg(F.count(F.lit(1)).alias("n"))
         parents = tables[check.parent].select(F.col(parent_key).alias(child))
-        orphans = keys.join(parents, child, "left_anti")
-        frames.append(_result(orphans.agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("n")), check, F.col("n")))
+        frames.append(keys.join(parents, child, "left_anti").select(F.lit(number).alias("check"), "n"))
     return _stack(frames)
 
 
-_FUNCTIONS = ((column_checks, ("not_null", "accepted_values")), (unique, ("unique",)), (relationships, ("relationships",)))
-
-
-def run(tables: Tables, checks: Sequence[Check]) -> DataFrame:
-    """All checks as one frame."""
-    return _stack([
-        function(tables, [c for c in checks if c.kind in kinds])
-        for function, kinds in _FUNCTIONS
-        if any(c.kind in kinds for c in checks)
+def run(tables: Tables, checks: Sequence[Check], shared: Sequence[Source] = ()) -> DataFrame:
+    """All checks as one frame. Tables of one source in `shared` are read together; all faults are added up in
+    one aggregation."""
+    source_of = {name: s for s in shared for name in s.tables}
+    numbered: dict[tuple[str, ...], list] = {}
+    links = []
+    for number, check in enumerate(checks):
+        if check.kind == "relationships":
+            links.append((number, check))
+            continue
+        if check.table not in source_of:
+            source_of[check.table] = _alone(check.table, tables[check.table])
+        numbered.setdefault(source_of[check.table].tables, []).append((number, check))
+    frames = [orphans(tables, links)] if links else []
+    for own in numbered.values():
+        source = source_of[own[0][1].table]
+        for function, kinds in ((column_faults, ("not_null", "accepted_values")), (repeated_keys, ("unique",))):
+            fitting = [(number, c) for number, c in own if c.kind in kinds]
+            if fitting:
+                frames.append(function(source, fitting))
+    faults = _stack(frames).groupBy("check").agg(F.sum("n").alias("failing"))
+    listed = F.array(*[
+        F.struct(F.lit(number).alias("check"), F.lit(c.table).alias("table_name"), F.lit(c.kind).alias("check_type"),
+                 F.lit(c.label).alias("column_name"), F.lit(c.severity).alias("severity"))
+        for number, c in enumerate(checks)
     ])
+    failing = F.coalesce("failing", F.lit(0)).cast("bigint")
+    return faults.sparkSession.range(1).select(F.inline(listed)).join(faults, "check", "left").select(
+        "table_name", "check_type", "column_name", "severity", failing.alias("failing_rows"), (failing == 0).alias("passed"))
 
 
 def enforce(report: DataFrame) -> None:

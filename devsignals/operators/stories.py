@@ -3,42 +3,68 @@
 from __future__ import annotations
 
 import datetime as dt
-from pyspark.sql import DataFrame, functions as F
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from devsignals import params
 from devsignals.functions import numeric, text, times
 
 
-def stg_stories(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        "story_id",
-        "title",
-        "author",
-        "url",
-        "score",
+def _stg_columns() -> list[Column]:
+    return [
+        F.col("story_id"),
+        F.col("title"),
+        F.col("author"),
+        F.col("url"),
+        F.col("score"),
         F.coalesce("descendants", F.lit(0)).alias("comment_count"),
         F.col("type").alias("story_type"),
         times.from_epoch_seconds(F.col("time")).alias("published_at"),
         F.col("fetched_at").cast("timestamp_ntz").alias("fetched_at"),
-        "raw_json",
-    )
+        F.col("raw_json"),
+    ]
 
 
-def silver_stories(stg: DataFrame) -> DataFrame:
-    """Stories proper (no jobs or polls) with link domain, link flag and day of publication."""
-    return stg.filter((F.col("story_type") == params.STORY) & F.col("title").isNotNull()).select(
-        "story_id",
-        "title",
-        "author",
-        "url",
-        "score",
-        "comment_count",
-        "story_type",
-        "published_at",
-        "fetched_at",
+def _silver_columns() -> list[Column]:
+    return [
+        F.col("story_id"),
+        F.col("title"),
+        F.col("author"),
+        F.col("url"),
+        F.col("score"),
+        F.col("comment_count"),
+        F.col("story_type"),
+        F.col("published_at"),
+        F.col("fetched_at"),
         text.url_domain(F.col("url")).alias("url_domain"),
         text.has_text(F.col("url")).alias("has_url"),
         F.to_date("published_at").alias("activity_date"),
+    ]
+
+
+def _is_silver() -> Column:
+    return (F.col("story_type") == params.STORY) & F.col("title").isNotNull()
+
+
+def stg_stories(raw: DataFrame) -> DataFrame:
+    return raw.select(*_stg_columns())
+
+
+def silver_stories(stg: DataFrame) -> DataFrame:
+    """Stories proper (no jobs or polls) with link domain, link flag and day of publication."""
+    return stg.filter(_is_silver()).select(*_silver_columns())
+
+
+FROM_STORIES = ("hn_stories_raw", "int_hn_stories")
+
+
+def with_silver(raw: DataFrame) -> DataFrame:
+    """Raw and silver stories side by side, from one scan: a struct per dataset and a flag that says whether the
+    row belongs to it."""
+    bronze, silver = FROM_STORIES
+    return raw.select(F.struct(*raw.columns).alias(bronze), *_stg_columns()).select(
+        bronze, F.lit(True).alias(f"is_{bronze}"),
+        F.struct(*_silver_columns()).alias(silver), _is_silver().alias(f"is_{silver}"),
     )
 
 

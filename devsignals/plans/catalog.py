@@ -1,5 +1,5 @@
-"""The datasets of the warehouse by name: bronze and silver as lazy views, gold as
-tables that are written once and then read by every report."""
+"""The datasets of the warehouse by name: bronze and silver as lazy views, gold (and the mentions found in
+titles) as tables that are written once and then read by every report."""
 
 from __future__ import annotations
 
@@ -43,6 +43,7 @@ LAYOUTS = {
     "dim_hn_story": Layout(),
     "fct_hn_daily_activity": Layout(sort_by=("activity_date",)),
     "fct_hn_repo_mentions": Layout(sort_by=("mentioned_repo", "activity_date")),
+    "int_hn_repo_mentions": Layout("mentioned_repo", ("published_at",)),
 }
 
 CODE_GOLD = ("dim_repository", "dim_contributor", "fct_github_daily_activity", "fct_contributor_daily_activity")
@@ -101,11 +102,6 @@ class Catalog:
         read the table instead of joining and parsing once more."""
         return self["dim_hn_story"].drop("hn_story_key", "created_at")
 
-    def mentions_of(self, repo: str) -> DataFrame:
-        """Mentions of one repository: only its own pattern is looked for."""
-        own = [pattern for pattern in self.patterns if pattern[0] == repo]
-        return stories.mentions(self.silver_of_gold(), own) if own else self["int_hn_repo_mentions"]
-
     def build(self, names: Sequence[str] = GOLD) -> dict[str, DataFrame]:
         """Write the named gold tables; writes that do not need each other run together."""
         if self.read_only:

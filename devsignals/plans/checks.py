@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from devsignals import params
-from devsignals.operators import quality
+from devsignals.operators import activity, quality, stories
 from devsignals.operators.quality import ERROR, WARN, Check
 from devsignals.plans.catalog import GOLD, Catalog
 
@@ -110,5 +110,16 @@ class CheckedTables(dict):
         return self._catalog[name]
 
 
+def shared_sources(catalog: Catalog, names: set[str]) -> list[quality.Source]:
+    """Bronze and silver tables that can be checked in one pass over their raw table."""
+    sources = []
+    if names & set(activity.FROM_EVENTS):
+        sources.append(quality.Source(activity.FROM_EVENTS, activity.with_silver(catalog["stg_github_events"])))
+    if names & set(stories.FROM_STORIES):
+        sources.append(quality.Source(stories.FROM_STORIES, stories.with_silver(catalog.raw_stories)))
+    return sources
+
+
 def report(catalog: Catalog, checks: list[Check] | None = None) -> DataFrame:
-    return quality.run(CheckedTables(catalog), checks or declared())
+    checks = checks or declared()
+    return quality.run(CheckedTables(catalog), checks, shared_sources(catalog, {c.table for c in checks}))

@@ -71,7 +71,7 @@ def hn_recent_stories(stories: DataFrame, limit: int = 10) -> DataFrame:
 
 
 def hn_repo_stories(found: DataFrame, repo: str, limit: int = 5) -> DataFrame:
-    """`found` are the mentions, which have been looked for in the titles anyway."""
+    """`found` are the stored mentions, of which one repository's folder is read."""
     return found.filter(F.col("mentioned_repo") == repo).select(*_LISTED).orderBy(*_latest()).limit(limit)
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from devsignals import params, schemas
 from devsignals.operators import activity, history
 from devsignals.plans import publish
-from devsignals.plans.catalog import CODE_GOLD, LAYOUTS, Catalog, repository_metadata
+from devsignals.plans.catalog import CODE_GOLD, Catalog, repository_metadata
 from devsignals.operators.quality import QualityError
 from devsignals.plans.checks import gold_checks
 from devsignals.plans.checks import report as declared_report
@@ -176,17 +176,13 @@ def stream_daily_counts(raw_events: DataFrame) -> DataFrame:
 
 # --- refresh and history ----------------------------------------------------
 
-def refresh_run(catalog: Catalog, since: dt.date) -> DataFrame:
-    """Facts of an early build, brought up to date by recomputing the days from `since`."""
-    spark, name = catalog.spark, "fct_github_daily_activity"
-    stg, path = catalog["stg_github_events"], fresh_path(spark, "refreshed")
-    early = stg.filter(F.col("fetched_at") < F.lit(since).cast("timestamp_ntz"))
-    counts = activity.count_activity(activity.activity_rows(early), ("repo_name", "activity_date"))
-    facts = activity.repository_facts(counts, catalog.as_of)
-    layout = LAYOUTS[name]
-    sinks.write_table(facts, path, layout.partition_by, layout.sort_by)
-    publish.refresh_recent_days(stg, path, since, catalog.as_of)
-    return spark.read.schema(facts.schema).parquet(path).select(*facts.columns)
+def refresh_run(catalog: Catalog, since: dt.date, name: str = "fct_github_daily_activity") -> DataFrame:
+    """A table of an early build, brought up to date by recomputing the days from `since`."""
+    root = fresh_path(catalog.spark, "refreshed")
+    early = catalog.raw_events.filter(F.col("fetched_at").cast("timestamp_ntz") < F.lit(since).cast("timestamp_ntz"))
+    columns = replace(catalog, raw_events=early, root=root, _frames={}).build(CODE_GOLD)[name].columns
+    publish.refresh_recent_days(catalog["stg_github_events"], root, since, catalog.as_of, catalog.repositories)
+    return Catalog.open(catalog.spark, root, catalog.as_of)[name].select(*columns)
 
 
 def published_facts(catalog: Catalog) -> DataFrame:
@@ -217,8 +213,9 @@ def publish_refused(catalog: Catalog) -> DataFrame:
 HISTORY_ATTRIBUTES = ("language", "stars", "total_pushes", "total_commits", "total_pr_events")
 
 
-def repository_history(catalog: Catalog, first_seen: dt.datetime, next_seen: dt.datetime) -> DataFrame:
-    """History of the repository attributes over two looks at the facts."""
+def repository_history(catalog: Catalog, first_seen: dt.datetime, next_seen: dt.datetime, stored: bool = False) -> DataFrame:
+    """History of the repository attributes over two looks at the facts; with `stored` as a table, to which the
+    second look is applied twice."""
     facts = catalog["fct_github_daily_activity"]
     metadata = repository_metadata(catalog.spark, catalog.repositories)
 
@@ -227,7 +224,12 @@ def repository_history(catalog: Catalog, first_seen: dt.datetime, next_seen: dt.
         return activity.repository_dimension(known, metadata, catalog.as_of)
 
     start = history.start_history(snapshot(first_seen), "repo_name", HISTORY_ATTRIBUTES, first_seen)
-    return history.apply_snapshot(start, snapshot(next_seen), "repo_name", HISTORY_ATTRIBUTES, next_seen)
+    if not stored:
+        return history.apply_snapshot(start, snapshot(next_seen), "repo_name", HISTORY_ATTRIBUTES, next_seen)
+    path = fresh_path(catalog.spark, "history")
+    for number, seen in ((0, first_seen), (1, next_seen), (1, next_seen)):
+        history.store_snapshot(path, number, snapshot(seen), "repo_name", HISTORY_ATTRIBUTES, seen)
+    return history.read_history(catalog.spark, path, 1, start.schema)
 
 
 # --- export and SQL ---------------------------------------------------------

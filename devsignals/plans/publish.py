@@ -10,9 +10,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from devsignals import params
 from devsignals.operators import activity, quality
 from devsignals.plans import checks as declared_checks
-from devsignals.plans.catalog import GOLD, LAYOUTS, Catalog
+from devsignals.plans.catalog import GOLD, LAYOUTS, Catalog, repository_metadata
+from devsignals.session import written
 from devsignals.sources import sinks
 
 _VERSIONS = T.StructType([
@@ -60,13 +62,25 @@ def published_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/versions/{published_version(spark, root)}/{name}")
 
 
-def refresh_recent_days(stg_events: DataFrame, fact_path: str, since: dt.date, as_of: dt.datetime) -> None:
-    """Recompute the repository facts from `since` on and replace just these days.
+def refresh_recent_days(stg_events: DataFrame, root: str, since: dt.date, as_of: dt.datetime,
+                        repositories: Sequence[tuple[str, str, int]] = params.TRACKED_REPOSITORIES) -> None:
+    """Bring the tables on code activity in `root` up to date: recompute both facts from `since` on and replace just
+    these days, then rebuild both dimensions from the facts.
 
-    The date limit reaches the scan of the events; all other days stay untouched.
+    The events are read and counted once; the date limit reaches their scan, and all other days stay untouched.
+    Tables change in place: meant for a version before its publication.
     """
+    spark = stg_events.sparkSession
     recent = stg_events.filter(F.col("fetched_at") >= F.lit(since).cast("timestamp_ntz"))
-    counts = activity.count_activity(activity.activity_rows(recent), ("repo_name", "activity_date"))
-    layout = LAYOUTS["fct_github_daily_activity"]
-    sinks.write_table(activity.repository_facts(counts, as_of), fact_path, layout.partition_by, layout.sort_by,
-                      dynamic=True)
+    base = written(activity.activity_base(recent), "recent-activity")
+
+    def replace(name: str, df: DataFrame, dynamic: bool = False) -> None:
+        layout = LAYOUTS[name]
+        sinks.write_table(df, f"{root}/{name}", layout.partition_by, layout.sort_by, dynamic)
+
+    replace("fct_github_daily_activity", activity.repository_facts(base, as_of), dynamic=True)
+    replace("fct_contributor_daily_activity", activity.contributor_facts(base, as_of), dynamic=True)
+    facts = Catalog.open(spark, root, as_of)
+    replace("dim_repository", activity.repository_dimension(
+        facts["fct_github_daily_activity"], repository_metadata(spark, repositories), as_of))
+    replace("dim_contributor", activity.contributor_dimension(facts["fct_contributor_daily_activity"], as_of))

@@ -100,12 +100,13 @@ def repo_summary(facts: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
 def activity_metric_fallback(repositories: DataFrame, facts: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
     """Daily commits, or pushes when no commit is known at all (sources cut commit lists).
 
-    Reads one number to choose the column.
+    The total is a scalar subquery, so it is that of the run and not of the planning.
     """
-    commits = platform_kpis(repositories).first()["total_commits"]
-    chosen = "commit_count" if commits > 0 else "push_count"
+    has_commits = F.coalesce(platform_kpis(repositories).select("total_commits").scalar(), F.lit(0)) > 0
     return daily_activity_all_repos(facts, start, end).select(
-        "activity_date", F.lit(chosen).alias("metric_name"), F.col(chosen).alias("metric_value")
+        "activity_date",
+        F.when(has_commits, "commit_count").otherwise("push_count").alias("metric_name"),
+        F.when(has_commits, F.col("commit_count")).otherwise(F.col("push_count")).alias("metric_value"),
     )
 
 
