@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from devsignals import params, schemas
 from devsignals.operators import activity, quality, stories
-from devsignals.plans import contributors, raw_report, repositories
+from devsignals.plans import checks, contributors, raw_report, repositories
 from devsignals.session import fresh_path, settings_for
 from devsignals.sources import landing, sinks, star_tables
 
@@ -40,6 +40,41 @@ def test_counts_take_one_scan_and_one_shuffle(events_table):
     assert plan.count("FileScan") == 1 and plan.count("Exchange ") == 1 and "partial_" in plan
 
 
+def test_bronze_and_silver_are_checked_in_one_pass(catalog, events_table):
+    source = quality.Source(activity.FROM_EVENTS, activity.with_silver(events_table))
+    own = [(n, c) for n, c in enumerate(checks.declared()) if c.table in activity.FROM_EVENTS]
+    columns = plan_of(quality.column_faults(source, [(n, c) for n, c in own if c.kind in ("not_null", "accepted_values")]))
+    assert columns.count("FileScan") == 1 and columns.count("Exchange ") == 1 and columns.count("from_json") == 1
+    keys = plan_of(quality.repeated_keys(source, [(n, c) for n, c in own if c.kind == "unique"]))
+    assert keys.count("FileScan") == 1 and keys.count("Exchange ") == 1
+    assert "raw_payload" not in keys and "partial_count_if" in keys.replace("partial_count(", "partial_count_if(")
+
+
+def test_mentions_of_one_repository_read_one_folder(catalog):
+    df = catalog["int_hn_repo_mentions"].filter(F.col("mentioned_repo") == params.SAMPLE_REPOSITORY)
+    assert "PartitionFilters: [isnotnull(mentioned_repo" in plan_of(df)
+
+
+def test_no_job_runs_while_a_report_is_planned(spark, catalog, events_table):
+    facts, people = catalog["fct_github_daily_activity"], catalog["dim_repository"]
+    spark.sparkContext.setJobGroup("planning", "planning")
+    try:
+        raw_report.raw_top_event_types(events_table)
+        repositories.activity_metric_fallback(people, facts, params.RANGE_START, params.RANGE_END)
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("planning")) == []
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+
+
+def test_pushes_stand_in_where_no_commit_is_known(catalog):
+    facts = catalog["fct_github_daily_activity"]
+    people = catalog["dim_repository"].withColumn("total_commits", F.lit(0).cast("bigint"))
+    rows = repositories.activity_metric_fallback(people, facts, params.RANGE_START, params.RANGE_END)
+    pushes = repositories.daily_activity_all_repos(facts, params.RANGE_START, params.RANGE_END)
+    assert {(r.activity_date, r.metric_name, r.metric_value) for r in rows.collect()} == {
+        (r.activity_date, "push_count", r.push_count) for r in pushes.collect()}
+
+
 def test_unused_columns_are_not_read(events_table):
     assert "ReadSchema: struct<repo_name:string>" in plan_of(raw_report.raw_events_by_repo(events_table))
     assert "ReadSchema: struct<repo_name:string,event_type:string>" in plan_of(raw_report.raw_overview(events_table))
