@@ -29,8 +29,8 @@ from devsignals.session import written
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-MAX_DOCUMENTS = 20         # a line may stand in so many documents of a host,
-MAX_SHARE = 0.05           # or in this share of the host's documents, whichever is more
+MAX_DOCUMENTS = 20         # a line may stand in so many distinct documents of a host, whatever the host's size
+MAX_SHARE = 0.05           # no longer releases a line; up to 400 documents a host both gave the same limit
 MIN_LEFT = 0.3             # share of a document's characters that must be left
 SPACES = "\t\n\x0b\x0c\r "
 SYMBOLS = "#*$%&|<>"
@@ -83,16 +83,12 @@ def measures(docs: DataFrame, host: str = "source") -> DataFrame:
         n_repeat_words="long", lines="array<bigint>", widths="array<int>", content="long"))
 
 
-def frequent_lines(pages: DataFrame, max_documents: int = MAX_DOCUMENTS, max_share: float = MAX_SHARE) -> DataFrame:
+def frequent_lines(pages: DataFrame, max_documents: int = MAX_DOCUMENTS) -> DataFrame:
     """(host, line) of the lines in more distinct documents of the host than allowed. `pages`: host, content, lines."""
     firsts = pages.groupBy("host", "content").agg(F.first("lines").alias("lines"))
-    totals = firsts.groupBy(F.col("host").alias("of")).agg(F.greatest(
-        F.lit(float(max_documents)), F.count("*") * F.lit(max_share)).alias("most"))
-    counted = (firsts.select("host", F.explode(F.array_distinct("lines")).alias("line"))
-               .groupBy("host", "line").agg(F.count("*").alias("n_documents"))
-               .where(F.col("n_documents") > max_documents))
-    return (counted.join(totals, F.col("host").eqNullSafe(F.col("of"))).where(F.col("n_documents") > F.col("most"))
-            .select("host", "line", "n_documents"))
+    return (firsts.select("host", F.explode(F.array_distinct("lines")).alias("line"))
+            .groupBy("host", "line").agg(F.count("*").alias("n_documents"))
+            .where(F.col("n_documents") > max_documents))
 
 
 def judge(docs: DataFrame, host: str = "source", min_left: float = MIN_LEFT) -> DataFrame:

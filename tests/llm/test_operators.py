@@ -164,6 +164,16 @@ def test_line_rules_remove_and_reject(spark):
     assert shared not in stripped[3].text and stripped[3].text == rows(docs)[3].text.split("\n", 1)[1] and stripped[120].text == rows(docs)[120].text
 
 
+def test_line_rules_limit_does_not_grow_with_the_host(spark):
+    """21 of 1,000 documents share a line: above the limit of 20, though within 5 % of the host."""
+    text = lambda i: ("shared by some\n" if i < 21 else "shared by fewer\n" if i < 41 else "") + f"own {chr(97 + i % 26) * (i // 26 + 1)}"
+    docs = spark.createDataFrame([(i, text(i), "h") for i in range(1000)], "doc_id long, text string, source string")
+    stripped = rows(line_rules.strip_lines(docs))
+    assert "shared by some" not in stripped[0].text and stripped[30].text == text(30)
+    found = rows(line_rules.judge(docs))
+    assert found[0].left_share < 1 and found[30].left_share == 1
+
+
 def test_line_rules_odd(odd):
     found = line_rules.query(odd).collect()
     assert len(found) == odd.count()
