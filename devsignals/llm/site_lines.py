@@ -36,14 +36,20 @@ def boilerplate(pages: DataFrame, max_share: float = MAX_SHARE, min_pages: int =
 
 
 def drop_boilerplate(docs: DataFrame, host: str = "source", text: str = "text",
-                     max_share: float = MAX_SHARE, min_pages: int = MIN_PAGES) -> DataFrame:
-    """The documents with their text less boilerplate lines, and `lines_dropped` (how many)."""
+                     max_share: float = MAX_SHARE, min_pages: int = MIN_PAGES, once: bool = False) -> DataFrame:
+    """The documents with their text less boilerplate lines, and `lines_dropped` (how many).
+    `once`: pages of a host with the same lines count as one."""
     columns = docs.columns
     inner = docs.select(F.struct(*columns).alias("row"), F.col(host).cast("string").alias("host"), F.col(text).alias("text"),
                         *row_key(*[c for c in columns if dict(docs.dtypes)[c] in ("bigint", "int", "string")]))
     lines = F.array_distinct(F.filter(F.transform(lines_of(F.col("text")), line_hash), lambda x: x.isNotNull()))
     pages = written(inner.select("k1", "k2", "host", lines.alias("lines")), "site-lines")
-    frequent = boilerplate(pages.select("host", "lines"), max_share, min_pages).select("host", "line")
+    counted = pages.select("host", "lines")
+    if once:
+        own = F.array_sort("lines")
+        counted = (pages.groupBy("host", F.xxhash64(own).alias("c1"), F.xxhash64(F.lit(7), F.reverse(own)).alias("c2"))
+                   .agg(F.first("lines").alias("lines")).select("host", "lines"))
+    frequent = boilerplate(counted, max_share, min_pages).select("host", "line")
     hits = (pages.select("k1", "k2", "host", F.explode("lines").alias("line")).alias("p")
             .join(frequent.alias("f"), (F.col("p.line") == F.col("f.line")) & F.col("p.host").eqNullSafe(F.col("f.host")))
             .groupBy("p.k1", "p.k2").agg(F.collect_set("p.line").alias("drop")))
@@ -64,7 +70,7 @@ def query(docs: DataFrame) -> DataFrame:
 
 def without_boilerplate(docs: DataFrame) -> DataFrame:
     """Stage: the documents' columns, with shorter texts and their length."""
-    out = drop_boilerplate(docs)
+    out = drop_boilerplate(docs, once=True)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("lines_dropped") > 0, F.length("text").cast(docs.schema["n_chars"].dataType))
                              .otherwise(F.col("n_chars")))

@@ -196,6 +196,15 @@ def test_site_lines(spark, odd):
     assert site_lines.drop_boilerplate(five.where("doc_id < 4")).where("lines_dropped > 0").count() == 0
 
 
+def test_site_lines_copies_keep_their_text(spark):
+    """A group of copies above the share keeps its lines in the stage; boilerplate on distinct pages goes."""
+    texts = [f"Menu\nown line {i}" for i in range(12)] + ["Menu\nthe text\nof all copies"] * 6
+    docs = spark.createDataFrame([(i, t, "en", "h", len(t)) for i, t in enumerate(texts)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    assert {d: r.text for d, r in rows(site_lines.without_boilerplate(docs)).items()} == {
+        i: t.split("\n", 1)[1] for i, t in enumerate(texts)}
+
+
 # near-duplicates
 
 def plain_fingerprint(text):
