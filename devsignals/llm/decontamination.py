@@ -7,7 +7,9 @@ items are hash-joined with those of the documents. An item is found in a documen
 stands for one value in the document and the other way round. So a question with other numbers or
 names is caught, and a text that only shares its form is not.
 
-A window with fewer than two words besides placeholders is compared by its words as they are, so
+Every window is also compared by its bare words with case folded, because a passage in other case (all capitals, a
+title) has other placeholders than its item; such a window gives its item's values as they are to the slot check.
+A window with fewer than two words besides placeholders is compared in this way only, so
 no window of bare placeholders meets all others. Tasks turn documents into windows and pass on
 those whose hash is in a bit table of the benchmark's hashes (fixed size, `BITS`, broadcast);
 the exact join, the alignment and the slot check are Spark's, the benchmark's table being
@@ -82,17 +84,17 @@ class Tokens:
             self.number.update(zip(new, range(len(self.bare), len(self.bare) + len(new))))
             digest = xxhash.xxh64_intdigest
             self.hashes = np.concatenate([self.hashes, np.array(
-                [(digest(t, 1), digest(b, 2)) for t, b in found], dtype=np.uint64).reshape(-1, 2)])
+                [(digest(t, 1), digest(b.casefold(), 2)) for t, b in found], dtype=np.uint64).reshape(-1, 2)])
             self.slot = np.concatenate([self.slot, np.array([t[:1] == "<" and t != b for t, b in found])])
             self.bare += [b for _, b in found]
         return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
 
 
-def windows_of(tokens: Tokens, ids: np.ndarray, width: int) -> np.ndarray:
-    """Hashes of all windows of `width` words."""
+def windows_of(tokens: Tokens, ids: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Template and bare hashes of all windows of `width` words, and which have words enough for the template."""
     m = ids.size - width + 1
     if m <= 0:
-        return np.zeros(0, dtype=np.uint64)
+        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=bool)
     out = []
     for form in range(2):
         codes, h = tokens.hashes[:, form][ids], np.full(m, 7 + width, dtype=np.uint64)
@@ -101,7 +103,7 @@ def windows_of(tokens: Tokens, ids: np.ndarray, width: int) -> np.ndarray:
             h ^= h >> np.uint64(29)
         out.append(h)
     literal = offsets_of(~tokens.slot[ids])
-    return np.where(literal[width:] - literal[:m] >= 2, out[0], out[1] ^ np.uint64(0x5851F42D4C957F2D))
+    return out[0], out[1] ^ np.uint64(0x5851F42D4C957F2D), literal[width:] - literal[:m] >= 2
 
 
 SLOTS = "array<struct<slot:int,value:string>>"
@@ -113,7 +115,7 @@ def slots_in(tokens: Tokens, ids: np.ndarray, at: int, width: int) -> list[dict]
 
 
 def item_windows(items: DataFrame) -> DataFrame:
-    """item_id, width, n_windows, i_pos, hash, i_slots of every item's windows."""
+    """item_id, width, n_windows, i_pos, hash, i_slots of every item's windows; one row or two (template and bare) each."""
     def run(batches):
         tokens = Tokens()
         for batch in batches:
@@ -123,8 +125,10 @@ def item_windows(items: DataFrame) -> DataFrame:
                     ids = tokens.of(raw.split())
                     width = min(WINDOW, ids.size)
                     if ids.size >= MIN_ITEM_WORDS:
-                        hashes = windows_of(tokens, ids, width).view(np.int64).tolist()
-                        rows += [(item, width, len(hashes), p, h, slots_in(tokens, ids, p, width)) for p, h in enumerate(hashes)]
+                        template, bare, enough = windows_of(tokens, ids, width)
+                        every = [(p, bare) for p in range(bare.size)] + [(p, template) for p in np.flatnonzero(enough).tolist()]
+                        rows += [(item, width, bare.size, p, int(h[p].view(np.int64)), slots_in(tokens, ids, p, width))
+                                 for p, h in every]
                 kinds = [part.schema.field(0).type, pa.int32(), pa.int32(), pa.int32(), pa.int64(), SLOT_TYPE]
                 columns = list(zip(*rows)) or [[]] * 6
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)],
@@ -136,7 +140,7 @@ def item_windows(items: DataFrame) -> DataFrame:
 
 
 def candidate_windows(docs: DataFrame, bits: np.ndarray, widths: list[int]) -> DataFrame:
-    """k1, k2, doc_id, width, d_pos, hash, d_slots of the windows that may be in the benchmark."""
+    """k1, k2, doc_id, width, d_pos, hash, d_slots (null: bare words) of the windows that may be in the benchmark."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches):
@@ -150,13 +154,15 @@ def candidate_windows(docs: DataFrame, bits: np.ndarray, widths: list[int]) -> D
                 ids = tokens.of([w for own in words for w in own])
                 found = []
                 for width in widths:
-                    h = windows_of(tokens, ids, width)
-                    bit = (h >> np.uint64(64 - BITS.bit_length() + 1)).astype(np.int64)
-                    at = np.flatnonzero(table[bit >> 3] & (np.uint8(1) << (bit & 7).astype(np.uint8)))
-                    row = np.searchsorted(starts, at, side="right") - 1
-                    at, row = at[at + width <= starts[row + 1]], row[at + width <= starts[row + 1]]
-                    found += [(r, width, p - starts[r], x, slots_in(tokens, ids, p, width))
-                              for r, p, x in zip(row, at, h[at].view(np.int64).tolist())]
+                    template, bare, enough = windows_of(tokens, ids, width)
+                    for h, is_template in ((template, True), (bare, False)):
+                        bit = (h >> np.uint64(64 - BITS.bit_length() + 1)).astype(np.int64)
+                        at = np.flatnonzero(table[bit >> 3] & (np.uint8(1) << (bit & 7).astype(np.uint8)))
+                        at = at[enough[at]] if is_template else at
+                        row = np.searchsorted(starts, at, side="right") - 1
+                        at, row = at[at + width <= starts[row + 1]], row[at + width <= starts[row + 1]]
+                        found += [(r, width, p - starts[r], x, slots_in(tokens, ids, p, width) if is_template else None)
+                                  for r, p, x in zip(row, at, h[at].view(np.int64).tolist())]
                 row = pa.array([f[0] for f in found], pa.int64())
                 kinds = [pa.int32(), pa.int32(), pa.int64(), SLOT_TYPE]
                 yield pa.RecordBatch.from_arrays(
@@ -190,9 +196,11 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> Da
     widths = sorted(r["width"] for r in windows.select("width").distinct().collect())      # 3 to 5
     keyed = docs.select("doc_id", "text", *row_key("doc_id", "text"))
     candidates = candidate_windows(keyed, bit_table(windows), widths)
-    values = F.zip_with("i_slots", "d_slots", lambda i, d: F.struct(i["value"].alias("i"), d["value"].alias("d")))
+    values = F.when(F.col("d_slots").isNull(), F.transform("i_slots", lambda i: F.struct(i["value"].alias("i"), i["value"].alias("d")))) \
+        .otherwise(F.zip_with("i_slots", "d_slots", lambda i, d: F.struct(i["value"].alias("i"), d["value"].alias("d"))))
     aligned = (candidates.join(windows, ["hash", "width"])
-               .where(F.transform("i_slots", lambda x: x["slot"]) == F.transform("d_slots", lambda x: x["slot"]))
+               .where(F.col("d_slots").isNull() |
+                      (F.transform("i_slots", lambda x: x["slot"]) == F.transform("d_slots", lambda x: x["slot"])))
                .groupBy("k1", "k2", "doc_id", "item_id", "n_windows", (F.col("d_pos") - F.col("i_pos")).alias("shift"))
                .agg(F.collect_set("i_pos").alias("found"), F.array_distinct(F.flatten(F.collect_set(values))).alias("pairs"),
                     F.min("d_pos").alias("first_word")))

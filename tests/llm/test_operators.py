@@ -315,6 +315,22 @@ def test_leaks_against_exact_containment(spark, data, documents, texts):
     assert len(found - exact) <= 0.2 * len(exact)
 
 
+def test_leaks_in_other_case(spark, data):
+    """Upper-cased and lower-cased copies of every item are found, with every item that brute force finds in them."""
+    items = spark.read.parquet(f"{data}/benchmark.parquet")
+    all_items = {r.item_id: r.text.split() for r in items.collect() if len((r.text or "").split()) >= decontamination.MIN_ITEM_WORDS}
+    docs, want = [], set()
+    for k, (item, own) in enumerate(sorted(all_items.items())):
+        for n, change in enumerate((str.upper, str.lower)):
+            docs.append((2 * k + n, "before it " + change(" ".join(own)) + " after it"))
+    for d, text in docs:
+        flat = f" {text.casefold()} "
+        want |= {(d, item) for item, own in all_items.items() if f" {' '.join(own).casefold()} " in flat}
+    assert len(want) >= len(docs)
+    found = decontamination.query(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()
+    assert want <= {(r.doc_id, r.item_id) for r in found if r.similarity == 1.0}
+
+
 def test_leaks_odd(odd, spark):
     items = spark.createDataFrame([(1, "One two three four five six.")], "item_id long, text string")
     assert {r.doc_id for r in decontamination.query(odd, items).collect()} == {5}
