@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from devsignals.llm import (decontamination, fixity, hard_negatives, language_id, licenses, line_rules, manifest,
-                            pitman_yor, quality_crf, sentence_pieces, simhash, site_lines)
+                            pitman_yor, quality_crf, sentence_pieces, simhash, site_lines, toxicity)
 from devsignals.llm.common import table
 
 
@@ -29,6 +29,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontamination": lambda s, d: decontamination.query(table(s, d, "documents"), table(s, d, "benchmark")),
         "op9_pitman_yor": lambda s, d: pitman_yor.query(table(s, d, "documents")),
         "op10_license_scan": lambda s, d: licenses.query(table(s, d, "documents")),
+        "op11_toxicity": lambda s, d: toxicity.query(table(s, d, "documents"), table(s, d, "labels")),
         "op12_merkle_manifest": lambda s, d: manifest.query(table(s, d, "documents")),
         "op13_hard_negatives": lambda s, d: hard_negatives.query(table(s, d, "embeddings")),
     }
@@ -36,4 +37,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_line_dedup": site_lines.SQL, "op6_warc_fixity": fixity.SQL, "op10_license_scan": licenses.sql(),
-            "op12_merkle_manifest": manifest.SQL, "op13_hard_negatives": hard_negatives.SQL}
+            "op11_toxicity": lambda s, d: toxicity.query(table(s, d, "documents"), table(s, d, "labels")),
+        "op12_merkle_manifest": manifest.SQL, "op13_hard_negatives": hard_negatives.SQL}
