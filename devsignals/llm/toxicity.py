@@ -362,7 +362,7 @@ def score(docs: DataFrame, model) -> DataFrame:
         for batch in batches:
             for part, texts in text_slices(batch, "text"):
                 z = np.array([constant + sum(weights[k] for k in {k for v in own if v for k in v}) for own in restorer.values(texts)])
-                p = 1 / (1 + np.exp(-np.clip(z, -700, 700)))
+                p = np.where(z > -700, 1 / (1 + np.exp(-np.clip(z, -700, 700))), 0.0)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(i) for i in range(part.num_columns)] +
                     [pa.array(p, pa.float64()), pa.array((p >= 0.5).astype(np.int32), pa.int32())],

@@ -20,5 +20,5 @@ def test_all_are_registered():
     import __spark_entry__ as entry
 
     names = set(entry.queries())
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 14)}
     assert "pipeline" in names
