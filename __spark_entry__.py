@@ -198,11 +198,16 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["ranked_story_cap"] = _on_catalog(lambda c: ingest_runs.ranked_story_cap(raw_s(c)))
     q["ingest_insert_if_absent"] = _on_catalog(lambda c: ingest_runs.insert_runs(raw_e(c)))
     q["ingest_load_stats"] = _on_catalog(lambda c: ingest_runs.insert_statistics(raw_e(c)))
+    q["ingest_load_stats_by_repository"] = _on_catalog(lambda c: ingest_runs.insert_statistics_by_repository(raw_e(c)))
+    q["ingest_story_load_stats"] = _on_catalog(lambda c: ingest_runs.story_load_statistics(raw_s(c)))
+    q["ingest_upsert_folded"] = _on_catalog(lambda c: ingest_runs.upsert_with_folds(raw_s(c)))
     q["ingest_upsert_stories"] = _on_catalog(lambda c: ingest_runs.upsert_runs(raw_s(c)))
     q["ingest_upsert_compacted"] = _on_catalog(lambda c: ingest_runs.upsert_after_compaction(raw_s(c)))
     q["ingest_upsert_stats"] = _on_catalog(lambda c: ingest_runs.upsert_statistics(raw_s(c)))
     q["stream_events_first_wins"] = _on_catalog(lambda c: ingest_runs.stream_first_wins(raw_e(c)))
     q["stream_events_within_watermark"] = _on_catalog(lambda c: ingest_runs.stream_within_watermark(raw_e(c)))
+    q["stream_load_stats"] = _on_catalog(lambda c: ingest_runs.stream_load_statistics(raw_e(c)))
+    q["stream_late_rows"] = _on_catalog(lambda c: ingest_runs.stream_late_rows(raw_e(c)))
     q["stream_stories_upsert"] = _on_catalog(lambda c: ingest_runs.stream_upsert(raw_s(c)))
     q["stream_daily_counts"] = _on_catalog(lambda c: ingest_runs.stream_daily_counts(raw_e(c)))
     q["incremental_fact_refresh"] = _on_catalog(lambda c: ingest_runs.refresh_run(c, REFRESH_SINCE))

@@ -17,6 +17,7 @@ from devsignals.plans.checks import gold_checks
 from devsignals.plans.checks import report as declared_report
 from devsignals.session import fresh_path, written
 from devsignals.sources import landing, sinks, star_tables
+from devsignals.sources.keyed import KeyedTable, read_loads, record_load
 from devsignals.streaming import events as event_streams
 from devsignals.streaming import stories as story_streams
 
@@ -69,27 +70,37 @@ def _landed(polls: Iterable[DataFrame]) -> list[DataFrame]:
 
 
 def insert_runs(raw_events: DataFrame) -> DataFrame:
-    """First poll, second poll, second poll once more: what is stored in the end."""
+    """First poll, second poll, second poll once more: what is stored in the end, after small files were merged."""
     spark = raw_events.sparkSession
     first, second = _landed(star_tables.event_polls(raw_events))
-    path = fresh_path(spark, "events")
+    table = KeyedTable(spark, fresh_path(spark, "events"))
     for poll in (first, second, second):
-        sinks.insert_if_absent(poll, path, schemas.EVENTS_RAW)
-    return landing.read_events_table(spark, path)
+        table.insert(poll)
+    table.merge_files(1)
+    return table.read()
+
+
+def _recorded_loads(polls: Iterable[DataFrame]) -> DataFrame:
+    """What the loads of the polls, the last one twice, have counted themselves."""
+    landed = _landed(polls)
+    spark = landed[0].sparkSession
+    path = fresh_path(spark, "events")
+    table = KeyedTable(spark, path)
+    for number, poll in enumerate([*landed, landed[-1]], start=1):
+        record_load(spark, path, number, table.insert(poll, params.REPOSITORY_NAMES))
+    return read_loads(spark, path).withColumn("load", F.col("load").cast("int"))
 
 
 def insert_statistics(raw_events: DataFrame) -> DataFrame:
     """Received, inserted and duplicate rows of the three loads."""
-    spark = raw_events.sparkSession
-    first, second = _landed(star_tables.event_polls(raw_events))
-    path = fresh_path(spark, "events")
-    sinks.create_table(spark, path, schemas.EVENTS_RAW)
-    rows = []
-    for number, poll in enumerate((first, second, second), start=1):
-        counted = sinks.load_statistics(poll, landing.read_events_table(spark, path))
-        rows.append(written(counted.withColumn("load", F.lit(number)), "load-statistics"))
-        sinks.insert_if_absent(poll, path, schemas.EVENTS_RAW)
-    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+    return _recorded_loads(star_tables.event_polls(raw_events)).where("repo_name is null").drop("repo_name")
+
+
+def insert_statistics_by_repository(raw_events: DataFrame) -> DataFrame:
+    """The same per repository; some events of the polls have lost their id."""
+    lost = F.when(F.col("event_id").cast("long") % 97 != 0, F.col("event_id"))
+    polls = [poll.withColumn("event_id", lost) for poll in star_tables.event_polls(raw_events)]
+    return _recorded_loads(polls).where("repo_name is not null")
 
 
 # --- upsert -----------------------------------------------------------------
@@ -130,6 +141,27 @@ def upsert_statistics(raw_stories: DataFrame) -> DataFrame:
     )
 
 
+def story_load_statistics(raw_stories: DataFrame) -> DataFrame:
+    """Rows that each poll brought, stored, and rejected, as its write has counted them. Some stories have lost id or title."""
+    spark = raw_stories.sparkSession
+    path = fresh_path(spark, "stories")
+    for seq, poll in enumerate(star_tables.story_polls(raw_stories)):
+        n = F.col("story_id")
+        broken = poll.withColumns({"title": F.when(n % 31 == 3, "").otherwise(F.col("title")), "story_id": F.when(n % 29 != 1, n)})
+        sinks.store_stories(written(broken, "poll"), path, seq)
+    return sinks.read_story_loads(spark, path)
+
+
+def upsert_with_folds(raw_stories: DataFrame) -> DataFrame:
+    """The state when the log is folded behind the first poll and the second one arrives twice, on top of the base."""
+    spark = raw_stories.sparkSession
+    path = fresh_path(spark, "stories")
+    first, second = star_tables.story_polls(raw_stories)
+    for seq, poll in enumerate((first, second, second)):
+        sinks.store_stories(poll, path, seq, fold_every=1 if seq < 2 else None)
+    return _reported(sinks.current_state(sinks.read_changes(spark, path, schemas.STORIES_RAW)))
+
+
 # --- streams ----------------------------------------------------------------
 
 def stream_first_wins(raw_events: DataFrame) -> DataFrame:
@@ -141,7 +173,32 @@ def stream_first_wins(raw_events: DataFrame) -> DataFrame:
         poll.write.mode("append").parquet(f"{root}/landing")
         stream = event_streams.read_event_stream(spark, f"{root}/landing")
         event_streams.store_first(stream, f"{root}/table", f"{root}/checkpoint").awaitTermination()
-    return landing.read_events_table(spark, f"{root}/table").drop("raw_payload")
+    return KeyedTable(spark, f"{root}/table").read().drop("raw_payload")
+
+
+def stream_load_statistics(raw_events: DataFrame) -> DataFrame:
+    """Both polls as micro-batches of a few files: what all of them received and inserted per repository."""
+    spark = raw_events.sparkSession
+    root = fresh_path(spark, "counted-stream")
+    for poll in star_tables.event_polls(raw_events):
+        poll.write.mode("append").parquet(f"{root}/landing")
+        stream = event_streams.read_event_stream(spark, f"{root}/landing", max_files=4)
+        event_streams.store_first(stream, f"{root}/table", f"{root}/checkpoint").awaitTermination()
+    return read_loads(spark, f"{root}/table").where("repo_name is not null").groupBy("repo_name").agg(
+        *[F.sum(c).alias(c) for c in ("received", "inserted", "duplicates", "errors")])
+
+
+def stream_late_rows(raw_events: DataFrame, delay: dt.timedelta = dt.timedelta(days=5)) -> DataFrame:
+    """Both polls through a watermark: per day the events in time and those behind it. Together they are all that landed."""
+    spark = raw_events.sparkSession
+    root = fresh_path(spark, "late-stream")
+    for poll in star_tables.event_polls(raw_events):
+        poll.write.mode("append").parquet(f"{root}/landing")
+        stream = event_streams.read_event_stream(spark, f"{root}/landing")
+        event_streams.split_late(stream, root, f"{root}/checkpoint", delay).awaitTermination()
+    both = event_streams.read_split(spark, root, False).withColumn("late", F.lit(False)).unionByName(
+        event_streams.read_split(spark, root, True).withColumn("late", F.lit(True)))
+    return both.groupBy(F.to_date("fetched_at").alias("activity_date"), "late").agg(F.count(F.lit(1)).alias("event_count"))
 
 
 def stream_within_watermark(raw_events: DataFrame, delay: str = "30 days") -> DataFrame:

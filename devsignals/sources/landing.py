@@ -89,11 +89,14 @@ def story_rows(lines: DataFrame, fetched_at: dt.datetime) -> DataFrame:
     )
 
 
+REASONS = ("missing id", "missing title")
+
+
 def reject_reason() -> Column:
     """Why a story row cannot be stored; NULL for a good one."""
     return (
-        F.when(F.coalesce(F.col("story_id") == 0, F.lit(True)), "missing id")
-        .when(F.coalesce(F.col("title") == "", F.lit(True)), "missing title")
+        F.when(F.coalesce(F.col("story_id") == 0, F.lit(True)), REASONS[0])
+        .when(F.coalesce(F.col("title") == "", F.lit(True)), REASONS[1])
     )
 
 

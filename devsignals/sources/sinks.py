@@ -1,12 +1,13 @@
-"""Writers: full refresh, insert-if-absent, upsert as a change log, views, export."""
+"""Writers: full refresh, upsert as a change log, counts of a load, views, export."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F, types as T
 
-from devsignals.functions.numeric import percent
+from devsignals import schemas
 from devsignals.sources import landing
 
 STORY_IDENTITY = ("title", "author", "url", "time", "type")
@@ -43,7 +44,27 @@ def create_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
     spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
 
 
-# --- insert if absent -------------------------------------------------------
+# --- counts of a load ---------------------------------------------------------
+
+_RULES = "spark.sql.adaptive.optimizer.excludedRules"
+
+
+@contextmanager
+def counts_kept(spark: SparkSession) -> Iterator[None]:
+    """Adaptive execution cuts off what lies below a stage without rows, and with it what was counted there. Not so in here."""
+    before = spark.conf.get(_RULES, None)
+    rule = "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation"
+    spark.conf.set(_RULES, f"{before},{rule}" if before else rule)
+    try:
+        yield
+    finally:
+        if before:
+            spark.conf.set(_RULES, before)
+        else:
+            spark.conf.unset(_RULES)
+
+
+# --- keys (insert-if-absent is in `keyed`) -----------------------------------
 
 def first_per_key(df: DataFrame, key: str, order: Sequence[str | Column]) -> DataFrame:
     """One row per key, the first in `order`. The filter on the row number is applied
@@ -61,76 +82,98 @@ def present_keys(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     return target.select(key).join(batch.select(key).distinct(), key, "left_semi")
 
 
-def absent_rows(batch: DataFrame, target: DataFrame, key: str, order: Sequence[str | Column]) -> DataFrame:
-    return first_per_key(batch, key, order).join(present_keys(target, batch, key), key, "left_anti")
-
-
-def insert_if_absent(batch: DataFrame, path: str, schema: T.StructType, key: str = "event_id",
-                     order: Sequence[str] = ("fetched_at", "raw_payload")) -> None:
-    """Append rows with a new key; a stored row never changes. Repeating a batch adds nothing.
-    Rows without a key cannot be stored."""
-    spark = batch.sparkSession
-    batch = batch.filter(F.col(key).isNotNull())
-    create_table(spark, path, schema)
-    target = spark.read.schema(schema).parquet(path)
-    absent_rows(batch, target, key, order).select(*schema.names).write.mode("append").parquet(path)
+# --- upsert -----------------------------------------------------------------
 
+CHANGE = [T.StructField("row_no", T.LongType()), T.StructField("row_hash", T.LongType()), T.StructField("seq", T.LongType())]
+POINTER = T.StructType([T.StructField("upto", T.LongType())])
 
-def load_statistics(batch: DataFrame, target: DataFrame, key: str = "event_id") -> DataFrame:
-    """One row: received, inserted, duplicates, errors (NULL keys), inserted percent.
-
-    Counts per key first, so a key repeated many times costs one row in the join.
-    """
-    per_key = batch.groupBy(key).agg(F.count(F.lit(1)).alias("copies"))
-    known = present_keys(target, batch, key).distinct().withColumn("known", F.lit(True))
-    joined = per_key.join(known, key, "left")
-    fresh = F.col("known").isNull() & F.col(key).isNotNull()
-    received = F.coalesce(F.sum("copies"), F.lit(0))
-    inserted = F.count_if(fresh)
-    errors = F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("copies"))), F.lit(0))
-    return joined.agg(received.alias("received"), inserted.alias("inserted"), errors.alias("errors")).select(
-        "received",
-        "inserted",
-        (F.col("received") - F.col("inserted") - F.col("errors")).alias("duplicates"),
-        "errors",
-        F.coalesce(percent(F.col("inserted"), F.col("received"), 1), F.lit(0.0)).alias("success_rate_pct"),
-    )
-
-
-# --- upsert -----------------------------------------------------------------
 
 def append_changes(batch: DataFrame, path: str, seq: int) -> None:
     """Add one batch to the change log. Writing the same batch number again replaces
     it, so a repeated micro-batch changes nothing, and the target is never rewritten."""
-    batch.write.mode("overwrite").parquet(f"{path}/seq={seq}")
+    marked = batch.withColumns({"row_no": F.monotonically_increasing_id(), "row_hash": F.xxhash64(*batch.columns)})
+    marked.write.mode("overwrite").parquet(f"{path}/seq={seq}")
 
 
-def store_stories(batch: DataFrame, log: str, seq: int) -> None:
+def store_stories(batch: DataFrame, log: str, seq: int, fold_every: int | None = None) -> dict[str, int]:
     """One batch of stories, of a poll or a stream: good rows to the change log, the others with their reason
-    to `<log>-rejected`."""
-    append_changes(landing.valid_stories(batch), log, seq)
+    to `<log>-rejected`. Returns received and stored rows and the rejected ones by reason, as the write has counted them; they are
+    kept for `read_story_loads` as well. After every `fold_every` batches the log is folded."""
+    counts, reason = Observation(), landing.reject_reason()
+    counted = batch.observe(
+        counts, F.count(F.lit(1)).alias("received"), F.count_if(reason.isNull()).alias("stored"),
+        *[F.count_if(F.coalesce(reason == r, F.lit(False))).alias(r) for r in landing.REASONS])
+    with counts_kept(batch.sparkSession):
+        append_changes(landing.valid_stories(counted), log, seq)
     append_changes(landing.rejected_stories(batch), f"{log}-rejected", seq)
+    seen = counts.get
+    row = batch.sparkSession.range(1).select(F.lit(seq).cast("long").alias("load"), *[
+        F.lit(n).cast("long").alias(name.replace(" ", "_")) for name, n in seen.items()])
+    row.write.mode("overwrite").parquet(f"{log}-loads/load_number={seq}")
+    if fold_every and (seq + 1) % fold_every == 0:
+        fold(batch.sparkSession, log, schemas.STORIES_RAW)
+    return seen
+
+
+def read_story_loads(spark: SparkSession, log: str) -> DataFrame:
+    """Per load: rows received, stored, and rejected by reason."""
+    names = ["load", "received", "stored", *[r.replace(" ", "_") for r in landing.REASONS]]
+    return spark.read.schema(", ".join(f"{n} long" for n in names)).parquet(f"{log}-loads").select(*names)
+
+
+def folded_upto(spark: SparkSession, path: str) -> int | None:
+    """The last batch that the newest base holds."""
+    create_table(spark, f"{path}-pointer", POINTER)
+    return spark.read.schema(POINTER).parquet(f"{path}-pointer").agg(F.max("upto")).first()[0]
 
 
 def read_changes(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(T.StructType(schema.fields + [T.StructField("seq", T.LongType())])).parquet(path)
+    """The changes that make up the state: the newest base, and the batches after it."""
+    log = spark.read.schema(T.StructType(schema.fields + CHANGE)).parquet(path)
+    upto = folded_upto(spark, path)
+    if upto is None:
+        return log
+    base = spark.read.schema(T.StructType(schema.fields + CHANGE[:2])).parquet(f"{path}-base/upto={upto}")
+    return base.withColumn("seq", F.lit(upto).cast("long")).unionByName(log.where(F.col("seq") > upto))
 
 
 def current_state(log: DataFrame, key: str = "story_id", identity: Sequence[str] = STORY_IDENTITY,
                   mutable: Sequence[str] = STORY_MUTABLE) -> DataFrame:
-    """State after all upserts: identity columns as first seen, mutable ones as last seen,
-    NULLs included. Both aggregates combine before the shuffle, so hot keys are no load."""
-    order = F.struct("seq", "fetched_at", F.xxhash64(*identity, *mutable))
-    return (
-        log.groupBy(key)
-        .agg(F.min_by(F.struct(*identity), order).alias("first"), F.max_by(F.struct(*mutable), order).alias("last"))
-        .select(key, "first.*", "last.*")
-    )
+    """State after all upserts: identity columns as first seen, mutable ones as last seen, NULLs included.
+
+    Per key, the first and the last row are found from narrow columns, combined before the shuffle, so hot keys are no load.
+    Their wide columns are fetched afterwards by row: two hash joins, in which no wide row is sorted.
+    """
+    order = F.struct("seq", "fetched_at", "row_hash", "row_no")
+    ends = log.groupBy(F.col(key).alias("_key")).agg(F.min(order).alias("_first"), F.max(order).alias("_last"))
+
+    def rows(side: str, columns: Sequence[str]) -> DataFrame:
+        return log.select(F.col(key).alias(f"_{side}_key"), F.col("seq").alias(f"_{side}_seq"), F.col("row_no").alias(f"_{side}_no"), *columns)
+
+    def of(side: str, end: str):
+        return (F.col("_key").eqNullSafe(F.col(f"_{side}_key")) & (F.col(f"{end}.seq") == F.col(f"_{side}_seq"))
+                & (F.col(f"{end}.row_no") == F.col(f"_{side}_no")))
+
+    named = rows("a", identity).join(ends.hint("shuffle_hash"), of("a", "_first")).select("_key", "_last", *identity)
+    return rows("b", mutable).join(named.hint("shuffle_hash"), of("b", "_last")).select(F.col("_key").alias(key), *identity, *mutable)
+
+
+def fold(spark: SparkSession, path: str, schema: T.StructType, key: str = "story_id", identity: Sequence[str] = STORY_IDENTITY,
+         mutable: Sequence[str] = STORY_MUTABLE) -> None:
+    """Write the state as a new base and then point to it. Until the pointer is there, readers use the base before; with it
+    they read the new base and later batches only. The fold keeps the first identity and the last mutable
+    values, and so does folding again."""
+    last = spark.read.schema(T.StructType(schema.fields + CHANGE)).parquet(path).agg(F.max("seq")).first()[0]
+    if last is None or last == folded_upto(spark, path):
+        return
+    state = current_state(read_changes(spark, path, schema), key, identity, mutable).select(*schema.names)
+    marked = state.withColumns({"row_no": F.monotonically_increasing_id(), "row_hash": F.lit(0).cast("long")})
+    marked.write.mode("overwrite").parquet(f"{path}-base/upto={last}")
+    spark.createDataFrame([(last,)], POINTER).coalesce(1).write.mode("append").parquet(f"{path}-pointer")
 
 
 def compact(spark: SparkSession, log_path: str, new_path: str, schema: T.StructType) -> None:
-    """Fold a change log into one batch at a new place. Later batches go on top of it:
-    the fold keeps the first identity and the last mutable values, and so does folding again."""
+    """Fold a change log into one batch at a new place. Later batches go on top of it."""
     state = current_state(read_changes(spark, log_path, schema)).select(*schema.names)
     append_changes(state, new_path, 0)
 

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import datetime as dt
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from devsignals import schemas
+from devsignals import params, schemas
+from devsignals.functions import times
 from devsignals.sources import sinks
+from devsignals.sources.keyed import KeyedTable, record_load
 from devsignals.streaming import triggered
 
 
@@ -18,22 +23,58 @@ def with_event_time(stream: DataFrame) -> DataFrame:
     return stream.withColumn("fetched_at", F.col("fetched_at").cast("timestamp"))
 
 
-def read_event_stream(spark: SparkSession, landing: str) -> DataFrame:
-    return spark.readStream.schema(schemas.EVENTS_RAW).parquet(landing)
+def read_event_stream(spark: SparkSession, landing: str, max_files: int | None = None) -> DataFrame:
+    """`max_files` bounds what one micro-batch takes, so that a backlog is worked off in steps."""
+    reader = spark.readStream.schema(schemas.EVENTS_RAW)
+    return (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).parquet(landing)
 
 
-def store_first(stream: DataFrame, target: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """Keep the first event of each id, exactly: each micro-batch is an insert-if-absent.
+def store_first(stream: DataFrame, target: str, checkpoint: str, every: str | None = None,
+                groups: Sequence[str] = params.REPOSITORY_NAMES) -> StreamingQuery:
+    """Keep the first event of each id, exactly: each micro-batch is an insert-if-absent, which looks into the buckets of
+    its own ids only. What it did is in `read_loads(target)`, per micro-batch and repository.
 
     A micro-batch repeated after a failure finds its rows stored and adds nothing.
     """
-    def store(batch: DataFrame, _: int) -> None:
-        sinks.insert_if_absent(batch, target, schemas.EVENTS_RAW)
+    def store(batch: DataFrame, number: int) -> None:
+        counts = KeyedTable(batch.sparkSession, target).insert(batch, groups)
+        record_load(batch.sparkSession, target, number, counts)
 
     writer = stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     return triggered(writer, every).start()
 
 
+MARKS = "seq long, newest timestamp_ntz"
+
+
+def split_late(stream: DataFrame, root: str, checkpoint: str, delay: dt.timedelta, every: str | None = None) -> StreamingQuery:
+    """Rows in time, and rows behind the watermark that a stateful operator would drop, each for `read_split`; none is lost.
+
+    The watermark is the newest event time of all micro-batches before, less `delay`, as Spark's own; it is stored per micro-batch,
+    so that a repeated one is split as before and replaces itself. A row without a time is in time.
+    """
+    def split(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        sinks.create_table(spark, f"{root}/marks", T.StructType.fromDDL(MARKS))
+        marks = spark.read.schema(MARKS).parquet(f"{root}/marks")
+        newest = marks.where(F.col("seq") < number).agg(F.max("newest")).first()[0]
+        behind = F.lit(False) if newest is None else F.coalesce(F.col("fetched_at") < times.moment(newest - delay), F.lit(False))
+        seen = Observation()
+        with sinks.counts_kept(spark):
+            marked = batch.observe(seen, F.max("fetched_at").alias("newest")).withColumn("late", behind)
+            # one pass over the batch: both kinds side by side, in folders of their own
+            marked.write.mode("overwrite").partitionBy("late").parquet(f"{root}/split/seq={number}")
+        spark.createDataFrame([(number, seen.get["newest"])], MARKS).coalesce(1).write.mode("append").parquet(f"{root}/marks")
+
+    writer = stream.writeStream.foreachBatch(split).option("checkpointLocation", checkpoint)
+    return triggered(writer, every).start()
+
+
+def read_split(spark: SparkSession, root: str, late: bool) -> DataFrame:
+    schema = T.StructType(schemas.EVENTS_RAW.fields + [T.StructField("seq", T.LongType()), T.StructField("late", T.BooleanType())])
+    return spark.read.schema(schema).parquet(f"{root}/split").where(F.col("late") == late).select(*schemas.EVENTS_RAW.names)
+
+
 def first_within(stream: DataFrame, delay: str) -> DataFrame:
     """First event of each id with bounded state: repeats are caught for `delay` only."""
     return with_event_time(stream).withWatermark("fetched_at", delay).dropDuplicatesWithinWatermark(["event_id"])

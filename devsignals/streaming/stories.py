@@ -14,13 +14,12 @@ def read_story_stream(spark: SparkSession, folder: str) -> DataFrame:
     return spark.readStream.schema(schemas.STORIES_RAW).parquet(folder)
 
 
-def upsert(stream: DataFrame, log: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+def upsert(stream: DataFrame, log: str, checkpoint: str, every: str | None = None, fold_every: int | None = 100) -> StreamingQuery:
     """Append each micro-batch to the change log under its own number, so that a
-    repeated one replaces itself. Rows that cannot be stored go to `<log>-rejected`."""
+    repeated one replaces itself. Rows that cannot be stored go to `<log>-rejected`.
+    The log is folded after every `fold_every` micro-batches."""
     def store(batch: DataFrame, number: int) -> None:
-        batch = batch.persist()
-        sinks.store_stories(batch, log, number)
-        batch.unpersist()
+        sinks.store_stories(batch, log, number, fold_every)
 
     writer = stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     return triggered(writer, every).start()

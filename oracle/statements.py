@@ -291,7 +291,31 @@ def _ingestion() -> dict[str, str]:
         UNION ALL SELECT 3, count(*), 0 FROM second_events"""
     q["ingest_load_stats"] = f"""SELECT load, received, inserted, received - inserted AS duplicates, CAST(0 AS BIGINT) AS errors,
         coalesce({percent('inserted', 'received', 1)}, 0.0) AS success_rate_pct FROM ({loads})"""
-    for name in ("ingest_upsert_stories", "ingest_upsert_compacted"):
+    def known(rows: str) -> str:
+        return f"(SELECT repo_name, CASE WHEN {n} % 97 <> 0 THEN event_id END AS event_id FROM {rows})"
+
+    per_repository = f"""
+        SELECT 1 AS load, repo_name, count(*) AS received, count(DISTINCT event_id) AS inserted, count(*) - count(event_id) AS errors
+        FROM {known('first_events')} GROUP BY repo_name
+        UNION ALL SELECT 2, repo_name, count(*), count(DISTINCT event_id) FILTER (event_id NOT IN (SELECT event_id FROM first_events)),
+        count(*) - count(event_id) FROM {known('second_events')} GROUP BY repo_name
+        UNION ALL SELECT 3, repo_name, count(*), 0, count(*) - count(event_id) FROM {known('second_events')} GROUP BY repo_name"""
+    q["ingest_load_stats_by_repository"] = f"""SELECT *, received - inserted - errors AS duplicates,
+        coalesce({percent('inserted', 'received', 1)}, 0.0) AS success_rate_pct FROM ({per_repository})"""
+    q["stream_load_stats"] = f"""SELECT repo_name, {big('count(*)')} AS received, count(DISTINCT event_id) AS inserted,
+        count(*) - count(DISTINCT event_id) AS duplicates, CAST(0 AS BIGINT) AS errors
+        FROM (SELECT * FROM first_events UNION ALL SELECT * FROM second_events) GROUP BY repo_name"""
+    q["stream_late_rows"] = """SELECT CAST(fetched_at AS DATE) AS activity_date, late, count(*) AS event_count FROM (
+        SELECT fetched_at, false AS late FROM first_events
+        UNION ALL SELECT fetched_at, fetched_at < (SELECT max(fetched_at) FROM first_events) - INTERVAL 5 DAY FROM second_events)
+        GROUP BY ALL"""
+    arrived = " UNION ALL ".join(f"""SELECT CAST({k} AS BIGINT) AS load, count(*) AS received,
+        count(*) FILTER (story_id % 29 <> 1 AND story_id <> 0 AND story_id % 31 <> 3 AND title <> '') AS stored,
+        count(*) FILTER (story_id % 29 = 1 OR story_id = 0) AS missing_id,
+        count(*) FILTER (story_id % 29 <> 1 AND story_id <> 0 AND NOT coalesce(story_id % 31 <> 3 AND title <> '', false)) AS missing_title
+        FROM {poll}""" for k, poll in enumerate(("first_stories", "second_stories")))
+    q["ingest_story_load_stats"] = arrived
+    for name in ("ingest_upsert_stories", "ingest_upsert_compacted", "ingest_upsert_folded"):
         q[name] = f"SELECT {story} FROM stored_valid_stories"
     q["stream_stories_upsert"] = f"SELECT {story} FROM stored_valid_stories"
     q["ingest_upsert_stats"] = """SELECT 1 AS load, count(DISTINCT story_id) AS inserted, CAST(0 AS BIGINT) AS updated FROM first_stories

@@ -7,11 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from devsignals import params, schemas
+from devsignals import params
 from devsignals.operators import activity, quality, stories
 from devsignals.plans import checks, contributors, raw_report, repositories
 from devsignals.session import fresh_path, settings_for
 from devsignals.sources import landing, sinks, star_tables
+from devsignals.sources.keyed import KeyedTable
 
 
 def plan_of(df):
@@ -142,8 +143,8 @@ def test_skewed_counts(spark):
 def test_copies_of_one_event_are_cut_before_the_shuffle(spark):
     copies = skewed_events(spark).withColumn("event_id", F.when(F.col("event_id") % 3 == 0, "0").otherwise(F.col("event_id")))
     path = fresh_path(spark, "skew")
-    sinks.insert_if_absent(copies, path, schemas.EVENTS_RAW)
-    stored = landing.read_events_table(spark, path)
+    KeyedTable(spark, path).insert(copies)
+    stored = KeyedTable(spark, path).read()
     assert stored.count() == stored.select("event_id").distinct().count() == 20001
     assert plan_of(sinks.first_per_key(copies, "event_id", ["fetched_at"])).count("WindowGroupLimit") == 2
 

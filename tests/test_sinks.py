@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from devsignals import schemas
 from devsignals.session import fresh_path, shared_folder
 from devsignals.sources import landing, sinks
+from devsignals.sources.keyed import KeyedTable, read_loads, record_load
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -26,27 +28,77 @@ def stories(spark, *rows):
 
 
 def stored(spark, path):
-    return sorted((r.event_id, r.raw_payload) for r in landing.read_events_table(spark, path).collect())
+    return sorted((r.event_id, r.raw_payload) for r in KeyedTable(spark, path).read().collect())
 
 
 def test_first_event_wins_within_and_across_batches(spark):
     path = fresh_path(spark, "t")
-    sinks.insert_if_absent(events(spark, ("1", 5, "late"), ("1", 1, "early"), ("2", 0, "x"), (None, 0, "no key")), path,
-                           schemas.EVENTS_RAW)
+    KeyedTable(spark, path).insert(events(spark, ("1", 5, "late"), ("1", 1, "early"), ("2", 0, "x"), (None, 0, "no key")))
     assert stored(spark, path) == [("1", "early"), ("2", "x")]
     again = events(spark, ("1", 0, "other"), ("3", 0, "y"))
     for _ in range(2):
-        sinks.insert_if_absent(again, path, schemas.EVENTS_RAW)
+        KeyedTable(spark, path).insert(again)
         assert stored(spark, path) == [("1", "early"), ("2", "x"), ("3", "y")]
 
 
-def test_load_statistics(spark):
-    target = events(spark, ("1", 0, "x"))
+def test_a_load_counts_what_it_does(spark):
+    path = fresh_path(spark, "t")
+    table = KeyedTable(spark, path)
+    table.insert(events(spark, ("1", 0, "x")))
     batch = events(spark, ("1", 0, "x"), ("2", 0, "y"), ("2", 1, "y"), (None, 0, "z"))
-    row = sinks.load_statistics(batch, target).first()
-    assert (row.received, row.inserted, row.duplicates, row.errors, row.success_rate_pct) == (4, 1, 2, 1, 25.0)
-    empty = sinks.load_statistics(batch.filter("false"), target).first()
-    assert (empty.received, empty.success_rate_pct) == (0, 0.0)
+    batch = batch.withColumn("repo_name", F.when(F.col("event_id") == "2", "c/d").otherwise(F.col("repo_name")))
+    for load, expected in enumerate([[(None, 4, 1, 1), ("a/b", 2, 0, 1), ("c/d", 2, 1, 0), ("e/f", 0, 0, 0)],
+                                     [(None, 4, 0, 1), ("a/b", 2, 0, 1), ("c/d", 2, 0, 0), ("e/f", 0, 0, 0)]]):
+        counts = table.insert(batch, ("a/b", "c/d", "e/f"))
+        assert counts == expected
+        record_load(spark, path, load, counts)
+    record_load(spark, path, 1, counts)             # the same load again replaces its record
+    rows = read_loads(spark, path).orderBy("load", F.asc_nulls_first("repo_name")).collect()
+    assert [(r.load, r.repo_name, r.duplicates, r.success_rate_pct) for r in rows if r.repo_name in (None, "c/d")] == [
+        (0, None, 2, 25.0), (0, "c/d", 1, 50.0), (1, None, 3, 0.0), (1, "c/d", 2, 0.0)]
+
+
+def test_loads_of_nothing(spark):
+    table = KeyedTable(spark, fresh_path(spark, "t"))
+    empty = events(spark, ("1", 0, "x")).where("false")
+    for _ in range(2):
+        assert table.insert(empty, ("a/b",)) == [(None, 0, 0, 0), ("a/b", 0, 0, 0)]
+    assert table.insert(events(spark, (None, 0, "x"))) == [(None, 1, 0, 1)]
+    assert table.read().collect() == [] and table.read().columns == schemas.EVENTS_RAW.names
+
+
+def test_settings_are_as_before_a_load(spark):
+    rules = "spark.sql.adaptive.optimizer.excludedRules"
+    before = spark.conf.get(rules, None)
+    KeyedTable(spark, fresh_path(spark, "t")).insert(events(spark, ("1", 0, "x")))
+    assert spark.conf.get(rules, None) == before
+
+
+def test_merged_buckets_hold_the_same_rows(spark):
+    table = KeyedTable(spark, fresh_path(spark, "t"), buckets=4)
+    for k in range(3):
+        table.insert(events(spark, *[(str(i), 0, f"p{i}") for i in range(20 * k, 20 * k + 30)]))
+    before, files = sorted(map(tuple, table.read().collect())), len(table.read().inputFiles())
+    assert table.merge_files(2) == [0, 1, 2, 3]
+    assert sorted(map(tuple, table.read().collect())) == before and len(table.read().inputFiles()) < files
+    assert table.merge_files(2) == []
+    assert sorted(r.event_id for r in table.rows_of(["3", "41", "none"]).collect()) == ["3", "41"]
+
+
+def test_only_the_buckets_of_a_batch_are_read(spark):
+    table = KeyedTable(spark, fresh_path(spark, "t"), buckets=16)
+    table.insert(events(spark, *[(f"{i:05}", 0, "p") for i in range(400)]))
+    batch = events(spark, ("00007", 1, "q"), ("00009", 1, "q"))
+    found = table.present(batch)
+    assert sorted(r.event_id for r in found.collect()) == ["00007", "00009"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [key_bucket" in plan and "GreaterThanOrEqual(event_id,00007), LessThanOrEqual(event_id,00009)" in plan
+    assert "ReadSchema: struct<event_id:string>" in plan
+    scan = plan[plan.index("PartitionFilters"):]
+    wanted = {int(x) for x in re.findall(r"[0-9]+", scan[scan.index("[") : scan.index("]")].split("key_bucket", 1)[1].partition(" ")[2])}
+    buckets = {r[0] for r in batch.select(table.bucket()).collect()}
+    assert wanted == buckets and len(buckets) <= 2
+    assert {int(f.split("key_bucket=")[1].split("/")[0]) for f in table.read().inputFiles()} > buckets
 
 
 def test_upsert_keeps_identity_and_replaces_the_rest(spark):
@@ -84,6 +136,53 @@ def test_compaction_does_not_change_the_state(spark):
     assert (row.title, row.score, row.descendants) == ("first", 30, 7)
 
 
+def test_folding_does_not_change_the_state(spark):
+    path = fresh_path(spark, "t")
+    batches = [[(1, "first", 10, 5, 0), (2, "only", 1, 1, 0)], [(1, "second", 20, None, 1)], [(3, "new", 7, 7, 2), (1, "third", 30, 1, 2)]]
+
+    def state():
+        log = sinks.read_changes(spark, path, schemas.STORIES_RAW)
+        return sorted((r.story_id, r.title, r.score, r.descendants) for r in sinks.current_state(log).collect())
+
+    for seq, rows in enumerate(batches):
+        sinks.append_changes(stories(spark, *rows), path, seq)
+        before = state()
+        for _ in range(2):
+            sinks.fold(spark, path, schemas.STORIES_RAW)
+            assert state() == before and sinks.folded_upto(spark, path) == seq
+    # the last batch once more, as after a failure: it is in the base already
+    sinks.append_changes(stories(spark, *batches[-1]), path, 2)
+    assert state() == before == [(1, "first", 30, 1), (2, "only", 1, 1), (3, "new", 7, 7)]
+    changes = sinks.read_changes(spark, path, schemas.STORIES_RAW)
+    plan = changes._jdf.queryExecution().executedPlan().toString()
+    assert changes.count() == 3 and re.search(r"PartitionFilters: \[isnotnull\(seq#\d+L\), \(seq#\d+L > 2\)\]", plan)
+
+
+def test_a_base_without_its_pointer_is_not_read(spark):
+    path = fresh_path(spark, "t")
+    sinks.append_changes(stories(spark, (1, "a", 1, 1, 0)), path, 0)
+    stories(spark, (1, "half", 9, 9, 9)).write.parquet(f"{path}-base/upto=0")
+    assert [r.title for r in sinks.current_state(sinks.read_changes(spark, path, schemas.STORIES_RAW)).collect()] == ["a"]
+
+
+def test_no_wide_row_is_sorted_for_the_state(spark):
+    path = fresh_path(spark, "t")
+    sinks.append_changes(stories(spark, (1, "a", 1, 1, 0)), path, 0)
+    plan = sinks.current_state(sinks.read_changes(spark, path, schemas.STORIES_RAW))._jdf.queryExecution().executedPlan()
+    text = plan.toString()
+    assert text.count("ShuffledHashJoin") == 2 and "SortMergeJoin" not in text
+    # only the narrow scan, the last one, stands below a sort
+    first, last = text.index("Sort ["), text.rindex("FileScan")
+    assert text.count("FileScan") == 3 and text[first:].count("FileScan") == 1
+    assert "raw_json" not in text[last:].split("\n")[0] and "title" not in text[last:].split("\n")[0]
+
+
+def test_equal_rows_of_a_batch_are_one(spark):
+    path = fresh_path(spark, "t")
+    sinks.append_changes(stories(spark, *[(1, "a", 1, 1, 0)] * 5), path, 0)
+    assert sinks.current_state(sinks.read_changes(spark, path, schemas.STORIES_RAW)).count() == 1
+
+
 def test_upsert_statistics(spark):
     row = sinks.upsert_statistics(stories(spark, (1, "a", 1, 1, 0), (1, "a", 1, 1, 1), (2, "b", 1, 1, 0)),
                                   stories(spark, (1, "a", 1, 1, 0))).first()
@@ -180,7 +279,7 @@ def test_random_batches_against_a_plain_loop(spark):
             state[key + 1] = (title, clock, comments)
         rng.shuffle(batch)
         rng.shuffle(items)
-        sinks.insert_if_absent(events(spark, *batch), events_path, schemas.EVENTS_RAW)
+        KeyedTable(spark, events_path).insert(events(spark, *batch))
         sinks.append_changes(stories(spark, *items), stories_path, number)
     assert stored(spark, events_path) == sorted(kept.items())
     rows = sinks.current_state(sinks.read_changes(spark, stories_path, schemas.STORIES_RAW)).collect()

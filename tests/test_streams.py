@@ -7,6 +7,7 @@ import pytest
 from devsignals import schemas
 from devsignals.session import fresh_path
 from devsignals.sources import sinks
+from devsignals.sources.keyed import read_loads
 from devsignals.streaming import events as event_streams
 from devsignals.streaming import stories as story_streams
 
@@ -84,3 +85,36 @@ def test_event_time_needs_utc(spark):
             event_streams.with_event_time(spark.createDataFrame([(T0,)], "fetched_at timestamp_ntz"))
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_late_rows_are_kept_apart(spark):
+    root = fresh_path(spark, "s")
+    for rows in ([("1", 0), ("2", 10)], [("3", 3), ("4", 7), ("5", 20)], [("6", 13)]):
+        land_events(spark, root, *rows)
+        stream = event_streams.read_event_stream(spark, f"{root}/landing")
+        event_streams.split_late(stream, root, f"{root}/cp", dt.timedelta(hours=6)).awaitTermination()
+    ids = lambda late: sorted(r.event_id for r in event_streams.read_split(spark, root, late).collect())
+    assert ids(False) == ["1", "2", "4", "5"] and ids(True) == ["3", "6"]
+
+
+def test_a_backlog_is_taken_in_steps(spark):
+    root = fresh_path(spark, "s")
+    for k in range(4):
+        land_events(spark, root, (str(k), k), ("0", k))
+    stream = event_streams.read_event_stream(spark, f"{root}/landing", max_files=1)
+    query = event_streams.store_first(stream, f"{root}/table", f"{root}/cp")
+    query.awaitTermination()
+    loads = read_loads(spark, f"{root}/table").where("repo_name is null").orderBy("load").collect()
+    assert [r.received for r in loads] == [2, 2, 2, 2] and sum(r.inserted for r in loads) == 4
+
+
+def test_a_stream_folds_its_log(spark):
+    root = fresh_path(spark, "s")
+    for k in range(3):
+        rows = [(1, f"t{k}", "a", None, k, 0, k, "story", "{}", T0 + dt.timedelta(hours=k))]
+        spark.createDataFrame(rows, schemas.STORIES_RAW).write.mode("append").parquet(f"{root}/landing")
+        stream = story_streams.read_story_stream(spark, f"{root}/landing")
+        story_streams.upsert(stream, f"{root}/log", f"{root}/cp", fold_every=2).awaitTermination()
+    assert sinks.folded_upto(spark, f"{root}/log") == 1
+    (row,) = sinks.current_state(sinks.read_changes(spark, f"{root}/log", schemas.STORIES_RAW)).collect()
+    assert (row.title, row.score) == ("t0", 2)
