@@ -63,9 +63,6 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     # datasets
     for name in VIEWS + CODE_GOLD + STORY_GOLD:
         q[name] = _on(name, lambda df: df)
-    # the serialized story document is compared field by field
-    q[items] = _on(items, lambda df: df.withColumn("raw_json", F.get_json_object("raw_json", "$.score"))
-                   .withColumnRenamed("raw_json", "raw_score"))
     q["fact_with_dimension_keys"] = _on_catalog(lambda c: activity.look_up_key(
         activity.look_up_key(c[user_fct], c[user_dim], "username", "contrib_id"), c[repo_dim], "repo_name", "repo_id")
         .select("username", "repo_name", "activity_date", "contrib_id", "repo_id"))
@@ -185,6 +182,8 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["dq_no_negative_commit_count_found"] = _on(
         pushes, lambda df: quality.no_negative_commit_count(df.withColumn("commit_count", F.col("commit_count") - 3)))
     q["dq_push_model_integrity_found"] = _on(events, lambda df: quality.push_model_integrity(df, df))
+    for kind in ("unique", "accepted_values", "relationships"):
+        q[f"dq_{kind}_found"] = _on_catalog(lambda c, k=kind: ingest_runs.checks_on_defects(c, k))
     q["dq_source_freshness"] = _on_catalog(lambda c: quality.source_freshness(
         {"github_events_raw": c[events], "hn_stories_raw": c[items]}, AS_OF))
 
@@ -217,6 +216,8 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["repository_history"] = _on_catalog(lambda c: ingest_runs.repository_history(c, MID_MONTH, AS_OF))
     q["repository_history_stored"] = _on_catalog(lambda c: ingest_runs.repository_history(c, MID_MONTH, AS_OF, stored=True))
     q["published_repository_facts"] = _on_catalog(ingest_runs.published_facts)
+    q["quarantined_events"] = _on_catalog(lambda c: ingest_runs.quarantined(c, "quarantined_events", "event_id"))
+    q["quarantined_stories"] = _on_catalog(lambda c: ingest_runs.quarantined(c, "quarantined_stories", "story_id"))
     q["publish_refused"] = _on_catalog(ingest_runs.publish_refused)
     q["namespace_tables"] = _on_catalog(ingest_runs.namespaces)
     q["published_report"] = _on_catalog(ingest_runs.report_of_published)

@@ -54,16 +54,25 @@ def _stack(frames: Sequence[DataFrame]) -> DataFrame:
 Numbered = Sequence[tuple[int, Check]]
 
 
+def _broken(check: Check) -> Column:
+    column = F.col(f"{check.table}.{check.columns[0]}")
+    broken = ~column.isin(*check.values) if check.kind == "accepted_values" else column.isNull()
+    return F.col(f"is_{check.table}") & broken
+
+
+def row_faults(source: Source, checks: Sequence[Check], rules: Sequence[tuple[str, Column]] = ()) -> DataFrame:
+    """The source's first table with `faults`, the names of the checks and rules that each row breaks by itself."""
+    named = [(f"{c.table}.{c.label}: {c.kind}", _broken(c)) for c in checks] + list(rules)
+    faults = F.filter(F.array(*[F.when(broken, F.lit(name)) for name, broken in named]), lambda x: x.isNotNull())
+    return source.frame.select(F.col(f"{source.tables[0]}.*"), faults.alias("faults"))
+
+
 def column_faults(source: Source, checks: Numbered) -> DataFrame:
     """check, n: faults of single columns, not_null and accepted_values, in one pass over the source. Accepted
     values count the distinct values outside the list; NULL is not a value."""
     def fault(number: int, check: Check) -> Column:
-        column, value = F.col(f"{check.table}.{check.columns[0]}"), F.lit(None)
-        broken = column.isNull()
-        if check.kind == "accepted_values":
-            broken, value = ~column.isin(*check.values), column
-        return F.when(F.col(f"is_{check.table}") & broken,
-                      F.struct(F.lit(number).alias("check"), value.cast("string").alias("value")))
+        value = F.col(f"{check.table}.{check.columns[0]}") if check.kind == "accepted_values" else F.lit(None)
+        return F.when(_broken(check), F.struct(F.lit(number).alias("check"), value.cast("string").alias("value")))
 
     faults = F.filter(F.array(*[fault(*c) for c in checks]), lambda x: x.isNotNull())
     counted = source.frame.select(F.inline(faults)).groupBy("check", "value").agg(F.count(F.lit(1)).alias("copies"))

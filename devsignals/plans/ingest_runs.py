@@ -13,7 +13,8 @@ from devsignals.operators import activity, history
 from devsignals.plans import publish
 from devsignals.plans.catalog import CODE_GOLD, Catalog, repository_metadata
 from devsignals.operators.quality import QualityError
-from devsignals.plans.checks import gold_checks
+from devsignals.operators.quality import run as run_checks
+from devsignals.plans.checks import CheckedTables, gold_checks, of_kind
 from devsignals.plans.checks import report as declared_report
 from devsignals.session import fresh_path, written
 from devsignals.sources import landing, sinks, star_tables
@@ -242,14 +243,61 @@ def refresh_run(catalog: Catalog, since: dt.date, name: str = "fct_github_daily_
     return Catalog.open(catalog.spark, root, catalog.as_of)[name].select(*columns)
 
 
-def published_facts(catalog: Catalog) -> DataFrame:
-    """Repository facts as readers see them after build, checks and publication of the
-    tables on code activity."""
+def _with_defects(catalog: Catalog) -> Catalog:
+    """The catalog over raw rows some of which have lost their document, name an unknown repository or lie in the future;
+    some stories have lost title or time."""
+    n, story = F.col("event_id").cast("long"), F.col("story_id")
+    events = catalog.raw_events.withColumns({
+        "repo_name": F.when(n % 50 == 3, "other/repo").otherwise(F.col("repo_name")),
+        "raw_payload": F.when(n % 53 != 5, F.col("raw_payload")),
+        "fetched_at": F.col("fetched_at") + F.make_dt_interval(days=F.when(n % 59 == 7, 400).otherwise(0))})
+    stories = catalog.raw_stories.withColumns({
+        "title": F.when(story % 40 != 2, F.col("title")), "time": F.when(story % 41 != 3, F.col("time"))})
+    return replace(catalog, raw_events=events, raw_stories=stories, root=None, _frames={})
+
+
+def _published_beside_quarantine(catalog: Catalog) -> tuple[Catalog, str]:
+    """All tables through the full gate, from raw rows with defects."""
     root = fresh_path(catalog.spark, "published")
-    own_checks = [c for c in gold_checks() if c.table in CODE_GOLD]
-    publish.build_and_publish(replace(catalog, root=None, _frames={}), root, catalog.as_of, own_checks, CODE_GOLD)
-    facts = publish.published_table(catalog.spark, root, "fct_github_daily_activity")
-    return facts.select(*catalog["fct_github_daily_activity"].columns)
+    publish.build_and_publish(_with_defects(catalog), root, catalog.as_of, quarantine=True)
+    return publish.open_published(catalog.spark, root, catalog.as_of), root
+
+
+def published_facts(catalog: Catalog) -> DataFrame:
+    """Repository facts as readers see them after quarantine, build, the full gate and publication."""
+    name = "fct_github_daily_activity"
+    return _published_beside_quarantine(catalog)[0][name].select(*catalog[name].columns)
+
+
+def quarantined(catalog: Catalog, name: str, key: str) -> DataFrame:
+    """What the same publication has set aside, and why."""
+    root = _published_beside_quarantine(catalog)[1]
+    return publish.published_table(catalog.spark, root, name).select(key, F.array_join("faults", "; ").alias("faults"))
+
+
+# --- declared checks on planted defects ----------------------------------------
+
+def checks_on_defects(catalog: Catalog, kind: str) -> DataFrame:
+    """The report of one kind of check where there is something to find: rows stored twice, values outside the lists,
+    dimensions that lack rows."""
+    if kind == "unique":
+        again = replace(catalog, root=None, _frames={},
+                        raw_events=catalog.raw_events.unionByName(catalog.raw_events.filter(F.col("event_id").cast("long") % 50 == 1)),
+                        raw_stories=catalog.raw_stories.unionByName(catalog.raw_stories.filter(F.col("story_id") % 40 == 2)))
+        tables = CheckedTables(again)
+        tables["dim_repository"] = again["dim_repository"].unionByName(again["dim_repository"].filter(F.col("repo_name") == params.SAMPLE_REPOSITORY))
+    elif kind == "accepted_values":
+        odd = replace(catalog, root=None, _frames={}, raw_events=catalog.raw_events.withColumns({
+            "repo_name": F.when(F.col("event_id").cast("long") % 40 == 3, "other/repo").otherwise(F.col("repo_name")),
+            "raw_payload": F.replace("raw_payload", F.lit('"action":"labeled"'), F.lit('"action":"pinned"'))}))
+        tables = CheckedTables(odd)
+        tables["dim_contributor"] = odd["dim_contributor"].withColumn(
+            "contrib_type", F.when(F.col("username").like("user_1%"), "robot").otherwise(F.col("contrib_type")))
+    else:
+        tables = CheckedTables(catalog)
+        tables["dim_contributor"] = catalog["dim_contributor"].filter(~F.col("username").like("user_1%"))
+        tables["dim_repository"] = catalog["dim_repository"].filter(F.col("repo_name") != params.SAMPLE_REPOSITORY)
+    return run_checks(tables, of_kind(kind))
 
 
 def publish_refused(catalog: Catalog) -> DataFrame:

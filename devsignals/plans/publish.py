@@ -7,11 +7,13 @@ import datetime as dt
 import time
 import uuid
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from devsignals import params
-from devsignals.operators import activity, quality
+from devsignals.functions import times
+from devsignals.operators import activity, quality, stories
 from devsignals.plans import checks as declared_checks
 from devsignals.plans.catalog import GOLD, LAYOUTS, Catalog, repository_metadata
 from devsignals.session import written
@@ -24,19 +26,48 @@ _VERSIONS = T.StructType([
 ])
 
 
-def build_and_publish(catalog: Catalog, root: str, published_at: dt.datetime,
-                      checks: Sequence[quality.Check] | None = None, names: Sequence[str] = GOLD) -> str:
+QUARANTINE = {"github_events_raw": "quarantined_events", "hn_stories_raw": "quarantined_stories"}
+
+
+def set_aside(catalog: Catalog, root: str, now: dt.datetime) -> Catalog:
+    """Route raw rows that break a row-level rule of severity error to tables of their own in `root`, each with the names of the
+    rules it breaks. Returns the catalog over all other rows.
+
+    Rules are the declared ones of bronze and silver columns, and for pushes and pull requests the gold tables' list of
+    repositories and that nothing lies behind `now`. The filter on good rows is part of each read of the raw table; only the
+    others are written. Keys that occur twice are left to the gate: ingestion does not store them.
+    """
+    active = F.col("is_int_push_events") | F.col("is_int_pull_requests")
+    row = activity.FROM_EVENTS[0]
+    rules = [("repo_name: accepted_values", active & ~F.col(f"{row}.repo_name").isin(*params.REPOSITORY_NAMES)),
+             ("fetched_at: no_future_timestamps", active & (F.col(f"{row}.fetched_at") > times.moment(now)))]
+    good = {}
+    for source in declared_checks.shared_sources(catalog, {row, stories.FROM_STORIES[0]}):
+        own = rules if source.tables == activity.FROM_EVENTS else []
+        marked = quality.row_faults(source, declared_checks.row_rules(source.tables), own)
+        name = QUARANTINE[source.tables[0]]
+        sinks.write_table(marked.filter(F.size("faults") > 0), f"{root}/{name}")
+        good[name] = marked.filter(F.size("faults") == 0).drop("faults")
+    return replace(catalog, raw_events=good["quarantined_events"], raw_stories=good["quarantined_stories"], root=None, _frames={})
+
+
+def build_and_publish(catalog: Catalog, root: str, published_at: dt.datetime, checks: Sequence[quality.Check] | None = None,
+                      names: Sequence[str] = GOLD, quarantine: bool = False) -> str:
     """Write a new version of all tables, check it, and only then announce it.
 
     Without `checks` the gate is the full suite: all declared checks of bronze, silver and gold tables, and the three
-    business rules.
+    business rules. With `quarantine`, raw rows that break a row-level rule are set aside first, beside the version's tables,
+    so that single bad rows do not hold up the others.
 
     The announcement is one appended row, so it is there as a whole or not at all; a
     version that failed stays unannounced, and readers keep the last good one.
     """
     spark = catalog.spark
     version = uuid.uuid4().hex
-    catalog.root = f"{root}/versions/{version}"
+    folder = f"{root}/versions/{version}"
+    if quarantine:
+        catalog = set_aside(catalog, folder, published_at)
+    catalog.root = folder
     catalog.build(names)
     quality.enforce(declared_checks.report(catalog, list(checks) if checks else None))
     if not checks:
@@ -74,13 +105,13 @@ def refresh_recent_days(stg_events: DataFrame, root: str, since: dt.date, as_of:
     recent = stg_events.filter(F.col("fetched_at") >= F.lit(since).cast("timestamp_ntz"))
     base = written(activity.activity_base(recent), "recent-activity")
 
-    def replace(name: str, df: DataFrame, dynamic: bool = False) -> None:
+    def put(name: str, df: DataFrame, dynamic: bool = False) -> None:
         layout = LAYOUTS[name]
         sinks.write_table(df, f"{root}/{name}", layout.partition_by, layout.sort_by, dynamic)
 
-    replace("fct_github_daily_activity", activity.repository_facts(base, as_of), dynamic=True)
-    replace("fct_contributor_daily_activity", activity.contributor_facts(base, as_of), dynamic=True)
+    put("fct_github_daily_activity", activity.repository_facts(base, as_of), dynamic=True)
+    put("fct_contributor_daily_activity", activity.contributor_facts(base, as_of), dynamic=True)
     facts = Catalog.open(spark, root, as_of)
-    replace("dim_repository", activity.repository_dimension(
+    put("dim_repository", activity.repository_dimension(
         facts["fct_github_daily_activity"], repository_metadata(spark, repositories), as_of))
-    replace("dim_contributor", activity.contributor_dimension(facts["fct_contributor_daily_activity"], as_of))
+    put("dim_contributor", activity.contributor_dimension(facts["fct_contributor_daily_activity"], as_of))

@@ -31,14 +31,13 @@ def mean_of_percents(column: str) -> str:
     return f"({ratio(f'sum({whole})', f'count({column})', 0)} / 100.0)"
 
 
-BOUNDARY = (r"""(?:^|[\s\-\.,;:!?\(/"'])""", r"""(?:$|[\s\-\.,;:!?\)/"'])""")
+# --- fixed values: repository, and what names it in a lower-cased title ---
 PATTERNS = {
-    "facebook/react": r"(?:react(?:\.?js)?)",
-    "microsoft/vscode": r"(?:vscode|vs\s*code|visual\s+studio\s+code)",
-    "vercel/next.js": r"(?:next[\.\s]?js)",
+    "facebook/react": r"""(?:^|[\s\-\.,;:!?\(/"'])(?:react(?:\.?js)?)(?:$|[\s\-\.,;:!?\)/"'])""",
+    "microsoft/vscode": r"""(?:^|[\s\-\.,;:!?\(/"'])(?:vscode|vs\s*code|visual\s+studio\s+code)(?:$|[\s\-\.,;:!?\)/"'])""",
+    "vercel/next.js": r"""(?:^|[\s\-\.,;:!?\(/"'])(?:next[\.\s]?js)(?:$|[\s\-\.,;:!?\)/"'])""",
 }
-_pattern_rows = ", ".join(
-    "('%s', '%s')" % (repo, (BOUNDARY[0] + p + BOUNDARY[1]).replace("'", "''")) for repo, p in PATTERNS.items())
+_pattern_rows = ", ".join("('%s', '%s')" % (repo, p.replace("'", "''")) for repo, p in PATTERNS.items())
 
 VALID = "coalesce(story_id, 0) <> 0 AND coalesce(title, '') <> ''"
 
@@ -172,11 +171,13 @@ DATASETS = {
                CAST(n_chars % 500 AS INTEGER) AS score, 1704067200 + (doc_id * 2592) % 2592000 AS time,
                CASE WHEN doc_id % 11 <> 0 THEN CAST(n_chars % 37 AS INTEGER) END AS descendants,
                CASE WHEN doc_id % 20 = 19 THEN 'job' ELSE 'story' END AS type, TIMESTAMP '2024-02-01' AS fetched_at,
-               CAST(json_object('id', doc_id) AS VARCHAR) AS raw_json
+               '{' || concat_ws(',', '"id":' || story_id, '"title":' || CAST(to_json(title) AS VARCHAR), '"by":' || CAST(to_json(author) AS VARCHAR),
+                   '"url":' || CAST(to_json(url) AS VARCHAR), '"score":' || score, '"time":' || time, '"descendants":' || descendants,
+                   '"type":' || CAST(to_json(type) AS VARCHAR)) || '}' AS raw_json
         FROM documents LEFT JOIN pages ON doc_id = page_id""",
     "stg_hn_stories": """
         SELECT story_id, title, author, url, score, coalesce(descendants, 0) AS comment_count, type AS story_type,
-               TIMESTAMP '1970-01-01' + to_seconds(time) AS published_at, fetched_at, CAST(score AS VARCHAR) AS raw_score
+               TIMESTAMP '1970-01-01' + to_seconds(time) AS published_at, fetched_at, raw_json
         FROM raw_stories""",
     "int_hn_stories": """
         SELECT story_id, title, author, url, score, comment_count, story_type, published_at, fetched_at,
@@ -240,18 +241,19 @@ DATASETS = {
 }
 
 
-def with_datasets(body: str) -> str:
-    """Prefix a statement with the definitions it uses, in order."""
+def with_datasets(body: str, changed: dict[str, str] | None = None) -> str:
+    """Prefix a statement with the definitions it uses, in order. `changed` replaces some: `{}` stands for the usual one."""
+    datasets = DATASETS | {name: sql.replace("{}", f"({DATASETS[name]})") for name, sql in (changed or {}).items()}
     needed: dict[str, None] = {}
 
     def visit(sql: str) -> None:
         for word in re.findall(r"[a-z_0-9]+", re.sub(r"'[^']*'", "", sql)):
-            if word in DATASETS and word not in needed:
-                visit(DATASETS[word])
+            if word in datasets and word not in needed:
+                visit(datasets[word])
                 needed[word] = None
 
     visit(body)
     if not needed:
         return body
-    parts = ",\n".join(f"{name} AS ({DATASETS[name].strip()})" for name in needed)
+    parts = ",\n".join(f"{name} AS ({datasets[name].strip()})" for name in needed)
     return f"WITH {parts}\n{body.strip()}"

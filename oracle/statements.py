@@ -329,7 +329,6 @@ def _ingestion() -> dict[str, str]:
     q["namespace_tables"] = """SELECT 'full' AS namespace, repo_name, stars FROM dim_repository
         UNION ALL SELECT 'one', repo_name, CASE WHEN repo_name = 'facebook/react' THEN stars ELSE 0 END FROM dim_repository"""
     q["published_report"] = "SELECT repo_name, total_commits, total_pr_events FROM dim_repository"
-    q["published_repository_facts"] = "SELECT * FROM fct_github_daily_activity"
     q["incremental_fact_refresh"] = "SELECT * FROM fct_github_daily_activity"
     snapshot = """SELECT repo_name, {r} AS total_pushes, {c} AS total_commits, {p} AS total_pr_events
         FROM fct_github_daily_activity WHERE activity_date < DATE '{d}' GROUP BY repo_name"""
@@ -355,6 +354,37 @@ def _ingestion() -> dict[str, str]:
     return q
 
 
+def _quarantine() -> dict[str, str]:
+    """Rows with defects: an unknown repository, no document, a day far ahead; stories without title or time."""
+    active = "event_type IN ('PushEvent', 'PullRequestEvent')"
+    request = "event_type = 'PullRequestEvent'"
+    faults = {
+        "github_events_raw.raw_payload: not_null": "n % 53 = 5",
+        "int_pull_requests.pr_action: not_null": f"{request} AND (action IS NULL OR n % 53 = 5)",
+        "int_pull_requests.pull_request_id: not_null": f"{request} AND n % 53 = 5",
+        "repo_name: accepted_values": f"{active} AND n % 50 = 3",
+        "fetched_at: no_future_timestamps": f"{active} AND n % 59 = 7",
+    }
+    missing = {
+        "hn_stories_raw.title: not_null": "story_id % 40 = 2",
+        "hn_stories_raw.time: not_null": "story_id % 41 = 3",
+        "int_hn_stories.activity_date: not_null": "story_id % 41 = 3 AND type = 'story' AND story_id % 40 <> 2",
+        "int_hn_stories.published_at: not_null": "story_id % 41 = 3 AND type = 'story' AND story_id % 40 <> 2",
+    }
+
+    def listed(rules: dict[str, str]) -> str:
+        return "concat_ws('; ', " + ", ".join(f"CASE WHEN {rule} THEN '{name}' END" for name, rule in rules.items()) + ")"
+
+    return {
+        "quarantined_events": with_datasets(f"SELECT * FROM (SELECT event_id, {listed(faults)} AS faults FROM typed_events) WHERE faults <> ''"),
+        "quarantined_stories": with_datasets(f"SELECT * FROM (SELECT story_id, {listed(missing)} AS faults FROM raw_stories) WHERE faults <> ''"),
+        "published_repository_facts": with_datasets(
+            "SELECT * FROM fct_github_daily_activity", {"typed_events": f"SELECT * FROM {{}} WHERE {listed(faults)} = ''"}),
+    }
+
+
 def statements() -> dict[str, str]:
+    from oracle import declared
+
     every = {**_reports(), **_checks(), **_ingestion()}
-    return {name: with_datasets(sql) for name, sql in every.items()}
+    return {name: with_datasets(sql) for name, sql in every.items()} | _quarantine() | declared.planted_statements()

@@ -126,3 +126,51 @@ def test_open_catalog_reads_and_outlives_a_rebuild(spark, data):
     assert sorted(opened[0]["dim_hn_story"].inputFiles()) == files and opened[0]["dim_hn_story"].count() > 0
     with pytest.raises(ValueError):
         opened[0].build()
+
+
+def test_quarantine_lets_the_full_gate_pass(spark, data):
+    root = fresh_path(spark, "quarantine")
+    catalog = small_catalog(spark, data)
+    version = publish.build_and_publish(catalog, root, params.AS_OF, quarantine=True)
+    assert publish.published_version(spark, root) == version
+    bad = publish.published_table(spark, root, "quarantined_events")
+    assert {tuple(r.faults) for r in bad.collect()} == {("int_pull_requests.pr_action: not_null",)}
+    assert publish.published_table(spark, root, "quarantined_stories").count() == 0
+    kept = publish.set_aside(catalog, f"{root}/again", params.AS_OF)
+    assert kept.raw_events.count() + bad.count() == catalog.raw_events.count()
+    assert kept.raw_events.columns == catalog["stg_github_events"].columns
+    assert kept.raw_stories.columns == catalog.raw_stories.columns and kept.raw_stories.count() == catalog.raw_stories.count()
+
+
+def test_quarantine_names_every_rule_a_row_breaks(spark, data):
+    rows = [("1", "facebook/react", params.PULL_REQUEST, dt.datetime(2024, 1, 1), None),
+            ("2", "x/y", params.PUSH, dt.datetime(2030, 1, 1), '{"payload":{}}'),
+            (None, None, None, None, None), ("4", "x/y", "IssuesEvent", dt.datetime(2030, 1, 1), "{}"),
+            ("5", "facebook/react", params.PUSH, dt.datetime(2024, 1, 1), '{"payload":{"commits":"no list"}}')]
+    root = fresh_path(spark, "quarantine")
+    catalog = small_catalog(spark, data)
+    catalog.raw_events = spark.createDataFrame(rows, "event_id string, repo_name string, event_type string, fetched_at timestamp_ntz, raw_payload string")
+    kept = publish.set_aside(catalog, root, params.AS_OF)
+    assert sorted(r.event_id for r in kept.raw_events.collect()) == ["4", "5"]
+    faults = {r.event_id: r.faults for r in spark.read.parquet(f"{root}/quarantined_events").collect()}
+    assert faults == {
+        "1": ["github_events_raw.raw_payload: not_null", "int_pull_requests.pr_action: not_null", "int_pull_requests.pull_request_id: not_null"],
+        "2": ["repo_name: accepted_values", "fetched_at: no_future_timestamps"],
+        None: [f"github_events_raw.{c}: not_null" for c in ("event_id", "repo_name", "event_type", "fetched_at", "raw_payload")]}
+
+
+def test_both_lists_of_checks_agree():
+    from oracle.declared import RULES
+
+    ours = {(c.table, c.kind, c.columns, c.severity, set(c.values) == set() or c.kind == "relationships" or frozenset(c.values), c.parent)
+            for c in checks.declared()}
+    theirs = {(r.table, r.kind, r.columns, r.severity, set(r.values) == set() or frozenset(r.values), r.parent) for r in RULES}
+    assert ours == theirs and len(RULES) == len(checks.declared())
+
+
+@pytest.mark.parametrize("kind", ["unique", "accepted_values", "relationships"])
+def test_planted_defects_are_found(spark, data, kind):
+    import __spark_entry__ as entry
+
+    found = entry.core_queries()[f"dq_{kind}_found"](spark, data).collect()
+    assert len([r for r in found if not r.passed]) >= 3
