@@ -95,14 +95,13 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         df, (("facebook/react", "(?:react|the|and)", None),)).select("story_id", "mentioned_repo"))
 
     # contributors
-    q["contributor_leaderboard_all"] = _on_catalog(
-        lambda c: contributors.contributor_leaderboard(c[user_dim], c[user_fct]))
-    q["contributor_leaderboard_type"] = _on_catalog(
-        lambda c: contributors.contributor_leaderboard(c[user_dim], c[user_fct], contrib_type="both"))
-    q["contributor_leaderboard_repo"] = _on_catalog(
-        lambda c: contributors.contributor_leaderboard(c[user_dim], c[user_fct], REPO))
-    q["contributor_leaderboard_repo_type"] = _on_catalog(
-        lambda c: contributors.contributor_leaderboard(c[user_dim], c[user_fct], REPO, "pr_only"))
+    ranks = "contributor_ranks"
+    q["contributor_leaderboard_all"] = _on(ranks, contributors.contributor_leaderboard)
+    q["contributor_leaderboard_type"] = _on(ranks, contributors.contributor_leaderboard, contributors.ALL, "both")
+    q["contributor_leaderboard_repo"] = _on(ranks, contributors.contributor_leaderboard, REPO)
+    q["contributor_leaderboard_repo_type"] = _on(ranks, contributors.contributor_leaderboard, REPO, "pr_only")
+    q["unique_contributors_sketched"] = _on_catalog(lambda c: contributors.unique_contributors(
+        c[user_fct], c["contributor_sketches"], START, END).select("repo_name", "contributors", "within_bound"))
     q["contrib_type_distribution"] = _on(user_dim, contributors.contrib_type_distribution)
     q["contrib_type_labels"] = _on(user_dim, contributors.contrib_type_labels)
     q["top_contributors_all"] = _on(user_fct, contributors.top_contributors)
@@ -111,7 +110,7 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["contributor_profile"] = _on(user_dim, contributors.contributor_profile, USER)
     q["contributor_timeline"] = _on(user_fct, contributors.contributor_timeline, USER, START, END)
     q["contributor_repo_participation"] = _on(user_fct, contributors.contributor_repo_participation, USER)
-    q["leaderboard_headline"] = _on_catalog(lambda c: contributors.leaderboard_headline(c[user_dim], c[user_fct]))
+    q["leaderboard_headline"] = _on(ranks, contributors.leaderboard_headline)
     q["contributor_summary"] = _on(user_fct, contributors.contributor_summary, USER, START, END)
     q["activity_matrix"] = _on(user_fct, contributors.activity_matrix, START, END)
     q["top20_by_commits"] = _on(user_dim, contributors.top_by_commits)

@@ -205,23 +205,78 @@ def look_up_key(facts: DataFrame, dimension: DataFrame, business_key: str, key:
 
 # --- dimensions -------------------------------------------------------------
 
-def _totals(facts: DataFrame, key: str, commits: str) -> DataFrame:
-    """All-time totals and activity span. The dates of pull requests count only for
-    keys without any push."""
+SUMS = ("days", "pushes", "commits", "pr_events")
+SPANS = ("push", "request")
+
+
+def totals(facts: DataFrame, keys: Sequence[str], commits: str) -> DataFrame:
+    """All-time totals per key, and the span of its pushes and of its pull requests."""
     pushed = F.when(F.col("push_count") > 0, F.col("activity_date"))
     requested = F.when(F.col("pr_event_count") > 0, F.col("activity_date"))
-    return facts.groupBy(key).agg(
+    return facts.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("days"),
         F.sum("push_count").alias("pushes"),
         F.sum(commits).alias("commits"),
         F.sum("pr_event_count").alias("pr_events"),
-        F.coalesce(F.min(pushed), F.min(requested)).alias("first_active_date"),
-        F.coalesce(F.max(pushed), F.max(requested)).alias("last_active_date"),
+        F.min(pushed).alias("first_push"), F.max(pushed).alias("last_push"),
+        F.min(requested).alias("first_request"), F.max(requested).alias("last_request"),
     )
 
 
+def _active_dates() -> list[Column]:
+    """The dates of pull requests count only for keys without any push."""
+    return [F.coalesce("first_push", "first_request").alias("first_active_date"),
+            F.coalesce("last_push", "last_request").alias("last_active_date")]
+
+
+def replaced_days(stored: DataFrame, before: DataFrame, after: DataFrame, keys: Sequence[str], days: Sequence[dt.date]) -> DataFrame:
+    """Totals when the rows of `days` are replaced: `stored` less `before`, the totals of the replaced rows, plus `after`,
+    those of the new ones. One grouping of three small frames; the facts are not read.
+
+    A first or last date is kept if it lies outside the days, and moves with the new rows if they reach as far. Where it
+    lay within the days and the new rows fall short of it, only the other days know: `unsure` is true then.
+    """
+    columns = [f"{end}_{kind}" for kind in SPANS for end in ("first", "last")]
+    sides = (("stored", stored, 1), ("before", before, -1), ("after", after, 1))
+    rows = None
+    for name, df, sign in sides:
+        part = df.select(*keys, *[(F.col(c) * sign).alias(c) for c in SUMS], *[
+            (F.col(c) if name == side else F.lit(None).cast("date")).alias(f"{side}_{c}") for side, _, _ in sides for c in columns])
+        rows = part if rows is None else rows.unionByName(part)
+    added = rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in SUMS], *[
+        F.max(f"{side}_{c}").alias(f"{side}_{c}") for side in ("stored", "after") for c in columns])
+    dates, unsure = [], F.lit(False)
+    for c in columns:
+        old, new = F.col(f"stored_{c}"), F.col(f"after_{c}")
+        pick, reaches = (F.least, new <= old) if c.startswith("first") else (F.greatest, new >= old)
+        inside = F.coalesce(old.isin(*days), F.lit(False))
+        dates.append(F.when(inside, new).otherwise(pick(old, new)).alias(c))
+        unsure = unsure | (inside & ~F.coalesce(reaches, F.lit(False)))
+    return added.filter("days > 0").select(*keys, *SUMS, *dates, unsure.alias("unsure"))
+
+
+def sure_dates(replaced: DataFrame, other_days: DataFrame, keys: Sequence[str], commits: str) -> DataFrame:
+    """The totals of `replaced_days` with the dates of unsure keys taken from the facts of all other days as well."""
+    wanted = replaced.filter("unsure").select(*keys)
+    rest = totals(other_days.join(wanted, list(keys), "left_semi"), keys, commits).select(
+        *keys, *[F.col(f"{end}_{kind}").alias(f"rest_{end}_{kind}") for kind in SPANS for end in ("first", "last")])
+    joined = replaced.join(rest, list(keys), "left")
+    dates = [pick(f"{end}_{kind}", f"rest_{end}_{kind}").alias(f"{end}_{kind}")
+             for kind in SPANS for end, pick in (("first", F.least), ("last", F.greatest))]
+    return joined.select(*keys, *SUMS, *dates)
+
+
 def repository_dimension(facts: DataFrame, metadata: DataFrame, as_of: dt.datetime) -> DataFrame:
     """`metadata` holds repo_name, language and stars of the repositories that have them."""
-    return _totals(facts, "repo_name", "commit_count").join(metadata, "repo_name", "left").select(
+    return repository_dimension_of(totals(facts, ["repo_name"], "commit_count"), metadata, as_of)
+
+
+def contributor_dimension(facts: DataFrame, as_of: dt.datetime) -> DataFrame:
+    return contributor_dimension_of(totals(facts, ["username"], "commits_in_pushes"), as_of)
+
+
+def repository_dimension_of(summed: DataFrame, metadata: DataFrame, as_of: dt.datetime) -> DataFrame:
+    return summed.join(metadata, "repo_name", "left").select(
         text.surrogate_key(F.col("repo_name"), params.REPOSITORY_SALT).alias("repo_id"),
         "repo_name",
         F.split_part("repo_name", F.lit("/"), F.lit(1)).alias("owner"),
@@ -230,21 +285,19 @@ def repository_dimension(facts: DataFrame, metadata: DataFrame, as_of: dt.dateti
         F.col("pushes").alias("total_pushes"),
         F.col("commits").alias("total_commits"),
         F.col("pr_events").alias("total_pr_events"),
-        "first_active_date",
-        "last_active_date",
+        *_active_dates(),
         times.moment(as_of).alias("created_at"),
     )
 
 
-def contributor_dimension(facts: DataFrame, as_of: dt.datetime) -> DataFrame:
-    return _totals(facts, "username", "commits_in_pushes").select(
+def contributor_dimension_of(summed: DataFrame, as_of: dt.datetime) -> DataFrame:
+    return summed.select(
         text.surrogate_key(F.col("username"), params.CONTRIBUTOR_SALT).alias("contrib_id"),
         "username",
         F.col("pushes").alias("total_push_events"),
         F.col("commits").alias("total_commits"),
         F.col("pr_events").alias("total_pr_events"),
         text.contribution_type(F.col("commits"), F.col("pr_events")).alias("contrib_type"),
-        "first_active_date",
-        "last_active_date",
+        *_active_dates(),
         times.moment(as_of).alias("created_at"),
     )

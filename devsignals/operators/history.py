@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from devsignals.functions import times
 
@@ -21,18 +21,29 @@ def start_history(snapshot: DataFrame, key: str, attributes: Sequence[str], vali
 
 
 def read_history(spark: SparkSession, path: str, number: int, schema: T.StructType) -> DataFrame:
-    """A stored history as of its snapshot `number`."""
-    return spark.read.schema(schema).parquet(f"{path}/snapshot={number}")
+    """A stored history as of its snapshot `number`. A version ends where the next of its key begins."""
+    key, *attributes = [f for f in schema.fields if f.name not in ("valid_from", "valid_to", "is_current")]
+    versions = _versions(spark, path, [key, *attributes]).filter(F.col("seq") <= number)
+    end = F.lead("valid_from").over(Window.partitionBy(key.name).orderBy("seq"))
+    return versions.withColumn("valid_to", end).withColumn("is_current", F.col("valid_to").isNull()).select(*schema.names)
+
+
+def _versions(spark: SparkSession, path: str, fields: Sequence[T.StructField]) -> DataFrame:
+    added = [T.StructField("valid_from", T.TimestampNTZType()), T.StructField("seq", T.LongType())]
+    return spark.read.schema(T.StructType([*fields, *added])).parquet(path)
 
 
 def store_snapshot(path: str, number: int, snapshot: DataFrame, key: str, attributes: Sequence[str], seen_at: dt.datetime) -> None:
-    """Write the history after snapshot `number` (0 is the first) beside the one before it, which stays as it is
-    for its readers. Storing a number again replaces it by the same rows."""
-    history = start_history(snapshot, key, attributes, seen_at)
+    """Append what snapshot `number` (0 is the first) has changed: keys that are new or whose attributes differ from their
+    last version. What is stored stays as it is, and a snapshot without changes adds no row. Storing a number again
+    replaces it by the same rows."""
+    rows = snapshot.select(key, *attributes)
     if number:
-        before = read_history(snapshot.sparkSession, path, number - 1, history.schema)
-        history = apply_snapshot(before, snapshot, key, attributes, seen_at)
-    history.write.mode("overwrite").parquet(f"{path}/snapshot={number}")
+        before = _versions(rows.sparkSession, path, rows.schema.fields).filter(F.col("seq") < number)
+        last = before.groupBy(F.col(key).alias("_key")).agg(F.max_by(F.struct(*attributes), "seq").alias("_last"))
+        joined = rows.join(last, F.col(key).eqNullSafe(F.col("_key")), "left")
+        rows = joined.filter(~F.struct(*attributes).eqNullSafe(F.col("_last"))).select(key, *attributes)
+    rows.withColumn("valid_from", times.moment(seen_at)).write.mode("overwrite").parquet(f"{path}/seq={number}")
 
 
 def apply_snapshot(history: DataFrame, snapshot: DataFrame, key: str, attributes: Sequence[str],

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from devsignals import params
 from devsignals.functions import text
-from devsignals.operators import activity, stories
+from devsignals.operators import activity, leaderboards, sketches, stories
 from devsignals.session import fresh_path
 from devsignals.sources import sinks
 
@@ -36,6 +36,11 @@ class Layout:
 
 LAYOUTS = {
     "activity_base": Layout(),
+    "repository_totals": Layout(sort_by=("repo_name",)),
+    "contributor_totals": Layout(sort_by=("username",)),
+    "contributor_repository_totals": Layout(sort_by=("repo_name", "username")),
+    "contributor_sketches": Layout(sort_by=("activity_date", "repo_name")),
+    "contributor_ranks": Layout("scope", ("rank",)),
     "dim_repository": Layout(sort_by=("repo_name",)),
     "dim_contributor": Layout(sort_by=("username",)),
     "fct_github_daily_activity": Layout("activity_date", ("repo_name",)),
@@ -49,6 +54,8 @@ LAYOUTS = {
 CODE_GOLD = ("dim_repository", "dim_contributor", "fct_github_daily_activity", "fct_contributor_daily_activity")
 STORY_GOLD = ("dim_hn_story", "fct_hn_daily_activity", "fct_hn_repo_mentions")
 GOLD = CODE_GOLD + STORY_GOLD
+# what reports read besides; written with the contributors' tables
+SERVING = ("contributor_ranks", "contributor_sketches")
 VIEWS = ("stg_github_events", "int_push_events", "int_pull_requests", "stg_hn_stories", "int_hn_stories",
          "int_hn_repo_mentions")
 
@@ -113,6 +120,8 @@ class Catalog:
         with ThreadPoolExecutor(len(INDEPENDENT)) as pool:
             list(pool.map(self.__getitem__, first))
             list(pool.map(lambda chain: [self[name] for name in chain], chains))
+            if wanted >= {"fct_contributor_daily_activity", "dim_contributor"}:
+                list(pool.map(self.__getitem__, SERVING))
         return {name: self[name] for name in names}
 
     def register_views(self, names: Sequence[str] = VIEWS + GOLD) -> None:
@@ -126,9 +135,16 @@ BUILDERS: dict[str, Callable[[Catalog], DataFrame]] = {
     "activity_base": lambda c: activity.activity_base(c["stg_github_events"]),
     "fct_github_daily_activity": lambda c: activity.repository_facts(c["activity_base"], c.as_of),
     "fct_contributor_daily_activity": lambda c: activity.contributor_facts(c["activity_base"], c.as_of),
-    "dim_repository": lambda c: activity.repository_dimension(
-        c["fct_github_daily_activity"], repository_metadata(c.spark, c.repositories), c.as_of),
-    "dim_contributor": lambda c: activity.contributor_dimension(c["fct_contributor_daily_activity"], c.as_of),
+    "repository_totals": lambda c: activity.totals(c["fct_github_daily_activity"], ["repo_name"], "commit_count"),
+    "contributor_totals": lambda c: activity.totals(c["fct_contributor_daily_activity"], ["username"], "commits_in_pushes"),
+    "contributor_repository_totals": lambda c: activity.totals(
+        c["fct_contributor_daily_activity"], ["repo_name", "username"], "commits_in_pushes"),
+    "dim_repository": lambda c: activity.repository_dimension_of(
+        c["repository_totals"], repository_metadata(c.spark, c.repositories), c.as_of),
+    "dim_contributor": lambda c: activity.contributor_dimension_of(c["contributor_totals"], c.as_of),
+    "contributor_sketches": lambda c: sketches.daily_sketches(
+        c["fct_contributor_daily_activity"], ("repo_name", "activity_date"), "username"),
+    "contributor_ranks": lambda c: leaderboards.ranked_contributors(c["dim_contributor"], c["contributor_repository_totals"]),
     "stg_hn_stories": lambda c: stories.stg_stories(c.raw_stories),
     "int_hn_stories": lambda c: stories.silver_stories(c["stg_hn_stories"]),
     "int_hn_repo_mentions": lambda c: stories.mentions(c.silver_of_gold(), c.patterns),

@@ -8,12 +8,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from devsignals import params
 from devsignals.functions import numeric, text, times
-from devsignals.operators import reshape
-from devsignals.operators.ranking import global_row_number, top_per_group
+from devsignals.operators import reshape, sketches
+from devsignals.operators.leaderboards import ALL
+from devsignals.operators.ranking import top_per_group
 from devsignals.plans.repositories import in_range, total
 
-ALL = "All"
-
 
 def _restricted(df: DataFrame, column: str, value: str) -> DataFrame:
     """Filter unless the value is the word for no filter."""
@@ -24,30 +23,21 @@ def _most_active(column: str = "total_activity") -> list[Column]:
     return [F.desc_nulls_first(column), F.asc_nulls_last("username")]
 
 
-def _leaderboard_rows(contributors: DataFrame, facts: DataFrame, repo: str, contrib_type: str) -> DataFrame:
-    people = _restricted(contributors, "contrib_type", contrib_type)
-    if repo == ALL:
-        return people.select(
-            "username", "contrib_type",
-            (F.col("total_push_events") + F.col("total_pr_events")).alias("total_activity"),
-            "total_push_events", "total_pr_events",
-        )
-    # added up per user before the join, which then meets each user once
-    activity = facts.filter(F.col("repo_name") == repo).groupBy("username").agg(
-        F.sum("total_activity_count").alias("total_activity"),
-        F.sum("push_count").alias("total_push_events"),
-        F.sum("pr_event_count").alias("total_pr_events"),
-    )
-    return activity.join(people.select("username", "contrib_type"), "username").select(
-        "username", "contrib_type", "total_activity", "total_push_events", "total_pr_events"
-    )
+def contributor_leaderboard(ranks: DataFrame, repo: str = ALL, contrib_type: str = ALL) -> DataFrame:
+    """All contributors, of a repository or of a type, with their rank as it was given when the tables were built: one
+    folder is read, nothing is written."""
+    rank = F.col("rank" if contrib_type == ALL else "rank_in_type").alias("rank")
+    rows = _restricted(ranks.filter(F.col("scope") == repo), "contrib_type", contrib_type)
+    return rows.select(rank, "username", "contrib_type", "total_activity", "total_push_events", "total_pr_events").orderBy("rank")
 
 
-def contributor_leaderboard(contributors: DataFrame, facts: DataFrame, repo: str = ALL,
-                            contrib_type: str = ALL) -> DataFrame:
-    """All contributors with their rank; equal activity is ranked by name."""
-    rows = _leaderboard_rows(contributors, facts, repo, contrib_type)
-    return global_row_number(rows, _most_active(), "rank").orderBy("rank")
+def unique_contributors(facts: DataFrame, sketched: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
+    """Distinct contributors per repository, counted and estimated, and whether the estimate is within its bound."""
+    exact = facts.filter(in_range(start, end)).groupBy("repo_name").agg(F.countDistinct("username").alias("contributors"))
+    estimated = sketches.distinct_in_range(sketched, ["repo_name"], start, end)
+    gap = F.abs(F.col("estimate") - F.col("contributors"))
+    return exact.join(estimated, "repo_name").withColumn(
+        "within_bound", gap <= F.greatest(F.lit(1.0), F.col("contributors") * sketches.ERROR_BOUND))
 
 
 def contrib_type_distribution(contributors: DataFrame) -> DataFrame:
@@ -110,10 +100,9 @@ def contributor_repo_participation(facts: DataFrame, username: str) -> DataFrame
     )
 
 
-def leaderboard_headline(contributors: DataFrame, facts: DataFrame, repo: str = ALL,
-                         contrib_type: str = ALL) -> DataFrame:
-    """Number of contributors, the most active one, mean activity; needs no ranking."""
-    rows = _leaderboard_rows(contributors, facts, repo, contrib_type)
+def leaderboard_headline(ranks: DataFrame, repo: str = ALL, contrib_type: str = ALL) -> DataFrame:
+    """Number of contributors, the most active one, mean activity."""
+    rows = _restricted(ranks.filter(F.col("scope") == repo), "contrib_type", contrib_type)
     activity = F.col("total_activity")
     return rows.agg(
         F.count(F.lit(1)).alias("total_contributors"),

@@ -234,12 +234,19 @@ def stream_daily_counts(raw_events: DataFrame) -> DataFrame:
 
 # --- refresh and history ----------------------------------------------------
 
-def refresh_run(catalog: Catalog, since: dt.date, name: str = "fct_github_daily_activity") -> DataFrame:
-    """A table of an early build, brought up to date by recomputing the days from `since`."""
+def early_build(catalog: Catalog, since: dt.date) -> str:
+    """The tables on code activity as they were on a day: the folder of that build."""
     root = fresh_path(catalog.spark, "refreshed")
     early = catalog.raw_events.filter(F.col("fetched_at").cast("timestamp_ntz") < F.lit(since).cast("timestamp_ntz"))
-    columns = replace(catalog, raw_events=early, root=root, _frames={}).build(CODE_GOLD)[name].columns
-    publish.refresh_recent_days(catalog["stg_github_events"], root, since, catalog.as_of, catalog.repositories)
+    replace(catalog, raw_events=early, root=root, _frames={}).build(CODE_GOLD)
+    return root
+
+
+def refresh_run(catalog: Catalog, since: dt.date, name: str = "fct_github_daily_activity") -> DataFrame:
+    """A table of an early build, brought up to date by recomputing the days from `since` less a week."""
+    root = early_build(catalog, since)
+    columns = catalog[name].columns
+    publish.refresh_recent_days(catalog["stg_github_events"], root, since - dt.timedelta(days=7), catalog.as_of, catalog.repositories)
     return Catalog.open(catalog.spark, root, catalog.as_of)[name].select(*columns)
 
 

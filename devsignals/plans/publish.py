@@ -7,13 +7,14 @@ import datetime as dt
 import time
 import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from devsignals import params
 from devsignals.functions import times
-from devsignals.operators import activity, quality, stories
+from devsignals.operators import activity, leaderboards, quality, sketches, stories
 from devsignals.plans import checks as declared_checks
 from devsignals.plans.catalog import GOLD, LAYOUTS, Catalog, repository_metadata
 from devsignals.session import written
@@ -93,25 +94,58 @@ def published_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/versions/{published_version(spark, root)}/{name}")
 
 
+# facts: (totals, their keys), ..., and the name of the commit count
+TOTALS = {
+    "fct_github_daily_activity": ((("repository_totals", ["repo_name"]),), "commit_count"),
+    "fct_contributor_daily_activity": (
+        (("contributor_totals", ["username"]), ("contributor_repository_totals", ["repo_name", "username"])), "commits_in_pushes"),
+}
+
+
 def refresh_recent_days(stg_events: DataFrame, root: str, since: dt.date, as_of: dt.datetime,
                         repositories: Sequence[tuple[str, str, int]] = params.TRACKED_REPOSITORIES) -> None:
-    """Bring the tables on code activity in `root` up to date: recompute both facts from `since` on and replace just
-    these days, then rebuild both dimensions from the facts.
+    """Bring the tables on code activity in `root` up to date: recompute both facts from `since` on, replace just
+    these days, and carry the difference over into totals, dimensions, ranks and sketches.
 
-    The events are read and counted once; the date limit reaches their scan, and all other days stay untouched.
+    The events are read and counted once; the date limit reaches their scan. Of the facts only the folders of the replaced
+    days are read, unless a first or last date lay there and has gone (then those keys are looked up in the other days).
     Tables change in place: meant for a version before its publication.
     """
     spark = stg_events.sparkSession
     recent = stg_events.filter(F.col("fetched_at") >= F.lit(since).cast("timestamp_ntz"))
     base = written(activity.activity_base(recent), "recent-activity")
+    days = [r[0] for r in base.select("activity_date").distinct().collect()]     # a date each
+    if not days:
+        return
+    stored = Catalog.open(spark, root, as_of)
 
     def put(name: str, df: DataFrame, dynamic: bool = False) -> None:
         layout = LAYOUTS[name]
         sinks.write_table(df, f"{root}/{name}", layout.partition_by, layout.sort_by, dynamic)
 
-    put("fct_github_daily_activity", activity.repository_facts(base, as_of), dynamic=True)
-    put("fct_contributor_daily_activity", activity.contributor_facts(base, as_of), dynamic=True)
-    facts = Catalog.open(spark, root, as_of)
-    put("dim_repository", activity.repository_dimension(
-        facts["fct_github_daily_activity"], repository_metadata(spark, repositories), as_of))
-    put("dim_contributor", activity.contributor_dimension(facts["fct_contributor_daily_activity"], as_of))
+    fresh = {"fct_github_daily_activity": activity.repository_facts(base, as_of),
+             "fct_contributor_daily_activity": activity.contributor_facts(base, as_of)}
+
+    inside = F.col("activity_date").isin(days)
+
+    def carry_over(name: str, summed: str, keys: list[str], commits: str) -> None:
+        totals = written(activity.replaced_days(
+            stored[summed], activity.totals(stored[name].filter(inside), keys, commits), activity.totals(fresh[name], keys, commits),
+            keys, days), "replaced-days")
+        if not totals.filter("unsure").isEmpty():
+            totals = written(activity.sure_dates(totals, stored[name].filter(~inside), keys, commits), "sure-dates")
+        put(summed, totals.drop("unsure"))
+
+    # totals first: they need the days as they were
+    tasks = [(name, summed, keys, commits) for name, (kinds, commits) in TOTALS.items() for summed, keys in kinds]
+    with ThreadPoolExecutor(len(tasks)) as pool:
+        list(pool.map(lambda task: carry_over(*task), tasks))
+        list(pool.map(lambda name: put(name, fresh[name], dynamic=True), fresh))
+    now = Catalog.open(spark, root, as_of)
+    put("dim_repository", activity.repository_dimension_of(
+        now["repository_totals"], repository_metadata(spark, repositories), as_of))
+    put("dim_contributor", activity.contributor_dimension_of(now["contributor_totals"], as_of))
+    put("contributor_ranks", leaderboards.ranked_contributors(now["dim_contributor"], now["contributor_repository_totals"]))
+    other_days = stored["contributor_sketches"].filter(~inside)
+    new_days = sketches.daily_sketches(fresh["fct_contributor_daily_activity"], ("repo_name", "activity_date"), "username")
+    put("contributor_sketches", written(other_days.unionByName(new_days), "sketches"))

