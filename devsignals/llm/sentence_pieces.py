@@ -21,7 +21,7 @@ stay; `ids`, `n_tokens` and `decoded` replace input columns of these names.
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 from itertools import chain, groupby
 
 import numpy as np
@@ -52,6 +52,11 @@ class Vocabulary:
     unknown: str                   # what an unknown id decodes to
 
 
+def plain(v: Vocabulary) -> tuple:
+    """The vocabulary's parts, to be broadcast: tasks make it again and need no package on their path."""
+    return tuple(getattr(v, f.name) for f in fields(v))
+
+
 def read_vocabulary(path: str) -> Vocabulary:
     """Symbols are piece ids; a character outside the vocabulary gets a number beyond them."""
     from sentencepiece import SentencePieceProcessor
@@ -240,18 +245,19 @@ class Merger:
 
 def encode(docs: DataFrame, model_path: str, text: str = "text", and_decode: bool = False) -> DataFrame:
     """Adds `ids` (array of int) to the rows; with `and_decode` also `decoded`, the text of the ids, in the same pass."""
-    shared = docs.sparkSession.sparkContext.broadcast(read_vocabulary(model_path))
+    shared = docs.sparkSession.sparkContext.broadcast(plain(read_vocabulary(model_path)))
     added = {"ids": "array<int>"} | ({"decoded": "string"} if and_decode else {})
 
     def run(batches):
-        merger, pieces = Merger(shared.value), piece_table(shared.value)
+        vocabulary = Vocabulary(*shared.value)
+        merger, pieces = Merger(vocabulary), piece_table(vocabulary)
         for batch in batches:
             for part, raw in text_slices(batch, text):
                 ids, starts = merger.encode([x.decode("utf-8", "replace") for x in raw])
                 out = [part.column(i) for i in range(part.num_columns)]
                 out.append(pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids, pa.int32())))
                 if and_decode:
-                    out.append(pa.array(decode_flat(shared.value, ids, starts, pieces), pa.string()))
+                    out.append(pa.array(decode_flat(vocabulary, ids, starts, pieces), pa.string()))
                 yield pa.RecordBatch.from_arrays(out, names=part.schema.names + list(added))
 
     rows = docs.drop(*added)
@@ -307,10 +313,10 @@ def piece_table(v: Vocabulary) -> list[bytes]:
 
 def decode(rows: DataFrame, model_path: str) -> DataFrame:
     """Adds `decoded`, the text of the column `ids`; null ids decode to the empty text."""
-    shared = rows.sparkSession.sparkContext.broadcast(read_vocabulary(model_path))
+    shared = rows.sparkSession.sparkContext.broadcast(plain(read_vocabulary(model_path)))
 
     def run(batches):
-        v = shared.value
+        v = Vocabulary(*shared.value)
         pieces = piece_table(v)
         for batch in batches:
             lengths = pc.fill_null(pc.list_value_length(batch.column(batch.schema.get_field_index("ids"))), 0)
