@@ -5,13 +5,13 @@ measures again. Forward-backward gives each line's probability of being good; th
 document's score is their mean weighted by the lines' lengths.
 
 Training: every line of a labelled document carries the document's label. The fit takes
-the `max_train_docs` labelled training documents with the smallest hash of their id, texts of
-up to `max_train_bytes` (documented bounds of the sample; what reaches the driver is their
+the `max_train_docs` labelled training documents with the smallest hash of their id, one text each, of
+up to `max_train_bytes` and `max_train_lines` (documented bounds of the sample; what reaches the driver is their
 line features). Scoring covers all texts, whole.
 
 Defined cases: a null or empty text has one empty line and gets that line's probability.
 Without training rows every score is 0.5. Labels other than 0 and 1 teach nothing; of
-several labels of one id the largest holds. Repeated rows are scored alike. Extra columns stay;
+several labels of one id the largest holds. Repeated rows are scored alike; one row of an id is fitted on. Extra columns stay;
 `held_out`, `score` and `predicted` replace input columns of these names.
 """
 
@@ -25,6 +25,7 @@ from devsignals.llm.common import extended, fold, offsets_of, text_slices
 
 MAX_TRAIN_DOCS = 6000
 MAX_TRAIN_BYTES = 1 << 20
+MAX_TRAIN_LINES = 500
 ROUNDS = 250
 L2 = 1e-4
 # groups of bytes whose shares of a line are features
@@ -119,7 +120,8 @@ def fit(features: np.ndarray, starts: np.ndarray, labels: np.ndarray, rounds: in
 
 
 def train(docs: DataFrame, labels: DataFrame, parts: int = 3, held_out: int = 1,
-          max_train_docs: int = MAX_TRAIN_DOCS, max_train_bytes: int = MAX_TRAIN_BYTES):
+          max_train_docs: int = MAX_TRAIN_DOCS, max_train_bytes: int = MAX_TRAIN_BYTES,
+          max_train_lines: int = MAX_TRAIN_LINES):
     sample = (labels.where(F.col("quality").isin(0, 1) & (fold("doc_id", parts) != held_out))
               .groupBy("doc_id").agg(F.max("quality").cast("int").alias("quality"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train_docs))
@@ -134,9 +136,10 @@ def train(docs: DataFrame, labels: DataFrame, parts: int = 3, held_out: int = 1,
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(blobs, pa.binary())],
                                                  names=["doc_id", "quality", "x"])
 
-    # at most max_train_docs pairs of numbers are broadcast
-    rows = (docs.where(F.octet_length("text") <= max_train_bytes).join(F.broadcast(sample), "doc_id")
-            .select("doc_id", "quality", "text").mapInArrow(measure, "doc_id long, quality int, x binary")
+    # at most max_train_docs pairs of numbers are broadcast; of repeated rows of an id one is fitted on
+    short = (F.octet_length("text") <= max_train_bytes) & (F.size(F.split("text", "\n")) <= max_train_lines)
+    rows = (docs.join(F.broadcast(sample), "doc_id").where(short).groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
+            .mapInArrow(measure, "doc_id long, quality int, x binary")
             .toArrow().sort_by([("doc_id", "ascending"), ("quality", "ascending"), ("x", "ascending")]))
     if not rows.num_rows:
         return np.zeros(N_FEATURES), np.zeros((2, 2))
