@@ -30,7 +30,6 @@ from devsignals.session import written
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MAX_DOCUMENTS = 20         # a line may stand in so many distinct documents of a host, whatever the host's size
-MAX_SHARE = 0.05           # no longer releases a line; up to 400 documents a host both gave the same limit
 MIN_LEFT = 0.3             # share of a document's characters that must be left
 SPACES = "\t\n\x0b\x0c\r "
 SYMBOLS = "#*$%&|<>"

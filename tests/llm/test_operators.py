@@ -132,7 +132,7 @@ def test_line_rules_against_a_plain_version(spark, documents):
         grams = collections.Counter(tuple(words[i:i + 3]) for i in range(len(words) - 2))
         again = {i + k for i in range(len(words) - 2) if grams[tuple(words[i:i + 3])] > 1 for k in range(3)}
         lines = [x for x in (r.text or "").split("\n") if WORD.search(x)]
-        most = max(line_rules.MAX_DOCUMENTS, line_rules.MAX_SHARE * len(hosts[r.source]))
+        most = 20
         whole = sum(n for _, n in norm[r.doc_id])
         left = 1 - sum(n for k, n in norm[r.doc_id] if counts[r.source][k] > most) / whole if whole else 1.0
         failed = len(words) < 50 or 100 * len(again) > 50 * len(words)
