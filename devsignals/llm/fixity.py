@@ -27,20 +27,30 @@ FANOUT = 16
 PAGES_PER_FILE = 2000
 
 
+def wears_out():
+    return F.coalesce(F.col("page_id"), F.lit(-1)) % 101 == 7
+
+
 def warc_records(pages: DataFrame, pages_per_file: int = PAGES_PER_FILE) -> DataFrame:
-    """Pages as response records of archive files: file, offset, length, page_id, payload digest, copies.
+    """Pages as response records of archive files: file, offset, length, page_id, payload digest, copies, and `worn`, the
+    digest of the same record with one other byte.
 
     Pages are dealt to files by a hash of page_id and digest; a page that is repeated is one record, so
     none fills a file. An offset is the sum of the lengths before it in its file.
     """
     body = F.coalesce("html", F.lit(""))
-    record = F.concat(
+    head = F.concat(
         F.lit("WARC/1.1\r\nWARC-Type: "), F.when(F.col("html").isNull(), "metadata").otherwise("response"),
         F.lit("\r\nWARC-Target-URI: "), F.coalesce("url", F.lit("")),
-        F.lit("\r\nContent-Length: "), F.octet_length(body).cast("string"), F.lit("\r\n\r\n"), body, F.lit("\r\n\r\n"))
-    rows = (pages.select("page_id", record.alias("record"))
-            .select("page_id", F.sha2("record", 256).alias("digest"), F.octet_length("record").cast("long").alias("length"))
-            .groupBy("page_id", "digest", "length").agg(F.count("*").alias("copies")))
+        F.lit("\r\nContent-Length: "), F.octet_length(body).cast("string"), F.lit("\r\n\r\n"))
+    record = F.concat("head", body, F.lit("\r\n\r\n"))
+    # the first byte of the page, or of the head where the page is empty
+    bytes_, at = F.col("record").cast("binary"), F.when(F.octet_length(body) > 0, F.octet_length("head") + 1).otherwise(1)
+    worn = F.overlay(bytes_, F.when(F.substring(bytes_, at, F.lit(1)) == F.lit(b"#"), F.lit(b"%")).otherwise(F.lit(b"#")), at)
+    rows = (pages.withColumn("head", head).withColumn("record", record)
+            .select("page_id", F.sha2("record", 256).alias("digest"), F.octet_length("record").cast("long").alias("length"),
+                    F.when(wears_out(), F.sha2(worn, 256)).alias("worn"))
+            .groupBy("page_id", "digest", "length", "worn").agg(F.count("*").alias("copies")))
     rows = written(rows, "warc-pages")
     n_files = max(1, -(-rows.count() // pages_per_file))
     name = F.md5(F.concat_ws("/", F.coalesce(F.col("page_id").cast("string"), F.lit("")), "digest"))
@@ -105,11 +115,11 @@ def audit(original: DataFrame, replica: DataFrame) -> DataFrame:
 
 
 def damaged(records: DataFrame) -> DataFrame:
-    """A replica with known damage: of every 101 pages one has another byte, of every 211 one is gone, and of every
-    307 one stands there again behind the last byte that the pages can have."""
+    """A replica with known damage: of every 101 pages one has another byte, and was hashed so, of every 211 one is gone, and of
+    every 307 one stands there again behind the last byte that the pages can have."""
     page = F.coalesce(F.col("page_id"), F.lit(-1))
     rows = (records.where(page % 211 != 5)
-            .withColumn("digest", F.when(page % 101 == 7, F.sha2("digest", 256)).otherwise(F.col("digest"))))
+            .withColumn("digest", F.coalesce("worn", "digest")))
     again = records.where(page % 307 == 11).withColumn("offset", F.col("offset") + F.lit(1 << 36))
     return rows.union(again)
 
