@@ -10,8 +10,8 @@ group found, never all its pairs. Components over these links are then found by
 
 A shard's trees go to the tasks by shuffle, not by broadcast: their size grows with the data.
 Copies are one fingerprint before anything else. A shard above `SHARD_LIMIT` fingerprints is cut into
-trees of that size at most, and each of its fingerprints is searched in every later tree of the
-shard as well, so that no link is lost and no task holds the whole shard.
+trees of about that size, and every tree meets the fingerprints of each tree before it in a group of their own, where those are
+searched in it. So no link is lost, and no group holds more than the members of two trees.
 
 Defined cases: null and empty texts have fingerprint 0 and link like any other. A null doc_id counts as
 no document for naming a component: if a component has no other, its id is null. Repeated rows are
@@ -130,7 +130,7 @@ def union(labels: np.ndarray, left: np.ndarray, right: np.ndarray) -> None:
 
 def links_of(shard: np.ndarray, prints: np.ndarray, is_member: np.ndarray, radius: int = RADIUS):
     """Star links of the groups in sorted shards: pairs of row numbers. Members stand in the shard's tree
-    (first); the others are only searched in it."""
+    (first); the others are searched in it. Where there are others, the members themselves are not: another group does that."""
     order = np.lexsort((~is_member, shard))
     shard, prints, is_member = shard[order], prints[order], is_member[order]
     start = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]]))
@@ -141,7 +141,8 @@ def links_of(shard: np.ndarray, prints: np.ndarray, is_member: np.ndarray, radiu
     first_member = np.searchsorted(members, start)
     there = first_member < np.concatenate([first_member[1:], [members.size]])
     labels = np.arange(shard.size)
-    queries = np.flatnonzero(there[of])
+    guests = np.bincount(of[~is_member], minlength=start.size) > 0
+    queries = np.flatnonzero(there[of] & (~is_member | ~guests[of]))
     cost = np.cumsum(np.bincount(of[members], minlength=start.size)[of[queries]])
     while queries.size:
         stop = max(1, int(np.searchsorted(cost, FRONTIER)))
@@ -164,18 +165,18 @@ def shard_links(prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, l
     rows = prints.select("fp", F.inline(names))
     sizes = rows.groupBy("cut", "value").agg(F.count("*").alias("n")).where("n > 1")
     rows = rows.join(sizes, ["cut", "value"])
-    # a large shard: trees of its parts, and every fingerprint searched in the later parts as well
+    # a large shard: a tree for each part; part x meets tree `own` as its guest, or has it as a guest
     trees = F.ceil(F.col("n") / limit).cast("int")
-    own = F.pmod(F.xxhash64("fp"), trees).cast("int")
-    spread = (rows.withColumn("own", own)
-              .withColumn("tree", F.explode(F.sequence(F.col("own"), trees - 1)))
-              .select(F.xxhash64("cut", "value", "tree").alias("shard"), "cut", "value", "tree", "fp",
-                      (F.col("tree") == F.col("own")).alias("member")))
-    parts = spread.repartition("cut", "value", "tree").sortWithinPartitions("cut", "value", "tree")
+    spread = (rows.withColumn("own", F.pmod(F.xxhash64("fp"), trees).cast("int"))
+              .withColumn("x", F.explode(F.sequence(F.lit(0), trees - 1)))
+              .select("cut", "value", F.greatest("own", "x").alias("tree"), F.least("own", "x").alias("guest"), "fp",
+                      (F.col("own") >= F.col("x")).alias("member")))
+    keys = ["cut", "value", "tree", "guest"]
+    parts = spread.repartition(*keys).sortWithinPartitions(*keys)
 
     def run(batches):
         def flush(table):
-            key = np.column_stack([np.asarray(table.column(c)) for c in ("cut", "value", "tree")])
+            key = np.column_stack([np.asarray(table.column(c)) for c in keys])
             change = np.concatenate([[False], (key[1:] != key[:-1]).any(axis=1)])
             fp = np.asarray(table.column("fp"))
             a, b = links_of(np.cumsum(change), fp.view(np.uint64),
@@ -187,7 +188,7 @@ def shard_links(prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, l
             whole = pa.Table.from_batches([batch] if held is None else [*held.to_batches(), batch]).combine_chunks()
             if not whole.num_rows:
                 continue
-            key = [whole.column(c).to_numpy() for c in ("cut", "value", "tree")]
+            key = [whole.column(c).to_numpy() for c in keys]
             last = np.logical_and.reduce([k == k[-1] for k in key])
             cut = int(np.argmax(last))                     # the last shard may go on in the next batch
             if cut and cut >= 20_000 or (cut and whole.num_rows > 60_000):
@@ -197,7 +198,7 @@ def shard_links(prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, l
         if held is not None:
             yield flush(held)
 
-    return parts.select("cut", "value", "tree", "fp", "member").mapInArrow(run, "a long, b long")
+    return parts.select(*keys, "fp", "member").mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", carry: tuple[str, ...] = ()) -> DataFrame:
