@@ -13,7 +13,9 @@ A window with fewer than two words besides placeholders is compared in this way
 no window of bare placeholders meets all others. Tasks turn documents into windows and pass on
 those whose hash is in a bit table of the benchmark's hashes (fixed size, `BITS`, broadcast);
 the exact join, the alignment and the slot check are Spark's, the benchmark's table being
-joined without a hint.
+joined without a hint. Windows that many items share would pair every document that has one with all of these items. So documents
+are joined with an item's rarest windows first: an item of n windows, `need` of which must be there, shows itself in one of
+any n - need + 1. Only the pairs so found are joined with all windows of the item.
 
 Defined cases: null and empty texts contain nothing. Items of fewer than `MIN_ITEM_WORDS` words prove nothing
 and are skipped; items of fewer than five words are one window of their length. Equal items are each
@@ -29,7 +31,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from devsignals.llm.common import extended, offsets_of, row_key, text_slices
 from devsignals.session import written
@@ -115,7 +117,8 @@ def slots_in(tokens: Tokens, ids: np.ndarray, at: int, width: int) -> list[dict]
 
 
 def item_windows(items: DataFrame) -> DataFrame:
-    """item_id, width, n_windows, i_pos, hash, i_slots of every item's windows; one row or two (template and bare) each."""
+    """item (a number for the row's id and text), item_id, width, n_windows, i_pos, hash, i_slots of every item's windows; one
+    row or two (template and bare) each."""
     def run(batches):
         tokens = Tokens()
         for batch in batches:
@@ -127,15 +130,17 @@ def item_windows(items: DataFrame) -> DataFrame:
                     if ids.size >= MIN_ITEM_WORDS:
                         template, bare, enough = windows_of(tokens, ids, width)
                         every = [(p, bare) for p in range(bare.size)] + [(p, template) for p in np.flatnonzero(enough).tolist()]
-                        rows += [(item, width, bare.size, p, int(h[p].view(np.int64)), slots_in(tokens, ids, p, width))
+                        number = xxhash.xxh64_intdigest(raw, xxhash.xxh32_intdigest(repr(item))) - (1 << 63)
+                        rows += [(number, item, width, bare.size, p, int(h[p].view(np.int64)), slots_in(tokens, ids, p, width))
                                  for p, h in every]
-                kinds = [part.schema.field(0).type, pa.int32(), pa.int32(), pa.int32(), pa.int64(), SLOT_TYPE]
-                columns = list(zip(*rows)) or [[]] * 6
+                kinds = [pa.int64(), part.schema.field(0).type, pa.int32(), pa.int32(), pa.int32(), pa.int64(), SLOT_TYPE]
+                columns = list(zip(*rows)) or [[]] * 7
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)],
-                                                 names=["item_id", "width", "n_windows", "i_pos", "hash", "i_slots"])
+                                                 names=["item", "item_id", "width", "n_windows", "i_pos", "hash", "i_slots"])
 
     rows = items.select("item_id", "text")
-    return rows.mapInArrow(run, extended(rows.drop("text").schema, width="integer", n_windows="integer", i_pos="integer",
+    schema = T.StructType([T.StructField("item", T.LongType()), *rows.drop("text").schema.fields])
+    return rows.mapInArrow(run, extended(schema, width="integer", n_windows="integer", i_pos="integer",
                                          hash="long", i_slots=SLOTS))
 
 
@@ -190,21 +195,34 @@ def agreeing(pairs):
     return (F.size(own) == F.size(pairs)) & (F.size(other) == F.size(pairs))
 
 
+def likely_pairs(candidates: DataFrame, windows: DataFrame, threshold: float) -> DataFrame:
+    """k1, k2, item: documents with one of the item's rarest windows. How rare a window is says the documents' windows."""
+    held = candidates.groupBy("hash", "width").agg(F.count("*").alias("held"))
+    places = (windows.join(held, ["hash", "width"], "left").groupBy("item", "n_windows", "i_pos")
+              .agg(F.sum(F.coalesce("held", F.lit(0))).alias("held")))
+    rank = F.row_number().over(Window.partitionBy("item").orderBy("held", "i_pos"))
+    need = F.ceil(F.col("n_windows") * threshold - 1e-9)
+    rarest = places.withColumn("rank", rank).where(F.col("rank") <= F.col("n_windows") - need + 1).select("item", "i_pos")
+    short = windows.join(rarest, ["item", "i_pos"]).select("item", "hash", "width").distinct()
+    return candidates.select("k1", "k2", "hash", "width").join(short, ["hash", "width"]).select("k1", "k2", "item").distinct()
+
+
 def leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """k1, k2, doc_id, item_id, first_word, similarity, reparameterised of every item found in a document."""
     windows = written(item_windows(items), "benchmark-windows")
     widths = sorted(r["width"] for r in windows.select("width").distinct().collect())      # 3 to 5
     keyed = docs.select("doc_id", "text", *row_key("doc_id", "text"))
-    candidates = candidate_windows(keyed, bit_table(windows), widths)
+    candidates = written(candidate_windows(keyed, bit_table(windows), widths), "benchmark-candidates")
+    pairs = likely_pairs(candidates, windows, threshold)
     values = F.when(F.col("d_slots").isNull(), F.transform("i_slots", lambda i: F.struct(i["value"].alias("i"), i["value"].alias("d")))) \
         .otherwise(F.zip_with("i_slots", "d_slots", lambda i, d: F.struct(i["value"].alias("i"), d["value"].alias("d"))))
-    aligned = (candidates.join(windows, ["hash", "width"])
+    aligned = (candidates.join(pairs, ["k1", "k2"]).join(windows, ["item", "hash", "width"])
                .where(F.col("d_slots").isNull() |
                       (F.transform("i_slots", lambda x: x["slot"]) == F.transform("d_slots", lambda x: x["slot"])))
-               .groupBy("k1", "k2", "doc_id", "item_id", "n_windows", (F.col("d_pos") - F.col("i_pos")).alias("shift"))
+               .groupBy("k1", "k2", "doc_id", "item", "item_id", "n_windows", (F.col("d_pos") - F.col("i_pos")).alias("shift"))
                .agg(F.collect_set("i_pos").alias("found"), F.array_distinct(F.flatten(F.collect_set(values))).alias("pairs"),
                     F.min("d_pos").alias("first_word")))
-    places = aligned.groupBy("k1", "k2", "doc_id", "item_id", "n_windows").agg(
+    places = aligned.groupBy("k1", "k2", "doc_id", "item", "item_id", "n_windows").agg(
         F.max(F.when(agreeing(F.col("pairs")), F.struct(
             F.size("found").alias("n"), (-F.col("first_word")).alias("place"),
             F.exists("pairs", lambda p: p["i"] != p["d"]).alias("other")))).alias("best"),

@@ -28,7 +28,7 @@ occur. A null doc_id belongs to the fold of the empty text. Extra columns are ig
 from __future__ import annotations
 
 from collections import defaultdict
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 from itertools import count
 
 import numpy as np
@@ -121,6 +121,11 @@ class State:
         return self.mass() / (STRENGTH + self.customers)
 
 
+def plain(state: State) -> tuple:
+    """The state's parts, to be broadcast: tasks make it again and need no package on their path."""
+    return tuple(getattr(state, f.name) for f in fields(state))
+
+
 def larger(batches, rows: int = 20_000):
     """The batches joined to at least so many rows each, but for the last."""
     held, n = [], 0
@@ -345,14 +350,14 @@ def learn(words: DataFrame, sweeps: int = SWEEPS) -> list[State]:
     """The states after the first seating (a table for each dish) and after every sweep. `words`: word, contexts, n."""
     states: list[State] = []
     for _ in range(sweeps + 1):
-        shared = words.sparkSession.sparkContext.broadcast(list(states))
+        shared = words.sparkSession.sparkContext.broadcast([plain(s) for s in states])
 
         def totals_of(batches):
             sums = np.zeros(2 * CONTEXTS + 5, dtype=np.int64)
             for batch in larger(batches, SEATED_ROWS):
                 dishes = Dishes(batch)
                 for k, state in enumerate(shared.value):
-                    dishes.seat_again(state, k)
+                    dishes.seat_again(State(*state), k)
                 own = dishes.per_word()
                 sums[:CONTEXTS] += np.bincount(dishes.contexts, dishes.tables, CONTEXTS).astype(np.int64)
                 sums[CONTEXTS:2 * CONTEXTS] += np.bincount(dishes.contexts, dishes.n, CONTEXTS).astype(np.int64)
@@ -371,10 +376,10 @@ def learn(words: DataFrame, sweeps: int = SWEEPS) -> list[State]:
 def word_values(words: DataFrame, states: list[State], burn_in: int = BURN_IN) -> DataFrame:
     """Per training word: c (tokens), its contexts, its mean probability p in each (32 bits), and its probability in
     the parent after each kept sweep (64 bits)."""
-    shared = words.sparkSession.sparkContext.broadcast(states)
+    shared = words.sparkSession.sparkContext.broadcast([plain(s) for s in states])
 
     def run(batches):
-        states = shared.value
+        states = [State(*s) for s in shared.value]
         kept = len(states) - 1 - burn_in
         for batch in larger(batches, SEATED_ROWS):
             dishes, p, parents = Dishes(batch), 0.0, []

@@ -528,3 +528,49 @@ def test_licence_join_against_all_pairs(spark):
 def test_licence_plan_is_native(spark, documents):
     plan = licenses.query(documents)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|ExistingRDD|Cartesian|NestedLoop", plan)
+
+
+def test_leaks_of_items_that_share_most_windows(spark):
+    """Items of one form that differ in their last words: each is found where it stands, and only there."""
+    shared = "the same long question is asked once more in every item of this whole test "
+    ends = [f"{a} {b} {c}" for a, b, c in zip("red blue green brown white".split(), "fox dog cat cow hen".split(), "runs sits eats naps sees".split())]
+    items = spark.createDataFrame([(k, shared + e) for k, e in enumerate(ends)], "item_id long, text string")
+    docs = spark.createDataFrame([(k, "so " + shared + e + " then") for k, e in enumerate(ends)] + [(9, shared)] * 40, "doc_id long, text string")
+    before = decontamination.leaks(docs, items, 0.95)
+    assert sorted((r.doc_id, r.item_id) for r in before.collect()) == [(k, k) for k in range(5)]
+    loose = {(r.doc_id, r.item_id) for r in decontamination.query(docs, items).collect()}
+    words = [(shared + e).split() for e in ends]
+    grams = [{" ".join(w[i:i + 5]) for i in range(len(w) - 4)} for w in words]
+    texts = {k: ("so " + shared + e + " then").split() for k, e in enumerate(ends)} | {9: shared.split()}
+    want = {(d, k) for d, w in texts.items() for k, g in enumerate(grams)
+            if len(g & {" ".join(w[i:i + 5]) for i in range(len(w) - 4)}) >= 0.8 * len(g)}
+    assert loose == want
+
+
+def test_damage_changes_a_byte_of_the_record(spark):
+    pages = spark.createDataFrame([(7, "u", "a page"), (108, "u", "#page"), (209, "u", ""), (310, None, None), (8, "u", "x")],
+                                  "page_id long, url string, html string")
+    found = {r.page_id: r for r in fixity.warc_records(pages).collect()}
+    for page_id, url, html in [(7, "u", "a page"), (108, "u", "#page"), (209, "u", ""), (310, "", None)]:
+        body = (html or "").encode()
+        head = (f"WARC/1.1\r\nWARC-Type: {'metadata' if html is None else 'response'}\r\nWARC-Target-URI: {url}\r\n"
+                f"Content-Length: {len(body)}\r\n\r\n").encode()
+        record = head + body + b"\r\n\r\n"
+        at = len(head) if body else 0
+        worn = record[:at] + (b"%" if record[at:at + 1] == b"#" else b"#") + record[at + 1:]
+        assert found[page_id].digest == hashlib.sha256(record).hexdigest() and found[page_id].worn == hashlib.sha256(worn).hexdigest()
+    assert found[8].worn is None
+
+
+def test_broadcasts_need_no_package(spark, data, monkeypatch):
+    """What travels to workers can be read where this package is not installed."""
+    import pickle
+
+    from pyspark import SparkContext
+
+    seen, send = [], SparkContext.broadcast
+    monkeypatch.setattr(SparkContext, "broadcast", lambda self, value: seen.append(pickle.dumps(value)) or send(self, value))
+    for name in ("op2_quality_crf", "op3_sentencepiece", "op4_language_id", "op8_decontamination", "op9_pitman_yor", "op11_toxicity"):
+        queries.queries()[name](spark, data).count()
+        assert seen and not any(b"devsignals" in x for x in seen), name
+        seen.clear()
