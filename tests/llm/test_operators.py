@@ -505,24 +505,49 @@ def test_licences_odd(odd):
     assert licenses.query(odd.limit(0)).collect() == []
 
 
-def test_licence_join_against_all_pairs(spark):
+def plain_matches(text):
+    own, found = licenses.words_of(text or ""), set()
+    for label, t in licenses.TEMPLATES:
+        members = set(licenses.words_of(t))
+        size, step = licenses.block_size(len(licenses.words_of(t)))
+        for start in range(0, len(own), step):
+            n = len(set(own[start:start + size]) & members)
+            if n >= 0.8 * len(members) - 1e-9:
+                found.add((start, label, round(n / len(members), 9)))
+    return found
+
+
+def test_licence_join_against_all_blocks(spark):
     rng = random.Random(4)
     vocabulary = [w for _, t in licenses.TEMPLATES for w in licenses.words_of(t)] + ["other", "thing"]
-    lines = []
-    for _ in range(400):
-        words = licenses.words_of(rng.choice(licenses.TEMPLATES)[1])
-        rng.shuffle(words)
-        lines.append(" ".join(words[:rng.randint(1, len(words))] + rng.choices(vocabulary, k=rng.randint(0, 4))))
-    docs = spark.createDataFrame([(i, "\n".join(lines[i * 4:i * 4 + 4])) for i in range(100)], "doc_id long, text string")
-    found = {(r.doc_id, m.block, m.label, round(m.containment, 9)) for r in licenses.scan(docs).collect() for m in r.matches}
-    want = set()
-    for i, line in enumerate(lines):
-        own = set(licenses.words_of(line))
-        for label, t in licenses.TEMPLATES:
-            members = set(licenses.words_of(t))
-            if len(own & members) >= 0.8 * len(members) - 1e-9:
-                want.add((i // 4, i % 4, label, round(len(own & members) / len(members), 9)))
-    assert found == want and want
+    texts = []
+    for _ in range(80):
+        own = rng.choices(vocabulary, k=rng.randint(0, 60))
+        for _ in range(rng.randint(0, 3)):
+            words = licenses.words_of(rng.choice(licenses.TEMPLATES)[1])
+            kept = [w for w in words if rng.random() < 0.9]
+            own += kept + rng.choices(vocabulary, k=rng.randint(0, 9))
+        texts.append("\n".join(" ".join(own[i:i + 9]) for i in range(0, len(own), 9)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: {(m.start, m.label, round(m.containment, 9)) for m in r.matches} for r in licenses.scan(docs).collect()}
+    assert found == {i: plain_matches(t) for i, t in enumerate(texts)} and sum(map(len, found.values())) > 100
+
+
+def wrapped(text, width=60):
+    import textwrap
+
+    return "\n".join(" * " + x for x in textwrap.wrap(text, width))
+
+
+def test_wrapped_licences_are_found_and_long_texts_left_alone(spark):
+    full = {label: t for label, t in licenses.TEMPLATES if len(t) > 150}
+    rows_ = [(k, "/*\n" + wrapped(t) + "\n */\nint main() { return 0; }") for k, t in enumerate(full.values())]
+    clean = "all things come to those whose rights are dear and who wait until the seats are reserved " * 60
+    rows_ += [(100, clean), (101, "some words. All rights reserved. more words " * 3), (102, clean.replace(" ", "\n"))]
+    found = {r.doc_id: r.labels for r in licenses.query(spark.createDataFrame(rows_, "doc_id long, text string")).collect()}
+    for k, label in enumerate(full):
+        assert label in found[k].split(","), (label, found[k])
+    assert found[100] == found[102] == "" and found[101] == "all-rights-reserved"
 
 
 def test_licence_plan_is_native(spark, documents):
