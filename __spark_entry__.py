@@ -126,7 +126,7 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     # community
     q["hn_platform_kpis"] = _on(story_dim, community.hn_platform_kpis)
     q["hn_daily_activity"] = _on(story_fct, community.hn_daily_activity, START, END)
-    q["hn_trending_stories"] = _on(story_dim, community.hn_trending_stories)
+    q["hn_trending_stories"] = _on_catalog(lambda c: community.hn_trending_stories(c[story_dim], trending=c["trending_stories"]))
     q["hn_top_authors"] = _on(story_dim, community.hn_top_authors)
     q["hn_repo_mentions_daily"] = _on(mention_fct, community.hn_repo_mentions_daily, START, END)
     q["hn_mention_summary_all"] = _on(mention_fct, community.hn_mention_summary)

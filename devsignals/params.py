@@ -63,6 +63,7 @@ SOURCE_ERROR_HOURS = 12
 MIN_TREND_POINTS = 4
 TOP_STORY_CAP = 50
 INGEST_FRESH_MINUTES = 60
+TRENDING_HELD = 1000
 
 # build time used wherever "now" is needed, so that a build can be repeated
 AS_OF = dt.datetime(2024, 2, 1)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from devsignals import params
 from devsignals.functions import text
 from devsignals.operators import activity, leaderboards, sketches, stories
+from devsignals.plans import community
 from devsignals.session import fresh_path
 from devsignals.sources import sinks
 
@@ -28,10 +29,11 @@ def repository_metadata(spark: SparkSession, repositories: Sequence[tuple[str, s
 
 @dataclass(frozen=True)
 class Layout:
-    """How a gold table is stored."""
+    """How a gold table is stored: in folders, or in files that each hold a range of values."""
 
     partition_by: str | None = None
     sort_by: tuple[str, ...] = ()
+    cluster_by: str | None = None
 
 
 LAYOUTS = {
@@ -45,7 +47,8 @@ LAYOUTS = {
     "dim_contributor": Layout(sort_by=("username",)),
     "fct_github_daily_activity": Layout("activity_date", ("repo_name",)),
     "fct_contributor_daily_activity": Layout("activity_date", ("username", "repo_name")),
-    "dim_hn_story": Layout(),
+    "dim_hn_story": Layout(cluster_by="published_at"),
+    "trending_stories": Layout(),
     "fct_hn_daily_activity": Layout(sort_by=("activity_date",)),
     "fct_hn_repo_mentions": Layout(sort_by=("mentioned_repo", "activity_date")),
     "int_hn_repo_mentions": Layout("mentioned_repo", ("published_at",)),
@@ -54,8 +57,8 @@ LAYOUTS = {
 CODE_GOLD = ("dim_repository", "dim_contributor", "fct_github_daily_activity", "fct_contributor_daily_activity")
 STORY_GOLD = ("dim_hn_story", "fct_hn_daily_activity", "fct_hn_repo_mentions")
 GOLD = CODE_GOLD + STORY_GOLD
-# what reports read besides; written with the contributors' tables
-SERVING = ("contributor_ranks", "contributor_sketches")
+# what reports read besides, and the tables it is written with
+SERVING = {"contributor_ranks": "dim_contributor", "contributor_sketches": "dim_contributor", "trending_stories": "dim_hn_story"}
 VIEWS = ("stg_github_events", "int_push_events", "int_pull_requests", "stg_hn_stories", "int_hn_stories",
          "int_hn_repo_mentions")
 
@@ -101,7 +104,7 @@ class Catalog:
 
     def _stored(self, name: str, df: DataFrame) -> DataFrame:
         layout = LAYOUTS[name]
-        sinks.write_table(df, self.path(name), layout.partition_by, layout.sort_by)
+        sinks.write_table(df, self.path(name), layout.partition_by, layout.sort_by, cluster_by=layout.cluster_by)
         return self.spark.read.schema(df.schema).parquet(self.path(name)).select(*df.columns)
 
     def silver_of_gold(self) -> DataFrame:
@@ -120,8 +123,7 @@ class Catalog:
         with ThreadPoolExecutor(len(INDEPENDENT)) as pool:
             list(pool.map(self.__getitem__, first))
             list(pool.map(lambda chain: [self[name] for name in chain], chains))
-            if wanted >= {"fct_contributor_daily_activity", "dim_contributor"}:
-                list(pool.map(self.__getitem__, SERVING))
+            list(pool.map(self.__getitem__, [name for name, beside in SERVING.items() if beside in wanted]))
         return {name: self[name] for name in names}
 
     def register_views(self, names: Sequence[str] = VIEWS + GOLD) -> None:
@@ -149,6 +151,7 @@ BUILDERS: dict[str, Callable[[Catalog], DataFrame]] = {
     "int_hn_stories": lambda c: stories.silver_stories(c["stg_hn_stories"]),
     "int_hn_repo_mentions": lambda c: stories.mentions(c.silver_of_gold(), c.patterns),
     "dim_hn_story": lambda c: stories.story_dimension(c["int_hn_stories"], c.as_of),
+    "trending_stories": lambda c: community.trending_stories(c["dim_hn_story"]),
     "fct_hn_daily_activity": lambda c: stories.story_facts(c.silver_of_gold(), c.as_of),
     "fct_hn_repo_mentions": lambda c: stories.mention_facts(c["int_hn_repo_mentions"], c.as_of),
 }

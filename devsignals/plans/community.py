@@ -25,10 +25,21 @@ def hn_daily_activity(facts: DataFrame, start: dt.date, end: dt.date) -> DataFra
     return facts.filter(in_range(start, end)).drop("created_at").orderBy("activity_date")
 
 
-def hn_trending_stories(stories: DataFrame, limit: int = 10) -> DataFrame:
-    order = [F.desc_nulls_first("score"), F.desc_nulls_first("comment_count"), F.asc("story_id")]
-    rows = first_rows(stories, order, limit, "story_id", ("story_id", "score", "comment_count"))
-    return rows.select("story_id", "title", "author", "url", "score", "comment_count", "published_at")
+def _highest() -> list[Column]:
+    return [F.desc_nulls_first("score"), F.desc_nulls_first("comment_count"), F.asc("story_id")]
+
+
+def trending_stories(stories: DataFrame, held: int = params.TRENDING_HELD) -> DataFrame:
+    """The `held` stories of the highest scores, for the report below. Written when the tables are built."""
+    return first_rows(stories, "score", _highest(), held)
+
+
+def hn_trending_stories(stories: DataFrame, limit: int = 10, trending: DataFrame | None = None,
+                        held: int = params.TRENDING_HELD) -> DataFrame:
+    """Read from `trending` if that holds as many rows, else from all stories."""
+    rows = stories if trending is None or limit > held else trending
+    return first_rows(rows, "score", _highest(), limit).select(
+        "story_id", "title", "author", "url", "score", "comment_count", "published_at")
 
 
 def hn_top_authors(stories: DataFrame, limit: int = 10) -> DataFrame:
@@ -66,8 +77,7 @@ def _latest() -> list[Column]:
 
 
 def hn_recent_stories(stories: DataFrame, limit: int = 10) -> DataFrame:
-    rows = first_rows(stories, _latest(), limit, "story_id", ("story_id", "published_at"))
-    return rows.select(*_LISTED)
+    return first_rows(stories, "published_at", _latest(), limit).select(*_LISTED)
 
 
 def hn_repo_stories(found: DataFrame, repo: str, limit: int = 5) -> DataFrame:

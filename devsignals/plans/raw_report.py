@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from devsignals import params
 from devsignals.functions import numeric, text, times
+from devsignals.operators.ranking import first_rows
 
 
 def raw_overview(events: DataFrame) -> DataFrame:
@@ -88,7 +89,7 @@ def raw_json_preview(events: DataFrame, k: int = 5) -> DataFrame:
     """Type, actor and repository as the documents of the first events give them."""
     fields = "type string, actor struct<login: string>, repo struct<name: string>"
     return (
-        events.orderBy("event_id").limit(k)
+        first_rows(events, "event_id", [F.asc_nulls_first("event_id")], k, descending=False)
         .withColumn("doc", F.from_json("raw_payload", fields))
         .select("event_id", F.col("doc.type").alias("event_type"), F.col("doc.actor.login").alias("username"),
                 F.col("doc.repo.name").alias("repo"))

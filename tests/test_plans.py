@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from devsignals import params
 from devsignals.operators import activity, quality, sketches, stories
-from devsignals.plans import checks, contributors, ingest_runs, publish, raw_report, repositories
+from devsignals.operators.ranking import first_rows
+from devsignals.plans import checks, community, contributors, ingest_runs, publish, raw_report, repositories
 from devsignals.plans.catalog import Catalog
 from devsignals.session import fresh_path, settings_for, shared_folder
 from devsignals.sources import landing, sinks, star_tables
@@ -215,3 +216,46 @@ def test_sketches_merge_over_any_range(spark):
         assert row.contributors > 1000 and row.within_bound
         assert abs(row.estimate / row.contributors - 1) < sketches.ERROR_BOUND
     assert max(r.n for r in stored.select(F.octet_length("sketch").alias("n")).collect()) < 1 << 14
+
+
+def scanned_rows(df):
+    """Rows that the scans of a collected frame gave out."""
+    found = []
+
+    def walk(node):
+        if node.nodeName().startswith("Scan"):
+            found.append(node.metrics().apply("numOutputRows").value())
+        if node.nodeName() == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if "QueryStage" in node.nodeName():
+            return walk(node.plan())
+        for k in range(node.children().size()):
+            walk(node.children().apply(k))
+
+    df.collect()
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
+
+
+def test_first_rows_skip_row_groups(spark):
+    """In a table clustered by the column only the last row groups give out wide rows, and no job runs while planning."""
+    path = fresh_path(spark, "clustered")
+    rows = spark.range(200_000).select(F.col("id").alias("published_at"), F.repeat(F.lit("wide"), 50).alias("wide"))
+    rows.repartitionByRange(8, "published_at").sortWithinPartitions("published_at").write.parquet(path)
+    table = spark.read.parquet(path)
+    spark.sparkContext.setJobGroup("planning", "planning")
+    try:
+        df = first_rows(table, "published_at", [F.desc("published_at")], 10)
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("planning")) == []
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert [r.published_at for r in df.collect()] == list(range(199_999, 199_989, -1))
+    (wide,) = scanned_rows(df)
+    assert wide <= 30_000
+
+
+def test_trending_reads_the_stored_rows(catalog):
+    report = lambda held: community.hn_trending_stories(catalog["dim_hn_story"], 5, catalog["trending_stories"], held)
+    few, all_rows = report(1000), report(4)
+    assert {f.split("/")[-2] for f in few.inputFiles()} == {"trending_stories"}
+    assert {f.split("/")[-2] for f in all_rows.inputFiles()} == {"dim_hn_story"} and few.collect() == all_rows.collect()

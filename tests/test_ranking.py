@@ -43,11 +43,19 @@ def test_top_per_group_limits_before_the_shuffle(spark):
     assert sorted((r.g, r.id) for r in top.collect()) == [(0, 996), (0, 999), (1, 994), (1, 997), (2, 995), (2, 998)]
 
 
-def test_first_rows_with_equal_keys(spark):
-    df = spark.createDataFrame([(1, 5, "a"), (1, 5, "b"), (2, 4, "c"), (3, 1, "d")], "k int, v int, wide string")
-    rows = first_rows(df, [F.desc("v"), F.asc("k")], 3, "k", ("k", "v")).collect()
-    assert sorted(r.wide for r in rows) == ["a", "b", "c"]
-    assert first_rows(df.limit(0), [F.desc("v")], 3, "k", ("k", "v")).collect() == []
+def test_first_rows(spark):
+    df = spark.createDataFrame([(1, 5, "a"), (1, 5, "b"), (2, 4, "c"), (3, 1, "d"), (4, None, "e")], "k int, v int, wide string")
+    order = [F.desc_nulls_first("v"), F.asc("k"), F.asc("wide")]
+    for k in range(1, 7):
+        want = [r.wide for r in df.orderBy(*order).limit(k).collect()]
+        assert [r.wide for r in first_rows(df, "v", order, k).collect()] == want
+    order = [F.asc_nulls_first("v"), F.asc("k"), F.asc("wide")]
+    for k in range(1, 7):
+        want = [r.wide for r in df.orderBy(*order).limit(k).collect()]
+        assert [r.wide for r in first_rows(df, "v", order, k, descending=False).collect()] == want
+    assert first_rows(df.limit(0), "v", order, 3).collect() == []
+    nulls = spark.createDataFrame([(k, None) for k in range(5)], "k int, v int")
+    assert [r.k for r in first_rows(nulls, "v", [F.desc_nulls_first("v"), F.asc("k")], 3).collect()] == [0, 1, 2]
 
 
 def user_facts(spark, commits):
