@@ -14,7 +14,7 @@ from devsignals import params
 from devsignals.functions import text
 from devsignals.operators import activity, leaderboards, sketches, stories
 from devsignals.plans import community
-from devsignals.session import fresh_path
+from devsignals.session import fresh_path, intermediates_dropped
 from devsignals.sources import sinks
 
 
@@ -93,8 +93,12 @@ class Catalog:
         if name not in self._frames and self.read_only and name in LAYOUTS:
             self._frames[name] = self.spark.read.parquet(self.path(name))
         if name not in self._frames:
-            df = BUILDERS[name](self)
-            self._frames[name] = self._stored(name, df) if name in LAYOUTS else df
+            if name in LAYOUTS:
+                self.path("")
+                with intermediates_dropped(self.spark):
+                    self._frames[name] = self._stored(name, BUILDERS[name](self))
+            else:
+                self._frames[name] = BUILDERS[name](self)
         return self._frames[name]
 
     def path(self, name: str) -> str:

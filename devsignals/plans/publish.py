@@ -8,6 +8,7 @@ import time
 import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -17,7 +18,7 @@ from devsignals.functions import times
 from devsignals.operators import activity, leaderboards, quality, sketches, stories
 from devsignals.plans import checks as declared_checks
 from devsignals.plans.catalog import GOLD, LAYOUTS, Catalog, repository_metadata
-from devsignals.session import written
+from devsignals.session import intermediates_dropped, written
 from devsignals.sources import sinks
 
 _VERSIONS = T.StructType([
@@ -111,6 +112,11 @@ def refresh_recent_days(stg_events: DataFrame, root: str, since: dt.date, as_of:
     days are read, unless a first or last date lay there and has gone (then those keys are looked up in the other days).
     Tables change in place: meant for a version before its publication.
     """
+    with intermediates_dropped(stg_events.sparkSession):
+        _refresh(stg_events, root, since, as_of, repositories)
+
+
+def _refresh(stg_events: DataFrame, root: str, since: dt.date, as_of: dt.datetime, repositories: Sequence[tuple[str, str, int]]) -> None:
     spark = stg_events.sparkSession
     recent = stg_events.filter(F.col("fetched_at") >= F.lit(since).cast("timestamp_ntz"))
     base = written(activity.activity_base(recent), "recent-activity")
@@ -139,7 +145,9 @@ def refresh_recent_days(stg_events: DataFrame, root: str, since: dt.date, as_of:
     # totals first: they need the days as they were
     tasks = [(name, summed, keys, commits) for name, (kinds, commits) in TOTALS.items() for summed, keys in kinds]
     with ThreadPoolExecutor(len(tasks)) as pool:
-        list(pool.map(lambda task: carry_over(*task), tasks))
+        runs = [pool.submit(copy_context().run, carry_over, *task) for task in tasks]
+        for run in runs:
+            run.result()
         list(pool.map(lambda name: put(name, fresh[name], dynamic=True), fresh))
     now = Catalog.open(spark, root, as_of)
     put("dim_repository", activity.repository_dimension_of(

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,6 +68,9 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/devsignals/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+_scope: ContextVar[list[str] | None] = ContextVar("intermediates", default=None)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write `df` once to the shared folder and read it back.
 
@@ -73,5 +79,30 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
+    scope = _scope.get()
+    if scope is not None:
+        scope.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def intermediates_dropped(spark: SparkSession) -> Iterator[None]:
+    """What is `written` in here, by this thread or in copies of its context, is deleted on leaving. For steps whose own result is stored elsewhere by then; frames
+    that still read an intermediate must not be used afterwards."""
+    scope: list[str] = []
+    token = _scope.set(scope)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for path in scope:
+            drop_folder(spark, path)
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that `fresh_path` has named, and nothing else."""
+    if not path.startswith(f"{shared_folder(spark)}/devsignals/{spark.sparkContext.applicationId}/"):
+        raise ValueError(f"not an intermediate of this application: {path}")
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

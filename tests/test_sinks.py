@@ -2,13 +2,14 @@
 
 import datetime as dt
 import json
+import os
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from devsignals import schemas
-from devsignals.session import fresh_path, shared_folder
+from devsignals.session import drop_folder, fresh_path, intermediates_dropped, shared_folder, written
 from devsignals.sources import landing, sinks
 from devsignals.sources.keyed import KeyedTable, read_loads, record_load
 
@@ -284,3 +285,19 @@ def test_random_batches_against_a_plain_loop(spark):
     assert stored(spark, events_path) == sorted(kept.items())
     rows = sinks.current_state(sinks.read_changes(spark, stories_path, schemas.STORIES_RAW)).collect()
     assert {r.story_id: (r.title, r.score, r.descendants) for r in rows} == state
+
+
+def test_intermediates_go_when_their_step_is_done(spark):
+    kept = written(spark.range(3), "kept")
+    with intermediates_dropped(spark):
+        inner = written(spark.range(5), "inner")
+        with intermediates_dropped(spark):
+            innermost = written(spark.range(7), "innermost")
+            result = fresh_path(spark, "result")
+            innermost.write.parquet(result)
+        assert inner.count() == 5
+    assert spark.read.parquet(result).count() == 7 and kept.count() == 3
+    root = f"{shared_folder(spark)}/devsignals/{spark.sparkContext.applicationId}".removeprefix("file:")
+    assert not any(name.startswith("inner") for name in os.listdir(root))
+    with pytest.raises(ValueError):
+        drop_folder(spark, "/tmp/elsewhere")
