@@ -1,7 +1,7 @@
 """Corpus pipeline: language, boilerplate lines, near-duplicates, contamination, tokens.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept. `run` writes every stage's
-result to the shared folder and rereads it, so that a lost executor costs a re-read.
+result to the shared folder and rereads it, so that a lost executor costs a re-read; what a stage wrote on its way goes with it.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from devsignals.llm import decontamination, language_id, queries, sentence_pieces, simhash, site_lines
 from devsignals.llm.common import table
-from devsignals.session import written
+from devsignals.session import fresh_path, intermediates_dropped
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,5 +48,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name)
+        path = fresh_path(spark, name)
+        with intermediates_dropped(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return docs
