@@ -7,8 +7,10 @@ import math
 
 import duckdb
 
-TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
-          "conversations").split()
+TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+    "pages", "benchmark", "labels", "conversations",
+)
 
 
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
