@@ -1,7 +1,7 @@
 """Near-duplicates by SimHash: BK-trees of fingerprints over shards that every link falls into.
 
 Fingerprints are 64 bits; two link at `RADIUS` or fewer differing bits. With the bits cut
-into `BLOCKS` blocks, linked fingerprints agree in at least BLOCKS - RADIUS blocks, so they meet in a
+into blocks, `BLOCKS` or more as the corpus grows, linked fingerprints agree in at least all but RADIUS blocks, so they meet in a
 shard named by some choice of so many blocks and their values. Each shard holds a BK-tree: children
 keyed by their integer Hamming distance to the parent; a search at distance d follows only the edges
 from d - RADIUS to d + RADIUS. Shards of at least two fingerprints go to tasks, which build and search the trees of
@@ -34,7 +34,8 @@ from devsignals.session import written
 SHINGLE = 4
 SEED = 42
 RADIUS = 4
-BLOCKS = 6
+BLOCKS = 6                   # at least; more where shards would be larger than SHARD_SIZE
+SHARD_SIZE = 512
 SHARD_LIMIT = 4096
 FRONTIER = 1 << 21
 
@@ -154,8 +155,18 @@ def links_of(shard: np.ndarray, prints: np.ndarray, is_member: np.ndarray, radiu
     return order[linked], order[labels[linked]]
 
 
-def shard_links(prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, limit: int = SHARD_LIMIT) -> DataFrame:
+def blocks_for(n: int, radius: int = RADIUS) -> int:
+    """Blocks such that a shard of n evenly spread fingerprints has about `SHARD_SIZE` of them, so that visits grow with n and
+    not with its square. Any number of blocks finds every link."""
+    blocks = BLOCKS
+    while blocks < 16 and n / 2 ** (64 * (blocks - radius) / blocks) > SHARD_SIZE:
+        blocks += 1
+    return blocks
+
+
+def shard_links(prints: DataFrame, radius: int = RADIUS, blocks: int | None = None, limit: int = SHARD_LIMIT) -> DataFrame:
     """Links (fp a, fp b) that connect exactly the distinct fingerprints (column fp) within the radius."""
+    blocks = blocks or blocks_for(prints.count(), radius)
     bounds = [round(64 * k / blocks) for k in range(blocks + 1)]
     masks = [((1 << (b - a)) - 1) << a for a, b in zip(bounds[:-1], bounds[1:])]
     chosen = [sum(c) for c in combinations(masks, blocks - radius)]

@@ -244,8 +244,12 @@ def test_simhash_against_all_pairs(spark, documents, texts):
         d: (f"{prints[d]:016x}", want[d]) for d in prints}
 
 
-@pytest.mark.parametrize("limit", [4096, 16])
-def test_shards_lose_no_link(spark, limit):
+def test_more_blocks_for_more_fingerprints():
+    assert [simhash.blocks_for(10 ** k) for k in (0, 6, 9, 11, 13)] == [6, 6, 6, 8, 9]
+
+
+@pytest.mark.parametrize("limit, blocks", [(4096, None), (16, None), (16, 5), (4096, 8)])
+def test_shards_lose_no_link(spark, limit, blocks):
     """Chains and dense groups of fingerprints; a low limit cuts the shards into several trees."""
     rng = random.Random(5)
     prints = {}
@@ -257,7 +261,7 @@ def test_shards_lose_no_link(spark, limit):
                 value ^= 1 << rng.randrange(64)
     signed = {v - (1 << 64) if v >= 1 << 63 else v for v in prints.values()}
     df = spark.createDataFrame([(v,) for v in signed], "fp long")
-    links = graph.components(simhash.shard_links(df, limit=limit))
+    links = graph.components(simhash.shard_links(df, blocks=blocks, limit=limit))
     part = {r.node & (1 << 64) - 1: r.component for r in links.collect()}
     want = plain_components(prints)
     groups = collections.defaultdict(set)
