@@ -40,13 +40,16 @@ WINDOW = 5
 THRESHOLD = 0.8
 MIN_ITEM_WORDS = 3
 BITS = 1 << 24
+SECOND = 16                  # where a hash's second place in the table begins
 MAX_WORDS_KEPT = 1 << 18
 # Units of measure.
 UNITS = frozenset((
-    "mm cm km kg mg lb lbs oz ft yd mi mph kmh hz khz mhz ghz kb mb gb tb ml litre litres liter liters metre metres meter meters "
-    "kilometre kilometres kilometer kilometers mile miles inch inches foot feet yard yards gram grams kilogram kilograms "
-    "pound pounds ounce ounces second seconds minute minutes hour hours day days week weeks month months year years percent "
-    "degree degrees dollar dollars euro euros cent cents watt watts volt volts joule joules newton newtons").split())
+    "mm", "cm", "km", "kg", "mg", "lb", "lbs", "oz", "ft", "yd", "mi", "mph", "kmh", "hz", "khz", "mhz", "ghz", "kb", "mb",
+    "gb", "tb", "ml", "litre", "litres", "liter", "liters", "metre", "metres", "meter", "meters", "kilometre", "kilometres",
+    "kilometer", "kilometers", "mile", "miles", "inch", "inches", "foot", "feet", "yard", "yards", "gram", "grams",
+    "kilogram", "kilograms", "pound", "pounds", "ounce", "ounces", "second", "seconds", "minute", "minutes", "hour",
+    "hours", "day", "days", "week", "weeks", "month", "months", "year", "years", "percent", "degree", "degrees", "dollar",
+    "dollars", "euro", "euros", "cent", "cents", "watt", "watts", "volt", "volts", "joule", "joules", "newton", "newtons"))
 NUMBER = re.compile(r"[+\-]?[$€£]?\d[\d.,:/]*%?")
 GLUED = re.compile(r"[+\-]?\d[\d.,]*([a-zµ°]+)")
 EDGE = re.compile(r"^[^\w+\-$€£]+|[^\w%]+$")
@@ -163,6 +166,8 @@ def candidate_windows(docs: DataFrame, bits: np.ndarray, widths: list[int]) -> D
                     for h, is_template in ((template, True), (bare, False)):
                         bit = (h >> np.uint64(64 - BITS.bit_length() + 1)).astype(np.int64)
                         at = np.flatnonzero(table[bit >> 3] & (np.uint8(1) << (bit & 7).astype(np.uint8)))
+                        bit = (h[at] >> np.uint64(SECOND) & np.uint64(BITS - 1)).astype(np.int64)
+                        at = at[(table[bit >> 3] & (np.uint8(1) << (bit & 7).astype(np.uint8))) > 0]
                         at = at[enough[at]] if is_template else at
                         row = np.searchsorted(starts, at, side="right") - 1
                         at, row = at[at + width <= starts[row + 1]], row[at + width <= starts[row + 1]]
@@ -180,8 +185,9 @@ def candidate_windows(docs: DataFrame, bits: np.ndarray, widths: list[int]) -> D
 
 
 def bit_table(windows: DataFrame) -> np.ndarray:
-    """One bit per hash; what the driver reads is bounded by the size of the table."""
-    places = (windows.select(F.shiftrightunsigned("hash", 64 - BITS.bit_length() + 1).cast("int").alias("bit"))
+    """Two bits per hash; what the driver reads is bounded by the size of the table."""
+    both = F.array(F.shiftrightunsigned("hash", 64 - BITS.bit_length() + 1), F.shiftrightunsigned("hash", SECOND).bitwiseAND(BITS - 1))
+    places = (windows.select(F.explode(both).cast("int").alias("bit"))
               .distinct().toArrow().column("bit").to_numpy())
     bits = np.zeros(BITS // 8, dtype=np.uint8)
     np.bitwise_or.at(bits, places >> 3, np.uint8(1) << (places & 7).astype(np.uint8))
