@@ -212,6 +212,7 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["incremental_contributor_refresh"] = _on_catalog(
         lambda c: ingest_runs.refresh_run(c, REFRESH_SINCE, "fct_contributor_daily_activity"))
     q["incremental_dimension_refresh"] = _on_catalog(lambda c: ingest_runs.refresh_run(c, REFRESH_SINCE, "dim_contributor"))
+    q["packed_fact_days"] = _on_catalog(lambda c: ingest_runs.packed_run(c, REFRESH_SINCE, "fct_contributor_daily_activity"))
     q["repository_history"] = _on_catalog(lambda c: ingest_runs.repository_history(c, MID_MONTH, AS_OF))
     q["repository_history_stored"] = _on_catalog(lambda c: ingest_runs.repository_history(c, MID_MONTH, AS_OF, stored=True))
     q["published_repository_facts"] = _on_catalog(ingest_runs.published_facts)

@@ -14,7 +14,7 @@ from devsignals import params
 from devsignals.functions import text
 from devsignals.operators import activity, leaderboards, sketches, stories
 from devsignals.plans import community
-from devsignals.session import fresh_path, intermediates_dropped
+from devsignals.session import folder_exists, fresh_path, intermediates_dropped
 from devsignals.sources import sinks
 
 
@@ -33,7 +33,7 @@ class Layout:
 
     partition_by: str | None = None
     sort_by: tuple[str, ...] = ()
-    cluster_by: str | None = None
+    cluster_by: tuple[str, ...] = ()
 
 
 LAYOUTS = {
@@ -47,7 +47,7 @@ LAYOUTS = {
     "dim_contributor": Layout(sort_by=("username",)),
     "fct_github_daily_activity": Layout("activity_date", ("repo_name",)),
     "fct_contributor_daily_activity": Layout("activity_date", ("username", "repo_name")),
-    "dim_hn_story": Layout(cluster_by="published_at"),
+    "dim_hn_story": Layout(cluster_by=("published_at",)),
     "trending_stories": Layout(),
     "fct_hn_daily_activity": Layout(sort_by=("activity_date",)),
     "fct_hn_repo_mentions": Layout(sort_by=("mentioned_repo", "activity_date")),
@@ -72,6 +72,26 @@ INDEPENDENT = (
 )
 
 
+PACKED = "upto date"
+
+
+def packed_upto(spark: SparkSession, path: str) -> dt.date | None:
+    """The day before which a table's days are packed."""
+    if not folder_exists(spark, f"{path}-packed-upto"):
+        return None
+    return spark.read.schema(PACKED).parquet(f"{path}-packed-upto").agg(F.max("upto")).first()[0]
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A stored table. Old days may be packed: few files, each a range of days, beside the folders of the other days. A filter on days
+    skips row groups in the former and folders of the latter."""
+    rows, upto = spark.read.parquet(path), packed_upto(spark, path)
+    if upto is None:
+        return rows
+    packed = spark.read.parquet(f"{path}-packed/upto={upto}")
+    return packed.unionByName(rows.filter(F.col("activity_date") >= F.lit(upto)).select(*packed.columns))
+
+
 @dataclass
 class Catalog:
     spark: SparkSession
@@ -91,7 +111,7 @@ class Catalog:
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames and self.read_only and name in LAYOUTS:
-            self._frames[name] = self.spark.read.parquet(self.path(name))
+            self._frames[name] = read_table(self.spark, self.path(name))
         if name not in self._frames:
             if name in LAYOUTS:
                 self.path("")

@@ -250,6 +250,15 @@ def refresh_run(catalog: Catalog, since: dt.date, name: str = "fct_github_daily_
     return Catalog.open(catalog.spark, root, catalog.as_of)[name].select(*columns)
 
 
+def packed_run(catalog: Catalog, since: dt.date, name: str) -> DataFrame:
+    """An early build whose old days are packed, in two steps, and which is then brought up to date."""
+    root = early_build(catalog, since)
+    for before in (since - dt.timedelta(days=14), since - dt.timedelta(days=7)):
+        publish.pack_old_days(catalog.spark, root, before)
+    publish.refresh_recent_days(catalog["stg_github_events"], root, since - dt.timedelta(days=7), catalog.as_of, catalog.repositories)
+    return Catalog.open(catalog.spark, root, catalog.as_of)[name].select(*catalog[name].columns)
+
+
 def _with_defects(catalog: Catalog) -> Catalog:
     """The catalog over raw rows some of which have lost their document, name an unknown repository or lie in the future;
     some stories have lost title or time."""

@@ -17,8 +17,8 @@ from devsignals import params
 from devsignals.functions import times
 from devsignals.operators import activity, leaderboards, quality, sketches, stories
 from devsignals.plans import checks as declared_checks
-from devsignals.plans.catalog import GOLD, LAYOUTS, Catalog, repository_metadata
-from devsignals.session import intermediates_dropped, written
+from devsignals.plans.catalog import GOLD, LAYOUTS, Catalog, packed_upto, read_table, repository_metadata
+from devsignals.session import drop_partition, intermediates_dropped, written
 from devsignals.sources import sinks
 
 _VERSIONS = T.StructType([
@@ -103,6 +103,26 @@ TOTALS = {
 }
 
 
+def pack_old_days(spark: SparkSession, root: str, before: dt.date) -> None:
+    """Store the days of both facts before a day as few files, each a range of days, instead of a folder a day.
+
+    The number of files then follows from their bytes however many days there are. The packed files are written, then pointed to;
+    from then on readers take the days before `before` from them, and the days' folders go. Packing again, later, takes
+    up what is packed already. Packed days cannot be refreshed.
+    """
+    for name in TOTALS:
+        path, layout = f"{root}/{name}", LAYOUTS[name]
+        upto = packed_upto(spark, path)
+        if upto is not None and before <= upto:
+            continue
+        old = read_table(spark, path).filter(F.col("activity_date") < F.lit(before))
+        sinks.write_table(old, f"{path}-packed/upto={before}", cluster_by=("activity_date", *layout.sort_by))
+        spark.range(1).select(F.lit(before).alias("upto")).write.mode("append").parquet(f"{path}-packed-upto")
+        days = spark.read.parquet(path).filter(F.col("activity_date") < F.lit(before)).select("activity_date").distinct()
+        for (day,) in days.collect():                # a date each
+            drop_partition(spark, path, f"activity_date={day}")
+
+
 def refresh_recent_days(stg_events: DataFrame, root: str, since: dt.date, as_of: dt.datetime,
                         repositories: Sequence[tuple[str, str, int]] = params.TRACKED_REPOSITORIES) -> None:
     """Bring the tables on code activity in `root` up to date: recompute both facts from `since` on, replace just
@@ -123,11 +143,13 @@ def _refresh(stg_events: DataFrame, root: str, since: dt.date, as_of: dt.datetim
     days = [r[0] for r in base.select("activity_date").distinct().collect()]     # a date each
     if not days:
         return
+    if any(day < upto for name in TOTALS if (upto := packed_upto(spark, f"{root}/{name}")) for day in days):
+        raise ValueError("days that are packed cannot be refreshed")
     stored = Catalog.open(spark, root, as_of)
 
     def put(name: str, df: DataFrame, dynamic: bool = False) -> None:
         layout = LAYOUTS[name]
-        sinks.write_table(df, f"{root}/{name}", layout.partition_by, layout.sort_by, dynamic)
+        sinks.write_table(df, f"{root}/{name}", layout.partition_by, layout.sort_by, dynamic, layout.cluster_by)
 
     fresh = {"fct_github_daily_activity": activity.repository_facts(base, as_of),
              "fct_contributor_daily_activity": activity.contributor_facts(base, as_of)}

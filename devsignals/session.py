@@ -100,9 +100,28 @@ def intermediates_dropped(spark: SparkSession) -> Iterator[None]:
             drop_folder(spark, path)
 
 
+def _located(spark: SparkSession, path: str):
+    """A path and the file system it is on, as Spark's writers see it."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    where, system = _located(spark, path)
+    return system.exists(where)
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
-    """Delete a folder that `fresh_path` has named, and nothing else."""
+    """Delete a folder that `fresh_path` has named, or what lies in one, and nothing else."""
     if not path.startswith(f"{shared_folder(spark)}/devsignals/{spark.sparkContext.applicationId}/"):
         raise ValueError(f"not an intermediate of this application: {path}")
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    where, system = _located(spark, path)
+    system.delete(where, True)
+
+
+def drop_partition(spark: SparkSession, table: str, partition: str) -> None:
+    """Delete one folder `column=value` of a table."""
+    if "/" in partition or "=" not in partition:
+        raise ValueError(f"not a partition: {partition}")
+    where, system = _located(spark, f"{table}/{partition}")
+    system.delete(where, True)

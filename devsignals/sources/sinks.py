@@ -17,16 +17,16 @@ STORY_MUTABLE = ("score", "descendants", "raw_json", "fetched_at")
 # --- full refresh -----------------------------------------------------------
 
 def write_table(df: DataFrame, path: str, partition_by: str | None = None, sort_by: Sequence[str] = (),
-                dynamic: bool = False, cluster_by: str | None = None) -> None:
+                dynamic: bool = False, cluster_by: Sequence[str] = ()) -> None:
     """Replace a table, or with `dynamic` only the partitions that `df` holds.
 
     Rows of one partition value are brought together so that a value becomes few
     files; adaptive execution cuts a large value into several tasks and packs small
     ones. Sorting inside a task makes the min/max statistics of row groups selective. With
-    `cluster_by`, each file holds a range of that column's values.
+    `cluster_by`, each file holds a range of these columns' values, so the number of files follows from the bytes.
     """
     if cluster_by:
-        df = df.repartitionByRange(cluster_by).sortWithinPartitions(cluster_by)
+        df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
     if partition_by:
         df = df.hint("rebalance", F.col(partition_by))
     keys = ([partition_by] if partition_by else []) + [c for c in sort_by if c != partition_by]

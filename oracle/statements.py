@@ -347,6 +347,7 @@ def _ingestion() -> dict[str, str]:
         FROM ({looks['b']}) b LEFT JOIN ({looks['a']}) a ON a.repo_name = b.repo_name
         WHERE a.repo_name IS NULL OR {changed}) v JOIN dim_repository d ON v.repo_name = d.repo_name"""
     q["repository_history_stored"] = q["repository_history"]
+    q["packed_fact_days"] = "SELECT * FROM fct_contributor_daily_activity"
     q["incremental_contributor_refresh"] = "SELECT * FROM fct_contributor_daily_activity"
     q["incremental_dimension_refresh"] = "SELECT * FROM dim_contributor"
     q["csv_export"] = "SELECT * EXCLUDE (created_at) FROM dim_repository"

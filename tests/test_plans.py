@@ -259,3 +259,23 @@ def test_trending_reads_the_stored_rows(catalog):
     few, all_rows = report(1000), report(4)
     assert {f.split("/")[-2] for f in few.inputFiles()} == {"trending_stories"}
     assert {f.split("/")[-2] for f in all_rows.inputFiles()} == {"dim_hn_story"} and few.collect() == all_rows.collect()
+
+
+def test_packed_days_are_few_files_and_still_pruned(spark, data):
+    own = entry.catalog(spark, data)
+    root = ingest_runs.early_build(own, dt.date(2024, 1, 25))
+    name = "fct_contributor_daily_activity"
+    files = lambda: len(glob.glob(f"{root.removeprefix('file:')}/{name}*/**/*.parquet", recursive=True))
+    before, rows = files(), sorted(map(repr, Catalog.open(spark, root, own.as_of)[name].select(*own[name].columns).collect()))
+    publish.pack_old_days(spark, root, dt.date(2024, 1, 20))
+    publish.pack_old_days(spark, root, dt.date(2024, 1, 10))            # nothing: these days are packed
+    table = Catalog.open(spark, root, own.as_of)[name]
+    assert sorted(map(repr, table.select(*own[name].columns).collect())) == rows and files() < before / 2
+    one = table.filter(F.col("activity_date") == dt.date(2024, 1, 5))
+    assert "EqualTo(activity_date,2024-01-05)" in plan_of(one) and one.count() > 0
+    with pytest.raises(ValueError, match="packed"):
+        publish.refresh_recent_days(own["stg_github_events"], root, dt.date(2024, 1, 15), own.as_of, own.repositories)
+    # a pointer that is not there yet: the folders count
+    half = ingest_runs.early_build(own, dt.date(2024, 1, 25))
+    table.limit(1).write.parquet(f"{half}/{name}-packed/upto=2024-01-20")
+    assert sorted(map(repr, Catalog.open(spark, half, own.as_of)[name].select(*own[name].columns).collect())) == rows
