@@ -187,7 +187,7 @@ def candidate_windows(docs: DataFrame, bits: np.ndarray, widths: list[int]) -> D
 def bit_table(windows: DataFrame) -> np.ndarray:
     """Two bits per hash; what the driver reads is bounded by the size of the table."""
     both = F.array(F.shiftrightunsigned("hash", 64 - BITS.bit_length() + 1), F.shiftrightunsigned("hash", SECOND).bitwiseAND(BITS - 1))
-    places = (windows.select(F.explode(both).cast("int").alias("bit"))
+    places = (windows.select(F.explode(both).alias("bit")).select(F.col("bit").cast("int"))
               .distinct().toArrow().column("bit").to_numpy())
     bits = np.zeros(BITS // 8, dtype=np.uint8)
     np.bitwise_or.at(bits, places >> 3, np.uint8(1) << (places & 7).astype(np.uint8))
