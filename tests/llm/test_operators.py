@@ -417,67 +417,38 @@ def test_pitman_yor_counts_and_base(spark, documents, texts):
         assert r.score < 0
 
 
-def test_pitman_yor_is_a_distribution(spark):
-    """In every context the words seen and the unknown symbol add up to one, and scores are sums of these."""
-    rng = random.Random(3)
-    texts = [rng.choices(["aa", "ab", "ba", "c", "dd"], weights=[9, 5, 3, 2, 1], k=30) for _ in range(40)]
-    texts += [["aa", "zz", "ab", "new"], [], ["c"]]
-    docs = spark.createDataFrame([(i, " ".join(ws), i >= 40) for i, ws in enumerate(texts)], "doc_id long, text string, held_out boolean")
-    chunks = pitman_yor.make_chunks(docs, chunk_tokens=100)
-    numbers = pitman_yor.context_words(chunks)
-    assert set(numbers) == {b"aa", b"ab", b"ba", b"c", b"dd", pitman_yor.END} and sorted(numbers.values()) == list(range(1, 7))
-    words = pitman_yor.count_words(chunks, numbers)
-    pairs = collections.Counter((numbers[(["\n"] + ws)[k].encode()], w.encode()) for ws in texts[:40] for k, w in enumerate(ws + ["\n"]))
-    assert pairs == {(u, bytes(r.word)): n for r in words.collect()
-                     for u, n in zip(bytes(r.contexts), np.frombuffer(r.n, "<i8").tolist())}
-    states = pitman_yor.learn(words)
-    kept = states[1 + pitman_yor.BURN_IN:]
-    values = {bytes(r.word): r for r in pitman_yor.word_values(words, states).collect()}
-
-    def p(word, u):
-        r = values.get(word)
-        if r and u in bytes(r.own):
-            return float(np.frombuffer(r.p, "<f4")[bytes(r.own).index(u)])
-        parents = np.frombuffer(r.parents, "<f8") if r else [s.unknown() for s in kept]
-        return float(np.mean([s.back()[u] * x for s, x in zip(kept, parents)]))
-
-    for u in range(7):
-        assert sum(p(w, u) for w in values) + p(b"zz", u) == pytest.approx(1, abs=1e-6)
-    found = rows(pitman_yor.score(docs))
-    for i, ws in enumerate(texts):
-        chain = ["\n"] + ws + ["\n"]
-        assert found[i].score == pytest.approx(sum(math.log10(p(w.encode(), numbers.get(u.encode(), 0)))
-                                                   for u, w in zip(chain, chain[1:])), abs=1e-3)
-
-
 def test_pitman_yor_better_than_base_on_held_out(spark, documents):
     n, base, own = pitman_yor.query(documents).where("held_out").agg(
         F.sum("n_tokens"), F.sum("base_score"), F.sum("score")).first()
     assert own / n > base / n
 
 
-def test_pitman_yor_frequent_words_in_many_chunks(spark):
-    """A word that is half of all tokens, over many chunks and both ways of adding up."""
-    docs = spark.createDataFrame([(i, f"the w{i} " * 20, False) for i in range(300)], "doc_id long, text string, held_out boolean")
-    chunks = pitman_yor.make_chunks(docs.repartition(7), chunk_tokens=50)
-    for listed in (0, 3):
-        old, pitman_yor.LISTED = pitman_yor.LISTED, listed
-        try:
-            words = {bytes(r.word): np.frombuffer(r.n, "<i8").tolist() for r in pitman_yor.count_words(chunks, {b"the": 1}).collect()}
-        finally:
-            pitman_yor.LISTED = old
-        assert words[b"the"] == [6000] and words[b"w7"] == [20] and words[b"\n"] == [300] and len(words) == 302
+def test_packed_numbers():
+    rng = np.random.default_rng(1)
+    for v in (np.zeros(0), np.zeros(5), rng.integers(0, 300, 1000), rng.integers(0, 1 << 62, 50)):
+        assert (pitman_yor.unpacked(pitman_yor.packed(v)) == v.astype(np.uint64)).all()
+        assert (pitman_yor.risen(pitman_yor.rising(np.sort(v))) == np.sort(v).astype(np.uint64)).all()
+    keys = np.sort(rng.integers(0, 1 << 63, 5000, dtype=np.uint64) * np.uint64(2))
+    runs = list(pitman_yor.bucketed(keys, 64, 37))
+    assert [i for _, i, _ in runs][1:] == [j for _, _, j in runs][:-1] and runs[-1][2] == 5000 and {b for b, _, _ in runs} <= set(range(37))
 
 
-def test_pitman_yor_context_words_are_the_most_frequent(spark, texts):
-    """Exact, whatever part of each chunk's words gives the first bounds; held-out documents do not count."""
-    rows_ = [(i, t or "", i % 3 == 0) for i, t in texts.items()]
+def test_pitman_yor_counts_pairs_over_all_chunks(spark, texts):
+    rows_ = [(d, t or "", fold(d, 7) == 2) for d, t in texts.items() if len(t or "") < 5000]
     docs = spark.createDataFrame(rows_, "doc_id long, text string, held_out boolean")
-    chunks = pitman_yor.make_chunks(docs.repartition(5), chunk_tokens=2000)
-    counts = collections.Counter(w for _, t, held in rows_ if not held for w in t.encode().lower().split() + [pitman_yor.END])
-    for listed, most in ((1, 1), (2, 5), (40, 30), (4096, 200), (7, 10**6)):
-        best = sorted(counts, key=lambda w: (-counts[w], w))[:most]
-        assert pitman_yor.context_words(chunks, listed, most) == {w: k for k, w in enumerate(best, 1)}
+    model = pitman_yor.learned(docs.repartition(3), 0, 3000)
+    want, words = collections.Counter(), collections.Counter()
+    for _, t, held in rows_:
+        own = t.encode().lower().split() + [pitman_yor.END]
+        if not held:
+            words.update(own)
+            want.update(zip([pitman_yor.END] + own, own))
+    assert (model["tokens"], model["words"]) == (sum(words.values()), len(words))
+    held = [pitman_yor.Pairs(pitman_yor.pa.Table.from_pylist([r.asDict()])) for r in model["pairs"].collect()]
+    assert len(held) > 3
+    owned = sorted(n for own in held for n in own.n[own.own].tolist())
+    assert owned == sorted(want.values())
+    assert model["scales"][0][2] == len(want)                # a table for each pair
 
 
 def test_seats():
@@ -599,7 +570,7 @@ def test_broadcasts_need_no_package(spark, data, monkeypatch):
 
     seen, send = [], SparkContext.broadcast
     monkeypatch.setattr(SparkContext, "broadcast", lambda self, value: seen.append(pickle.dumps(value)) or send(self, value))
-    for name in ("op2_quality_crf", "op3_sentencepiece", "op4_language_id", "op8_decontamination", "op9_pitman_yor", "op11_toxicity"):
+    for name in ("op2_quality_crf", "op3_sentencepiece", "op4_language_id", "op8_decontamination", "op11_toxicity"):
         queries.queries()[name](spark, data).count()
         assert seen and not any(b"devsignals" in x for x in seen), name
         seen.clear()

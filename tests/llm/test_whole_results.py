@@ -91,43 +91,41 @@ def plain_mixed(x):
     return x ^ (x >> 31)
 
 
-def plain_pitman_yor(docs):
-    """docs: (id, words, held_out). Scores by id; contexts are numbered by rising frequency rank, as the operator does."""
+def plain_pitman_yor(docs, buckets=16):
+    """docs: (id, words, held_out). Scores by id. Every word is a context; a pair's seed comes from its words' places in their
+    hash buckets, as in the operator."""
     end = "\n"
     training = [ws + [end] for _, ws, held in docs if not held]
     counts = collections.Counter(w for ws in training for w in ws)
-    best = sorted(counts, key=lambda w: (-counts[w], w.encode()))[:pitman_yor.CONTEXTS - 1]
-    number = {w: k for k, w in enumerate(best, 1)}
-    n = collections.Counter()
-    for ws in training:
-        for u, w in zip([end] + ws, ws):
-            n[number.get(u, 0), w] += 1
+    n = collections.Counter((u, w) for ws in training for u, w in zip([end] + ws, ws))
+    hashes = sorted({xxhash.xxh64_intdigest(w.encode()) for _, ws, _ in docs for w in ws + [end]})
+    bucket_of = lambda h: (h >> 32) * buckets >> 32
+    slots = collections.Counter()
+    place = {}
+    for h in hashes:
+        place[h] = bucket_of(h) << 32 | slots[bucket_of(h)]
+        slots[bucket_of(h)] += 1
+    number = lambda w: place[xxhash.xxh64_intdigest(w.encode())]
     strength = pitman_yor.STRENGTH
-    seeds = {(u, w): plain_mixed((xxhash.xxh64_intdigest(w.encode()) + u) & MASK) for u, w in n}
-    ones, twos = sum(c == 1 for c in n.values()), sum(c == 2 for c in n.values())
-    discount = pitman_yor.discount_of(ones, twos)
+    seeds = {(u, w): plain_mixed(plain_mixed(number(u)) ^ number(w)) for u, w in n}
+    discount = pitman_yor.discount_of(sum(c == 1 for c in n.values()), sum(c == 2 for c in n.values()))
     tables, states = dict.fromkeys(n, 1), []
     for sweep in range(pitman_yor.SWEEPS + 1):
         if sweep:
-            last, before = states[-1], dict(tables)
-            of_word = collections.Counter()
-            for (u, w), t in before.items():
-                of_word[w] += t
+            last = states[-1]
             for (u, w), c in n.items():
-                parent = (of_word[w] - last["parent_discount"]) / (strength + last["all"])
-                weight = (strength + discount * last["tables"][u]) * parent
-                state, seated = (seeds[u, w] + ((sweep - 1) << 32)) & MASK, 1
-                t = 1
+                parent = (last["words"][w] - last["parent_discount"]) / (strength + last["all"])
+                weight = (strength + discount * last["contexts"][u]) * parent
+                state, t = (seeds[u, w] + (sweep << 32)) & MASK, 1
                 for seated in range(1, c):
                     state = plain_mixed(state)
                     t += (state >> 11) / float(1 << 53) < weight / (seated - discount * t + weight)
                 tables[u, w] = t
-        of_word, of_context, customers = collections.Counter(), collections.Counter(), collections.Counter()
+        of_word, of_context = collections.Counter(), collections.Counter()
         for (u, w), t in tables.items():
             of_word[w] += t
             of_context[u] += t
-            customers[u] += n[u, w]
-        states.append({"tables": of_context, "customers": customers, "words": of_word, "all": sum(of_context.values()), "own": dict(tables),
+        states.append({"contexts": of_context, "words": of_word, "all": sum(of_context.values()), "own": dict(tables),
                        "parent_discount": pitman_yor.discount_of(sum(t == 1 for t in of_word.values()), sum(t == 2 for t in of_word.values()))})
 
     def p(u, w):
@@ -136,23 +134,29 @@ def plain_pitman_yor(docs):
             parent = (s["words"][w] - s["parent_discount"]) if w in counts else strength + s["parent_discount"] * len(counts)
             parent /= strength + s["all"]
             own = n[u, w] - discount * s["own"].get((u, w), 0)
-            values.append((own + (strength + discount * s["tables"][u]) * parent) / (strength + s["customers"][u]))
+            values.append((own + (strength + discount * s["contexts"][u]) * parent) / (strength + counts[u]))
         return sum(values) / len(values)
 
-    return {d: sum(math.log10(p(number.get(u, 0), w)) for u, w in zip([end] + ws, ws + [end])) for d, ws, _ in docs}
+    every = [*counts, None]
+    for u in [*counts, "never seen"]:                # known words and the unknown symbol add up to one
+        assert sum(p(u, w) for w in every) == pytest.approx(1)
+    return {d: sum(math.log10(p(u, w)) for u, w in zip([end] + ws, ws + [end])) for d, ws, _ in docs}
 
 
-def test_language_model_against_a_plain_sampler(spark):
+@pytest.mark.parametrize("chunk_tokens", [1 << 21, 60])
+def test_language_model_against_a_plain_sampler(spark, chunk_tokens):
+    """Also where documents of one table lie in several chunks, which hold many pairs in common."""
     rng = random.Random(11)
     names = [f"w{k}" for k in range(30)]
     docs = [(d, rng.choices(names, weights=[1 / (k + 1) for k in range(30)], k=rng.randint(0, 25)), d % 5 == 0) for d in range(60)]
     docs += [(100, ["never", "seen", "w0"], True), (101, [], False), (102, ["w0"] * 12, False)]
-    frame = spark.createDataFrame([(d, " ".join(ws), held) for d, ws, held in docs], "doc_id long, text string, held_out boolean")
-    found = {r.doc_id: r.score for r in pitman_yor.score(frame.repartition(3)).collect()}
-    want = plain_pitman_yor(docs)
-    assert set(found) == set(want)
+    frame = spark.createDataFrame([(d, " ".join(ws), held) for d, ws, held in docs], "doc_id long, text string, held_out boolean").coalesce(3)
+    found = {r.doc_id: r for r in pitman_yor.score(frame, chunk_tokens).collect()}
+    made = pitman_yor.make_chunks(frame, chunk_tokens).count()
+    want = plain_pitman_yor(docs, max(16, made))
+    assert set(found) == set(want) and (made > 5) == (chunk_tokens == 60)
     for d in want:
-        assert found[d] == pytest.approx(want[d], abs=1e-4), d
+        assert found[d].score == pytest.approx(want[d], abs=1e-6), d
 
 
 # contamination: every document against every item, window by window
