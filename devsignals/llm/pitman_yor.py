@@ -202,6 +202,16 @@ class Chunk:
         return before * self.keys.size + self.tokens
 
 
+def ranked(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values, rising, and which of them each value is: one sort, as there are as many values as tokens."""
+    order = np.argsort(values)
+    found = values[order]
+    new = np.concatenate([[True], found[1:] != found[:-1]]) if found.size else np.zeros(0, bool)
+    rank = np.empty(values.size, np.int64)
+    rank[order] = np.cumsum(new) - 1
+    return found[new], rank
+
+
 def bucketed(keys: np.ndarray, bits: int, buckets: int):
     """Bucket, first and last place of each run of rising keys of so many bits."""
     of = (((keys << U(64 - bits)) >> U(32)) * U(buckets)) >> U(32)
@@ -264,11 +274,8 @@ def held_pairs(chunks: DataFrame, words: DataFrame) -> DataFrame:
         right = right.sort_by("bucket")
         words_ = np.concatenate([(U(b) << U(32)) | risen(s) for b, s in rows_of(right, "bucket", "slots")])
         c = np.concatenate([unpacked(x) for x in right.column("c").to_pylist()])
-        pair = own.pairs()
-        codes = np.unique(pair)
-        seen, times = np.unique(pair[own.training()], return_counts=True)
-        n = np.zeros(codes.size, np.int64)
-        n[np.searchsorted(codes, seen)] = times
+        codes, which = ranked(own.pairs())
+        n = np.bincount(which[own.training()], minlength=codes.size)
         return pa.table({"chunk": [own.number], "words": pa.array([rising(words_)], pa.binary()), "c": pa.array([packed(c)], pa.binary()),
                          "codes": pa.array([rising(codes)], pa.binary()), "n_here": pa.array([packed(n)], pa.binary())})
 
@@ -284,9 +291,8 @@ def pair_keys(words: np.ndarray, codes: np.ndarray) -> np.ndarray:
 
 def pair_order(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """The keys' first bits, rising, and where each stands among the pairs."""
-    short = keys >> U(64 - bits)
-    order = np.argsort(short, kind="stable")
-    return short[order], order
+    order = np.argsort(keys)
+    return keys[order] >> U(64 - bits), order
 
 
 def pair_rows(held: DataFrame, bits: int, buckets: int) -> DataFrame:
@@ -311,8 +317,10 @@ def pair_totals(rows: DataFrame) -> DataFrame:
         here = np.concatenate([unpacked(n) for *_, n in found]).astype(np.int64)
         _, place = np.unique(np.concatenate(lists), return_inverse=True)
         n = np.bincount(place, weights=here).astype(np.int64)
-        own, there = np.zeros(place.size, np.int64), np.flatnonzero(here)
-        own[there[np.unique(place[there], return_index=True)[1]]] = 1        # the first chunk that has it in a training document
+        own, there = np.zeros(place.size, np.int64), np.flatnonzero(here)[::-1]
+        first = np.full(n.size, -1)
+        first[place[there]] = there                   # the first chunk that has it in a training document writes last
+        own[first[first >= 0]] = 1
         ends = offsets_of([x.size for x in lists])
         parts = list(zip(ends[:-1], ends[1:]))
         return pa.table({"chunk": [x[1] for x in found], "bucket": [x[0] for x in found],
@@ -470,7 +478,7 @@ def score(docs: DataFrame, chunk_tokens: int = CHUNK_TOKENS) -> DataFrame:
             p += (pairs.n - discount * tables + mass * parent[pairs.word]) / (STRENGTH + customers)
         logp = np.log10(p / len(kept))
         base = np.log10((pairs.c + 1) / (n_tokens + n_words + 1))
-        which = np.searchsorted(pairs.codes.astype(np.int64), chunk.pairs())
+        _, which = ranked(chunk.pairs())
         starts = chunk.starts
         return pa.table({
             "doc_id": chunk.ids, "held_out": chunk.held, "n_tokens": pa.array(np.diff(starts), pa.int64()),
