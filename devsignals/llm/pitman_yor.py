@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, functions as F
 from devsignals.llm.common import fold, offsets_of, segment_sums, text_slices
 from devsignals.session import fresh_path, written
 
-CHUNK_TOKENS = 1 << 21
+CHUNK_TOKENS = 1 << 20
 END = b"\n"                  # the end token; no word holds it
 SWEEPS, BURN_IN = 3, 1
 STRENGTH = 1.0
@@ -188,7 +188,7 @@ class Chunk:
         self.ids, self.held = row["ids"].values, row["held"].values
         self.starts = offsets_of(np.asarray(row["counts"].values))
         self.keys = risen(row["keys"].as_py())
-        self.tokens = unpacked(row["tokens"].as_py()).astype(np.int64)
+        self.tokens = unpacked(row["tokens"].as_py()).astype(np.int32)
 
     def training(self) -> np.ndarray:
         """Per token, whether it stands in a training document."""
@@ -196,10 +196,12 @@ class Chunk:
 
     def pairs(self) -> np.ndarray:
         """Per token, the word before and the word as one number."""
-        before = np.empty_like(self.tokens)
-        before[1:] = self.tokens[:-1]
-        before[self.starts[:-1]] = np.searchsorted(self.keys, U(xxhash.xxh64_intdigest(END)))
-        return before * self.keys.size + self.tokens
+        pair = np.empty(self.tokens.size, np.int64)
+        pair[1:] = self.tokens[:-1]
+        pair[self.starts[:-1]] = np.searchsorted(self.keys, U(xxhash.xxh64_intdigest(END)))
+        pair *= self.keys.size
+        pair += self.tokens
+        return pair
 
 
 def ranked(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -207,8 +209,8 @@ def ranked(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(values)
     found = values[order]
     new = np.concatenate([[True], found[1:] != found[:-1]]) if found.size else np.zeros(0, bool)
-    rank = np.empty(values.size, np.int64)
-    rank[order] = np.cumsum(new) - 1
+    rank = np.empty(values.size, np.int32)
+    rank[order] = np.cumsum(new, dtype=np.int32) - 1
     return found[new], rank
 
 
@@ -353,7 +355,7 @@ class Pairs:
         (self.chunk, words, c, codes, n, own), = rows_of(table, "chunk", "words", "c", "codes", "n", "own")
         self.words, self.c, self.codes = risen(words), unpacked(c).astype(np.int64), risen(codes)
         size = U(self.words.size)
-        self.before, self.word = (self.codes // size).astype(np.int64), (self.codes % size).astype(np.int64)
+        self.before, self.word = (self.codes // size).astype(np.int32), (self.codes % size).astype(np.int32)
         self.n, self.own = unpacked(n).astype(np.int64), unpacked(own) > 0
 
     def seated(self, of_context: np.ndarray, of_word: np.ndarray, scale: tuple, sweep: int) -> np.ndarray:
