@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, functions as F
 from devsignals.llm.common import fold, offsets_of, segment_sums, text_slices
 from devsignals.session import fresh_path, written
 
-CHUNK_TOKENS = 1 << 20
+CHUNK_TOKENS = 3 << 19
 END = b"\n"                  # the end token; no word holds it
 SWEEPS, BURN_IN = 3, 1
 STRENGTH = 1.0
