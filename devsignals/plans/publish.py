@@ -6,10 +6,11 @@ from __future__ import annotations
 import datetime as dt
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextvars import copy_context
 from dataclasses import replace
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -164,18 +165,26 @@ def _refresh(stg_events: DataFrame, root: str, since: dt.date, as_of: dt.datetim
             totals = written(activity.sure_dates(totals, stored[name].filter(~inside), keys, commits), "sure-dates")
         put(summed, totals.drop("unsure"))
 
+    def together(*steps: Callable[[], None]) -> None:
+        """Steps that do not need each other, side by side."""
+        with ThreadPoolExecutor(len(steps)) as pool:
+            for run in [pool.submit(copy_context().run, step) for step in steps]:
+                run.result()
+
+    def contributors() -> None:
+        put("dim_contributor", activity.contributor_dimension_of(now["contributor_totals"], as_of))
+        put("contributor_ranks", leaderboards.ranked_contributors(now["dim_contributor"], now["contributor_repository_totals"]))
+
+    def daily_sketches() -> None:
+        other_days = stored["contributor_sketches"].filter(~inside)
+        new_days = sketches.daily_sketches(fresh["fct_contributor_daily_activity"], ("repo_name", "activity_date"), "username")
+        put("contributor_sketches", written(other_days.unionByName(new_days), "sketches"))
+
     # totals first: they need the days as they were
-    tasks = [(name, summed, keys, commits) for name, (kinds, commits) in TOTALS.items() for summed, keys in kinds]
-    with ThreadPoolExecutor(len(tasks)) as pool:
-        runs = [pool.submit(copy_context().run, carry_over, *task) for task in tasks]
-        for run in runs:
-            run.result()
-        list(pool.map(lambda name: put(name, fresh[name], dynamic=True), fresh))
+    together(*[partial(carry_over, name, summed, keys, commits)
+               for name, (kinds, commits) in TOTALS.items() for summed, keys in kinds])
     now = Catalog.open(spark, root, as_of)
-    put("dim_repository", activity.repository_dimension_of(
-        now["repository_totals"], repository_metadata(spark, repositories), as_of))
-    put("dim_contributor", activity.contributor_dimension_of(now["contributor_totals"], as_of))
-    put("contributor_ranks", leaderboards.ranked_contributors(now["dim_contributor"], now["contributor_repository_totals"]))
-    other_days = stored["contributor_sketches"].filter(~inside)
-    new_days = sketches.daily_sketches(fresh["fct_contributor_daily_activity"], ("repo_name", "activity_date"), "username")
-    put("contributor_sketches", written(other_days.unionByName(new_days), "sketches"))
+    together(
+        *[partial(put, name, df, dynamic=True) for name, df in fresh.items()], contributors, daily_sketches,
+        lambda: put("dim_repository", activity.repository_dimension_of(
+            now["repository_totals"], repository_metadata(spark, repositories), as_of)))
