@@ -1,6 +1,7 @@
 """Checks on clean and on broken frames, and the publish gate."""
 
 import datetime as dt
+import glob
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,10 +11,14 @@ from devsignals.operators import quality
 from devsignals.operators.quality import Check
 from devsignals.plans import checks, publish
 from devsignals.plans.catalog import GOLD, Catalog
-from devsignals.session import fresh_path
+from devsignals.session import fresh_path, shared_folder
 from devsignals.sources import star_tables
 
 
+def intermediate_folders(spark):
+    return set(glob.glob(f"{shared_folder(spark).removeprefix('file:')}/devsignals/*/*"))
+
+
 def outcome(df):
     return {(r.check_type, r.column_name): (r.failing_rows, r.passed) for r in df.collect()}
 
@@ -159,6 +164,20 @@ def test_quarantine_names_every_rule_a_row_breaks(spark, data):
         None: [f"github_events_raw.{c}: not_null" for c in ("event_id", "repo_name", "event_type", "fetched_at", "raw_payload")]}
 
 
+def test_good_rows_are_judged_once(spark, data):
+    catalog = small_catalog(spark, data)
+    kept = publish.set_aside(catalog, fresh_path(spark, "quarantine"), params.AS_OF)
+    for df in (kept.raw_events, kept.raw_stories):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "_json(" not in plan and "Join" not in plan and "PartitionFilters: [isnotnull(good" in plan
+
+
+def test_rows_judged_for_a_publication_do_not_stay(spark, data):
+    kept_before = intermediate_folders(spark)
+    publish.build_and_publish(small_catalog(spark, data), fresh_path(spark, "quarantine"), params.AS_OF, quarantine=True)
+    assert not {f for f in intermediate_folders(spark) - kept_before if "-marked-" in f}
+
+
 def test_both_lists_of_checks_agree():
     from oracle.declared import RULES
 
