@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from devsignals import schemas
+from devsignals.plans import ingest_runs
 from devsignals.session import drop_folder, fresh_path, intermediates_dropped, shared_folder, written
 from devsignals.sources import landing, sinks
 from devsignals.sources.keyed import KeyedTable, read_loads, record_load
@@ -178,6 +179,17 @@ def test_no_wide_row_is_sorted_for_the_state(spark):
     assert "raw_json" not in text[last:].split("\n")[0] and "title" not in text[last:].split("\n")[0]
 
 
+def test_a_report_of_the_state_moves_no_document(spark):
+    path = fresh_path(spark, "t")
+    sinks.append_changes(stories(spark, (1, "a", 1, 1, 0), (1, "b", 2, 2, 1)), path, 0)
+    report = ingest_runs._reported(sinks.read_changes(spark, path, schemas.STORIES_RAW))
+    assert [(r.title, r.score, r.raw_score) for r in report.collect()] == [("a", 2, "2")]
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    joined = [line for line in plan.split("\n") if "Join" in line][-1]
+    assert "get_json_object" not in plan[:plan.index(joined)]
+    assert all(".zstd.parquet" in f for f in sinks.read_changes(spark, path, schemas.STORIES_RAW).inputFiles())
+
+
 def test_equal_rows_of_a_batch_are_one(spark):
     path = fresh_path(spark, "t")
     sinks.append_changes(stories(spark, *[(1, "a", 1, 1, 0)] * 5), path, 0)
