@@ -190,6 +190,23 @@ def test_a_report_of_the_state_moves_no_document(spark):
     assert all(".zstd.parquet" in f for f in sinks.read_changes(spark, path, schemas.STORIES_RAW).inputFiles())
 
 
+def test_a_fold_moves_only_keys_of_several_rows(spark):
+    path = fresh_path(spark, "t")
+    rows = [(i % 70_000, f"t{i}", i, i % 7, i % 50) for i in range(100_000)]
+    for seq, part in enumerate((rows[:60_000], rows[50_000:], [(3, "edited", -1, None, 99), (3, "edited", -1, None, 99)])):
+        sinks.append_changes(stories(spark, *part).repartition(3, "title"), path, seq)
+    log = sinks.read_changes(spark, path, schemas.STORIES_RAW)
+    folded, state = sinks.folded_state(log), sinks.current_state(log)
+    assert folded.columns == state.columns and folded.count() == state.count() == 70_000
+    assert folded.exceptAll(state).isEmpty() and state.exceptAll(folded).isEmpty()
+
+    alone = fresh_path(spark, "t")
+    sinks.append_changes(stories(spark, *[(i, "a", i, 1, 0) for i in range(200)]), alone, 0)
+    sinks.fold(spark, alone, schemas.STORIES_RAW)
+    plan = sinks.folded_state(sinks.read_changes(spark, alone, schemas.STORIES_RAW))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ShuffledHashJoin") == 1 and "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 3
+
+
 def test_equal_rows_of_a_batch_are_one(spark):
     path = fresh_path(spark, "t")
     sinks.append_changes(stories(spark, *[(1, "a", 1, 1, 0)] * 5), path, 0)
