@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, functions as F
 from devsignals.llm.common import fold, offsets_of, segment_sums, text_slices
 from devsignals.session import fresh_path, written
 
-CHUNK_TOKENS = 3 << 19
+CHUNK_TOKENS = 1 << 20
 END = b"\n"                  # the end token; no word holds it
 SWEEPS, BURN_IN = 3, 1
 STRENGTH = 1.0
@@ -153,7 +153,7 @@ def make_chunks(docs: DataFrame, chunk_tokens: int = CHUNK_TOKENS) -> DataFrame:
                 for doc, out, raw in zip(part.column(0).to_pylist(), part.column(2).to_pylist(), texts):
                     own = raw.lower().split()
                     own.append(END)
-                    tokens.append(np.fromiter(map(number.__getitem__, own), np.int64, len(own)))
+                    tokens.append(np.fromiter(map(number.__getitem__, own), np.int32, len(own)))
                     ids.append(doc)
                     held.append(out)
                     counts.append(len(own))
