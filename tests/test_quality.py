@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from devsignals import params
 from devsignals.operators import quality
 from devsignals.operators.quality import Check
-from devsignals.plans import checks, publish
+from devsignals.plans import checks, ingest_runs, publish
 from devsignals.plans.catalog import GOLD, Catalog
 from devsignals.session import fresh_path, shared_folder
 from devsignals.sources import star_tables
@@ -178,6 +178,13 @@ def test_rows_judged_for_a_publication_do_not_stay(spark, data):
     assert not {f for f in intermediate_folders(spark) - kept_before if "-kept-" in f}
 
 
+def test_refused_data_are_reported_from_the_tables_the_gate_saw(spark, data):
+    catalog = small_catalog(spark, data)
+    found = ingest_runs.publish_refused(catalog).collect()
+    assert found and all(r.version_unchanged and r.failing_rows > 0 for r in found)
+    assert catalog.root is None            # no third build for the report
+
+
 def test_both_lists_of_checks_agree():
     from oracle.declared import RULES
 
